@@ -1,0 +1,4 @@
+"""All registered queries and their checking SQL."""
+
+from barloom.catalog import technical  # noqa: F401
+from barloom.catalog.kit import ORACLES, QUERIES  # noqa: F401

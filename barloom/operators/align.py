@@ -88,15 +88,6 @@ def reindex_ffill(
     return base.withColumns(filled).filter("_on").drop("_on")
 
 
-def reindex_series(series: DataFrame, dates: DataFrame, how: str = "exact", ts: str = "ts") -> DataFrame:
-    """Align a long (name, ts, value) table of many series, each on the whole calendar.
-
-    The series names are few; each gets its own window partition.
-    """
-    grid = dates.select(ts).crossJoin(F.broadcast(series.select("name").distinct()))
-    return reindex_ffill(series, grid, ["value"], ["name"], ts, how)
-
-
 def outer_align(
     series: DataFrame, names: Sequence[str], by: Sequence[str] = (), ts: str = "ts", name: str = "name", value: str = "value"
 ) -> DataFrame:
