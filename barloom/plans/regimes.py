@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from barloom.functions.cells import clip
 from barloom.functions.market import price_forecast
 from barloom.operators import align
-from barloom.session import settle
+from barloom.session import settle, ship_package
 
 
 @dataclass(frozen=True)
@@ -150,6 +150,7 @@ def fit(
 ) -> Regimes:
     """EM until the log-likelihood gains less than ``tolerance`` or ``iterations`` are done."""
     k, d = states, len(inputs)
+    ship_package(df.sparkSession)
     packed = settle(pack(df, inputs, by))
     row = df.na.drop(subset=list(inputs)).agg(*[f(c) for c in inputs for f in (F.avg, F.var_pop)]).first()
     mu, var = np.array(row[0::2], float), np.maximum(np.array(row[1::2], float), floor)
@@ -189,6 +190,7 @@ def _per_row(df: DataFrame, m: Regimes, compute, fields: str, by: str) -> DataFr
                 got = compute(z, n)
                 yield pd.DataFrame({by: part[by].values, "ts": part["ts"].values, "v": [g[:k].tolist() for g, k in zip(got, n)]})
 
+    ship_package(df.sparkSession)
     packed = pack(df, m.inputs, by)
     kind = dict(df.dtypes)[by]
     out = packed.mapInPandas(run, f"`{by}` {kind}, ts array<date>, v array<{fields}>")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,3 +42,18 @@ def settle(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="barloom-checkpoint-")
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever they run. Once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="barloom-ship-"), "barloom")
+    archive = shutil.make_archive(base, "zip", os.path.dirname(home), "barloom")
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
