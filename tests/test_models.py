@@ -15,7 +15,7 @@ def day(i):
     return dt.date(2015, 1, 1) + dt.timedelta(i)
 
 
-@pytest.mark.parametrize("values", [[3.0], [1.0, 2.0], [5.0] * 9 + [1.0], [1e-9, 1e9, 2.0, -7.0], list(np.random.default_rng(0).normal(size=501))])
+@pytest.mark.parametrize("values", [[3.0], [1.0, 2.0], [5.0] * 9 + [1.0], [1e-9, 1e9, 2.0, -7.0], np.random.default_rng(0).normal(size=501).tolist()])
 def test_exact_medians(spark, values):
     df = spark.createDataFrame([(v, None) for v in values] + [(None, None)], "x double, e double")
     got = models.exact_medians(df, ["x", "e"])

@@ -167,8 +167,8 @@ def test_session_bars(spark):
         return ("X", dt.datetime.fromisoformat(f"2024-01-02 {t}"), o, h, l, c, v)
 
     schema = "symbol string, ts timestamp_ntz, open double, high double, low double, close double, volume double"
-    minutes = spark.createDataFrame([row("09:10", 5, 99.0, 0.1, 5, 7.0), row("09:30", 10.0, 11.0, 9.0, 10.5), row("09:31", 10.5, 12.0, 10.0, 11.0)], schema)
-    hours = spark.createDataFrame([row("10:00", 1, 500.0, 0.01, 1), row("11:00", 11.0, 13.0, 8.0, 12.0), row("16:00", 12.0, 12.5, 11.0, 12.2)], schema)
+    minutes = spark.createDataFrame([row("09:10", 5.0, 99.0, 0.1, 5.0, 7.0), row("09:30", 10.0, 11.0, 9.0, 10.5), row("09:31", 10.5, 12.0, 10.0, 11.0)], schema)
+    hours = spark.createDataFrame([row("10:00", 1.0, 500.0, 0.01, 1.0), row("11:00", 11.0, 13.0, 8.0, 12.0), row("16:00", 12.0, 12.5, 11.0, 12.2)], schema)
     assert tuple(bars.session_bars(minutes, hours, False).first())[2:] == (10.0, 13.0, 8.0, 12.2, 4.0)
     assert tuple(bars.session_bars(minutes, hours, True).first())[2:] == (10.0, 99.0, 0.1, 12.2, 11.0)
 
