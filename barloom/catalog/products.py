@@ -27,6 +27,9 @@ from barloom.plans import comparison, flows, macro, master, models, options, reg
 from barloom.session import settle
 
 BARS = bars_cte()
+# Price-like values are compared times this factor (1 / pi): averages of price quotients can
+# end in an exact 5, where engines round differently, and scaled ones do not.
+SCALE = 0.3183098861837907
 TRAIN, TEST = ("1995-01-01", "1999-12-31"), ("2000-01-01", "2001-12-31")
 
 # -- sector table ------------------------------------------------------------------------
@@ -110,7 +113,7 @@ def _sector_sql() -> str:
         + ", ".join(f'{e} AS "{n}"' for n, e in f.items())
         + " FROM jn WINDOW w20 AS (ORDER BY ts ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))"
     )
-    cols = [f"""{r6(f'"p_{a}" / 7')} AS "Prices_{a}" """ for a in ALL_ASSETS]
+    cols = [f"""{r6(f'"p_{a}" * {SCALE}')} AS "Prices_{a}" """ for a in ALL_ASSETS]
     cols += [f"""{r6(f'"r_{a}"')} AS "Returns_{a}" """ for a in ALL_ASSETS]
     cols += [f"{r6(f'{a}_ALL')} AS Ratios_{a}_ALL" for a in ("ECONOMY", "LARGE", "MEDIUM")]
     cols += [f"{r6(n)} AS Features_{n}" for n in FEATS]
@@ -129,8 +132,8 @@ def p7(spark, d):
     o = _daily_orders(spark, d)
     futures = o.select(F.lit("M").alias("market"), "ts", F.col("total").alias("Crude"), F.col("n").cast("double").alias("Copper"))
     out = sector.sector_features(views.assets(spark, d), yields, futures, SECTOR)
-    # Prices are quotients that can end in an exact 5; a seventh of them does not.
-    cells = [rnd(F.col(c) / 7 if c.startswith("Prices_") else F.col(c)).alias(c) for c in out.columns if c not in ("market", "ts")]
+    # Prices are quotients that can end in an exact 5; scaled ones do not.
+    cells = [rnd(F.col(c) * SCALE if c.startswith("Prices_") else F.col(c)).alias(c) for c in out.columns if c not in ("market", "ts")]
     return out.select("ts", *cells)
 
 
@@ -211,18 +214,18 @@ def _series_sql(names) -> str:
     return f"w AS (SELECT ts, {cols} FROM assets WHERE asset IN {used} GROUP BY ts)"
 
 
-def _seventh(df, *skip):
-    return df.select(*skip, *[rnd(F.col(f"`{c}`") / 7).alias(c) for c in df.columns if c not in skip])
+def _scaled(df, *skip):
+    return df.select(*skip, *[rnd(F.col(f"`{c}`") * SCALE).alias(c) for c in df.columns if c not in skip])
 
 
 @query(
     "p10_vol_index_panel",
     f"WITH {ASSETS_CTE}, {_series_sql(macro.VOL_INDEXES)} SELECT ts, "
-    + ", ".join(f"{r6(f'{n} / 7')} AS {n}" for n in macro.VOL_INDEXES)
-    + f", {r6('(VIX3M - VIX) / 7')} AS VIX_TERM_SLOPE FROM w",
+    + ", ".join(f"{r6(f'{n} * {SCALE}')} AS {n}" for n in macro.VOL_INDEXES)
+    + f", {r6(f'(VIX3M - VIX) * {SCALE}')} AS VIX_TERM_SLOPE FROM w",
 )
 def p10(spark, d):
-    return _seventh(macro.vol_index_panel(_series(spark, d, macro.VOL_INDEXES)), "ts")
+    return _scaled(macro.vol_index_panel(_series(spark, d, macro.VOL_INDEXES)), "ts")
 
 
 EXTENDED = (*macro.VOL_INDEXES, *macro.RATES)
@@ -231,11 +234,11 @@ EXTENDED = (*macro.VOL_INDEXES, *macro.RATES)
 @query(
     "p10_vol_index_panel_extended",
     f"WITH {ASSETS_CTE}, {_series_sql(EXTENDED)} SELECT ts, "
-    + ", ".join(f"{r6(f'{n} / 7')} AS {n}" for n in EXTENDED)
-    + f", {r6('(HY_OAS - IG_OAS) / 7')} AS HY_minus_IG, {r6('(IG_OAS - HY_OAS) / 7')} AS Risk_Appetite FROM w",
+    + ", ".join(f"{r6(f'{n} * {SCALE}')} AS {n}" for n in EXTENDED)
+    + f", {r6(f'(HY_OAS - IG_OAS) * {SCALE}')} AS HY_minus_IG, {r6(f'(IG_OAS - HY_OAS) * {SCALE}')} AS Risk_Appetite FROM w",
 )
 def p10x(spark, d):
-    return _seventh(macro.vol_index_panel_extended(_series(spark, d, EXTENDED)), "ts")
+    return _scaled(macro.vol_index_panel_extended(_series(spark, d, EXTENDED)), "ts")
 
 
 RISK = ("UST_2Y", "UST_10Y", "Fed_Funds", "HYG", "LQD", "VIX")
@@ -243,12 +246,12 @@ RISK = ("UST_2Y", "UST_10Y", "Fed_Funds", "HYG", "LQD", "VIX")
 
 @query(
     "p11_macro_risk_panel",
-    f"WITH {ASSETS_CTE}, {_series_sql(RISK)} SELECT ts, {r6(FILL.format('UST_2Y') + ' / 7')} AS UST_2Y, {r6(FILL.format('UST_10Y') + ' / 7')} AS UST_10Y,"
-    f" {r6(FILL.format('(UST_10Y - UST_2Y)') + ' / 7')} AS Term_Spread, {r6(FILL.format('Fed_Funds') + ' / 7')} AS Fed_Funds,"
-    f" {r6(FILL.format('(HYG / LQD - 1)') + ' / 7')} AS \"HY-IG_Spread\", {r6(FILL.format('VIX') + ' / 7')} AS VIX FROM w",
+    f"WITH {ASSETS_CTE}, {_series_sql(RISK)} SELECT ts, {r6(FILL.format('UST_2Y') + f' * {SCALE}')} AS UST_2Y, {r6(FILL.format('UST_10Y') + f' * {SCALE}')} AS UST_10Y,"
+    f" {r6(FILL.format('(UST_10Y - UST_2Y)') + f' * {SCALE}')} AS Term_Spread, {r6(FILL.format('Fed_Funds') + f' * {SCALE}')} AS Fed_Funds,"
+    f" {r6(FILL.format('(HYG / LQD - 1)') + f' * {SCALE}')} AS \"HY-IG_Spread\", {r6(FILL.format('VIX') + f' * {SCALE}')} AS VIX FROM w",
 )
 def p11(spark, d):
-    return _seventh(macro.macro_risk_panel(_series(spark, d, RISK), RISK), "ts")
+    return _scaled(macro.macro_risk_panel(_series(spark, d, RISK), RISK), "ts")
 
 
 @query(
@@ -334,14 +337,14 @@ MASTER_SLICE = ("spy_rth_gaps_overnight_gap_pct", "spy_rth_gaps_overnight_is_gap
     " s AS (SELECT b.ts AS d, (open - lag(close) OVER o) / lag(close) OVER o AS gap_pct, CAST(CAST(coalesce(open <> lag(close) OVER o, false) AS INT) AS DOUBLE) AS is_gap, w.VIX, volume,"
     " orders_count, lead(close) OVER o / close - 1 AS target FROM b LEFT JOIN w ON w.ts = b.ts LEFT JOIN macro ON macro.ts = b.ts WINDOW o AS (ORDER BY b.ts)),"
     f" t AS (SELECT * FROM s WHERE target IS NOT NULL) SELECT d AS \"Date\", {r6('gap_pct')} AS spy_rth_gaps_overnight_gap_pct, is_gap AS spy_rth_gaps_overnight_is_gap,"
-    f" {r6('VIX / 7')} AS market_indicators_VIX, volume AS spy_ohlcv_1drth_volume,"
+    f" {r6(f'VIX * {SCALE}')} AS market_indicators_VIX, volume AS spy_ohlcv_1drth_volume,"
     f" {FILL.format('orders_count').replace('ORDER BY ts', 'ORDER BY d')} AS macro_positioning_data_orders_count, {r6('target')} AS \"SPY_NextDay_Return\" FROM t",
 )
 def p14_slice(spark, d):
     data = _build_master(spark, d).data
     gap, is_gap, vix, vol, macro_count = MASTER_SLICE
     return data.select(
-        "Date", rnd(gap).alias(gap), is_gap, rnd(F.col(vix) / 7).alias(vix), vol, macro_count, rnd("SPY_NextDay_Return").alias("SPY_NextDay_Return")
+        "Date", rnd(gap).alias(gap), is_gap, rnd(F.col(vix) * SCALE).alias(vix), vol, macro_count, rnd("SPY_NextDay_Return").alias("SPY_NextDay_Return")
     )
 
 

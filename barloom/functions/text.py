@@ -26,3 +26,18 @@ def at_least_zero(x: str) -> str:
 def num(x: float) -> str:
     """A double literal."""
     return f"{float(x)!r}D"
+
+
+def quoted(column: str) -> str:
+    return f"`{column}`"
+
+
+def string(value: str) -> str:
+    """A string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def pearson(a: str, b: str) -> str:
+    """Correlation over complete pairs, as an aggregate; NULL when either side is constant."""
+    a2, b2 = f"CASE WHEN {b} IS NOT NULL THEN {a} END", f"CASE WHEN {a} IS NOT NULL THEN {b} END"
+    return f"try_divide(covar_pop({a2}, {b2}), stddev_pop({a2}) * stddev_pop({b2}))"

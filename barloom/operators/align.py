@@ -78,14 +78,21 @@ def reindex_ffill(
         base = rows.groupBy(*by, ts).agg(
             *[F.max(v).alias(v) for v in values], F.coalesce(F.bool_or("_on"), F.lit(False)).alias("_on")
         )
-    filled = {}
-    for v in values:
-        cell = ffill_bfill(v, by, ts) if backfill else ffill(v, by, ts)
+    part = f"PARTITION BY {', '.join(by)} " if by else ""
+    past = f"OVER ({part}ORDER BY {ts} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    whole = f"OVER ({part}ORDER BY {ts} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+
+    def cell(v: str) -> str:
+        sql = f"last(`{v}`, true) {past}"
+        if backfill:
+            sql = f"coalesce({sql}, first(`{v}`, true) {whole})"
         if max_age is not None:
-            seen = ffill(F.when(F.col(v).isNotNull(), F.col(ts)), by, ts)
-            cell = F.when(F.date_diff(ts, seen) <= max_age, cell)
-        filled[v] = cell
-    return base.withColumns(filled).filter("_on").drop("_on")
+            seen = f"last(CASE WHEN `{v}` IS NOT NULL THEN {ts} END, true) {past}"
+            sql = f"CASE WHEN datediff({ts}, {seen}) <= {max_age} THEN {sql} END"
+        return f"{sql} AS `{v}`"
+
+    rest = [f"`{c}`" for c in base.columns if c not in values]
+    return base.selectExpr(*rest, *[cell(v) for v in values]).filter("_on").drop("_on")
 
 
 def outer_align(

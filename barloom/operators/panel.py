@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barloom.functions.cells import as_col, is_true, pearson, ratio
+from barloom.functions import text
+from barloom.functions.cells import as_col, is_true, ratio
 
 
 def daily_mean(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
@@ -90,37 +90,35 @@ def average_correlation(returns: DataFrame, n: int = 60, by: Sequence[str] = ("m
     not with its square, and the totals combine map-side. Assets with a constant or
     incomplete window drop out of the matrix.
     """
-    w = Window.partitionBy(*by, "asset").orderBy("ts").rowsBetween(-(n - 1), 0)
-    full = F.count(value).over(w) == n
-    win = returns.select(
+    part = ", ".join([*by, "asset"])
+    w = f"OVER (PARTITION BY {part} ORDER BY ts ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    win = returns.selectExpr(
         *by,
         "ts",
-        F.when(full, F.collect_list(value).over(w)).alias("_x"),
-        F.when(full, F.avg(value).over(w)).alias("_m"),
-        F.when(full, F.stddev_pop(value).over(w)).alias("_s"),
+        f"count({value}) {w} AS _n",
+        f"collect_list({value}) {w} AS _x",
+        f"avg({value}) {w} AS _m",
+        f"stddev_pop({value}) {w} AS _s",
     )
-    usable = win.filter(F.col("_s") > 0)
-    totals = usable.groupBy(*by, "ts").agg(
-        F.count("*").alias("_k"),
-        *[F.sum((F.get("_x", F.lit(i)) - F.col("_m")) / F.col("_s")).alias(f"_z{i}") for i in range(n)],
-    )
-    square = reduce(lambda a, b: a + b, [F.col(f"_z{i}") * F.col(f"_z{i}") for i in range(n)])
-    mean = (square / F.lit(float(n)) / (F.col("_k") * F.col("_k"))).alias("avg_corr")
-    out = totals.select(*by, "ts", mean)
+    usable = win.filter(f"_n = {n} AND _s > 0")
+    sums = ", ".join(f"sum((get(_x, {i}) - _m) / _s)" for i in range(n))
+    totals = usable.groupBy(*by, "ts").agg(F.count("*").alias("_k"), F.expr(f"array({sums})").alias("_z"))
+    square = "aggregate(_z, 0D, (acc, z) -> acc + z * z)"
+    out = totals.selectExpr(*by, "ts", f"{square} / {float(n)}D / (_k * _k) AS avg_corr")
     return returns.select(*by, "ts").distinct().join(out, [*by, "ts"], "left")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson matrix of the given columns, long: (a, b, corr). One pass."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     at = {p: f"c{i}" for i, p in enumerate(pairs)}
+    row = df.selectExpr(*[f"{text.pearson(text.quoted(a), text.quoted(b))} AS {c}" for (a, b), c in at.items()])
     cells = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(at.get((a, b)) or at[b, a]).alias("corr"))
+        f"named_struct('a', {text.string(a)}, 'b', {text.string(b)}, 'corr', {at.get((a, b)) or at[b, a]})"
         for a in columns
         for b in columns
     ]
-    return row.select(F.inline(F.array(*cells)))
+    return row.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def mse(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:

@@ -7,7 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from barloom.functions.cells import pearson, to_number
+from barloom.functions.cells import to_number
+from barloom.functions.text import pearson, quoted, string
 
 # Names and name parts a feature must not have.
 FORBIDDEN_NAMES = (
@@ -30,15 +31,10 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, null_pct double")
     # One counter per column in a single aggregate; the result row is turned into a table.
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(columns)])
-    cells = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.round(F.try_divide((F.col("_n") - F.col(f"_c{i}")) * 100.0, F.col("_n")), 2).alias("null_pct"),
-        )
-        for i, c in enumerate(columns)
-    ]
-    return row.select(F.inline(F.array(*cells)))
+    counts = [f"count({quoted(c)}) AS _c{i}" for i, c in enumerate(columns)]
+    pct = "round(try_divide((_n - _c{}) * 100D, _n), 2)"
+    cells = [f"named_struct('column', {string(c)}, 'null_pct', {pct.format(i)})" for i, c in enumerate(columns)]
+    return df.selectExpr("count(1) AS _n", *counts).selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def top_missing(profile: DataFrame, k: int = 5) -> DataFrame:
@@ -71,7 +67,7 @@ def coerce_text_columns(df: DataFrame, skip: Sequence[str] = (DATE,)) -> DataFra
 def drop_all_null(df: DataFrame, skip: Sequence[str] = (DATE,)) -> DataFrame:
     """Drop columns without a single value (one aggregate row decides)."""
     columns = [c for c in df.columns if c not in skip]
-    seen = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(columns)]).first()
+    seen = df.selectExpr(*[f"count({quoted(c)}) AS _c{i}" for i, c in enumerate(columns)]).first()
     return df.drop(*[c for i, c in enumerate(columns) if not seen[i]])
 
 
@@ -85,7 +81,8 @@ def group_columns(groups: dict[str, DataFrame], on: Sequence[str] = ("ts",)) ->
     The wide groups are stacked and folded per date, so any number of groups costs one shuffle.
     """
     named = [
-        g.select(*on, *[F.col(f"`{c}`").alias(f"{k}_{c}") for c in g.columns if c not in on]) for k, g in groups.items()
+        g.selectExpr(*on, *[f"{quoted(c)} AS {quoted(f'{k}_{c}')}" for c in g.columns if c not in on])
+        for k, g in groups.items()
     ]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
     values = [c for c in stacked.columns if c not in on]
@@ -111,21 +108,14 @@ def feature_target_corr(train: DataFrame, features: Sequence[str], target: str =
     """
     if not features:
         return train.sparkSession.createDataFrame([], "feature string, corr double")
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, f in enumerate(features):
-        x = F.col(f"`{f}`").cast("double")
-        aggs += [
-            pearson(x, F.col(target).cast("double")).alias(f"_r{i}"),
-            F.stddev_pop(x).alias(f"_s{i}"),
-            F.count(x).alias(f"_k{i}"),
-        ]
-    row = train.agg(*aggs)
-    cells = []
+    aggs, cells = ["count(1) AS _n"], []
     for i, f in enumerate(features):
-        flat = (F.col(f"_k{i}") == 0) | (F.col(f"_s{i}") == 0)
-        corr = F.when(flat, 0.0).when(F.col(f"_k{i}") == F.col("_n"), F.col(f"_r{i}"))
-        cells.append(F.struct(F.lit(f).alias("feature"), corr.alias("corr")))
-    return row.select(F.inline(F.array(*cells)))
+        x = f"CAST({quoted(f)} AS DOUBLE)"
+        corr = pearson(x, f"CAST({quoted(target)} AS DOUBLE)")
+        aggs += [f"{corr} AS _r{i}", f"stddev_pop({x}) AS _s{i}", f"count({x}) AS _k{i}"]
+        rule = f"CASE WHEN _k{i} = 0 OR _s{i} = 0 THEN 0D WHEN _k{i} = _n THEN _r{i} END"
+        cells.append(f"named_struct('feature', {string(f)}, 'corr', {rule})")
+    return train.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def prune_high_corr(corrs: DataFrame, threshold: float = 0.9, audit: float = 0.8) -> tuple[list[str], list[str]]:
