@@ -80,7 +80,7 @@ def a12(spark, d):
 
 CHAIN_CTE = (
     "chain AS MATERIALIZED (SELECT CASE l_returnflag WHEN 'A' THEN 'C' ELSE 'P' END AS cp, l_quantity AS strike,"
-    " CAST(count(*) AS DOUBLE) AS volume, sum(l_linenumber) AS oi, avg(l_discount) AS iv"
+    " CAST(count(*) AS DOUBLE) AS volume, CAST(sum(l_linenumber) AS BIGINT) AS oi, avg(l_discount) AS iv"
     " FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 1, 2)"
 )
 

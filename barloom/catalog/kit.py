@@ -51,7 +51,7 @@ def shown(df: DataFrame, keys: list[str], show: Show, digits: int = 6) -> DataFr
 
 def shown_sql(body: str, keys: list[str], show: Show, digits: int = 6) -> str:
     """``body`` is ``[WITH ...] SELECT ...``; adding 0.0 turns a negative zero positive."""
-    cols = [f'round({e}, {digits}) + 0.0 AS "{n}"'.replace("`", '"') for n, e in show.items()]
+    cols = [f'CAST(round({e}, {digits}) AS DOUBLE) + 0.0 AS "{n}"'.replace("`", '"') for n, e in show.items()]
     return f"SELECT {', '.join([*keys, *cols])} FROM ({body}) AS shown_rows"
 
 

@@ -121,18 +121,12 @@ def _tile(df, keys, order, tile_rows, halo_rows, bucket):
     part = [*keys, "_bucket"]
     tally = df.groupBy(*part).agg(F.count_if(_complete(df)).alias("_in_bucket"))
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    tally = tally.select(
-        *[F.col(k).alias(f"_k_{k}") for k in part],
-        F.coalesce(F.sum("_in_bucket").over(earlier), F.lit(0)).alias("_offset"),
-    )
-    same = F.lit(True)
-    for k in part:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    tally = tally.select(*part, F.coalesce(F.sum("_in_bucket").over(earlier), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     numbered = (
         df.withColumn("_seen", F.sum(_complete(df).cast("long")).over(inside))
-        .join(tally, same, "left")
-        .withColumn("_seq", F.greatest(F.col("_offset") + F.col("_seen") - 1, F.lit(0)))
+        .join(tally, part, "left")
+        .withColumn("_seq", F.greatest(F.coalesce("_offset", F.lit(0)) + F.col("_seen") - 1, F.lit(0)))
     )
     home = F.floor(F.col("_seq") / F.lit(tile_rows)).cast("long")
     near_end = F.col("_seq") % F.lit(tile_rows) >= tile_rows - halo_rows
@@ -140,7 +134,7 @@ def _tile(df, keys, order, tile_rows, halo_rows, bucket):
         numbered.withColumn("_home", home)
         .withColumn(TILE, F.explode(F.when(near_end, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
         .withColumn(OWN, F.col(TILE) == F.col("_home"))
-        .drop("_bucket", "_seen", "_offset", "_seq", "_home", *[f"_k_{k}" for k in part])
+        .drop("_bucket", "_seen", "_offset", "_seq", "_home")
     )
 
 
