@@ -20,7 +20,6 @@ from barloom.catalog.kit import (
     windows,
 )
 from barloom.operators import rolling as r
-from barloom.operators.lanes import lay
 from barloom.operators.stages import Stages
 from barloom.plans import technical as packs
 

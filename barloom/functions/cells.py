@@ -94,18 +94,6 @@ def row_mean(*cols: Cell) -> Column:
     return ratio(total, n)
 
 
-def pearson(a: Cell, b: Cell, over=None) -> Column:
-    """Pearson correlation over the pairs where both sides are present.
-
-    NULL when either side is constant. With ``over`` it is a window expression.
-    """
-    a, b = as_col(a), as_col(b)
-    a2, b2 = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    parts = F.covar_pop(a2, b2), F.stddev_pop(a2), F.stddev_pop(b2)
-    cov, sa, sb = (p.over(over) for p in parts) if over is not None else parts
-    return ratio(cov, sa * sb)
-
-
 def text_or_empty(c: Cell) -> Column:
     return F.coalesce(as_col(c), F.lit(""))
 
