@@ -23,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from barloom.llm.registry import query
 from barloom.llm.tables import fill, read, settle, ship
@@ -159,7 +159,7 @@ class Scorer:
 def scored(docs: DataFrame, weights: dict[str, float], bias: float) -> DataFrame:
     """``docs`` with ``score`` added; every whole text is scored where it is read."""
     ship(docs.sparkSession)
-    schema = docs.schema.add("score", "double")
+    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(weights, bias)

@@ -158,8 +158,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, factor: float = FA
 
 SQL = """
 WITH v AS (SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-           WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-             AND len(list_filter(embedding, x -> x <> 0)) > 0),
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) / sqrt(list_dot_product(q.e, q.e) * list_dot_product(c.e, c.e)) AS score
       FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
