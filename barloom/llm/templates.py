@@ -35,7 +35,7 @@ def canonical(text: Column) -> Column:
     # A capital inside a sentence: the word before ends in a letter, digit or comma.
     named = F.regexp_replace(text, r"(?<=[\p{L}\p{N},]\x20)\p{Lu}[\p{L}\p{N}]*", NAME)
     numbers = F.regexp_replace(named, r"[0-9](?:[0-9.,]*[0-9])?", NUMBER)
-    units = F.regexp_replace(numbers, rf"(?<=\x20)(?i:{UNITS})(?![\p{{L}}\p{{N}}])", UNIT)
+    units = F.regexp_replace(numbers, rf"(?<={NUMBER}\x20)(?i:{UNITS})(?![\p{{L}}\p{{N}}])", UNIT)
     return F.lower(F.regexp_replace(units, MARKS, ""))
 
 
