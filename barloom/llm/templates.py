@@ -27,7 +27,7 @@ UNITS = (
     "meters?|metres?|kilometers?|kilometres?|miles?|feet|inches|grams?|kilograms?|pounds?|lit(?:er|re)s?|gallons?|"
     "dollars?|euros?|cents?|usd|eur|percent|degrees?|watts?|kw|volts?|v|amps?|hz|khz|mhz|ghz|kb|mb|gb|tb"
 )
-MARKS = r"[^\p{L}\p{N}\uE000-\uE002\x20\x09-\x0D-]+"
+MARKS = r"[^\p{L}\p{N}\uE000-\uE002\x20\x09-\x0D-]+"
 
 
 def canonical(text: Column) -> Column:
