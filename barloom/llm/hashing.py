@@ -3,22 +3,16 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 
-# Odd multipliers, one per place in a window: powers of one constant.
-STEP = 0x9E3779B97F4A7C15
+STEP = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses modulo 2**64
+BLOCK = 1 << 20
 
 
-def multipliers(n: int) -> np.ndarray:
-    out = np.empty(n, dtype=np.uint64)
-    x = 1
-    for i in range(n):
-        x = x * STEP % 2**64
-        out[i] = x | 1
-    return out
+def powers(base: int, n: int) -> np.ndarray:
+    return np.concatenate([np.ones(1, np.uint64), np.full(n - 1, base % 2**64, np.uint64)]).cumprod(dtype=np.uint64)
 
 
-PLACES = multipliers(64)
+PLACES = powers(STEP, 65)[1:]
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -29,20 +23,43 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a number of words."""
-
-    REMEMBERED = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word)
-        self[word] = h
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.REMEMBERED:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+IS_WORD = np.ones(256, dtype=bool)
+IS_WORD[[9, 10, 11, 12, 13, 32]] = False
+VALUES = mix(np.arange(1, 257, dtype=np.uint64))
+LOWER_VALUES = VALUES.copy()
+LOWER_VALUES[65:91] = VALUES[97:123]
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS.get("up", ())) < n:
+        size = max(BLOCK, 1 << n.bit_length())
+        _POWERS["up"], _POWERS["down"] = powers(STEP, size), powers(pow(STEP, -1, 2**64), size)
+    return _POWERS["up"], _POWERS["down"]
+
+
+def bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end bytes of the words."""
+    inside = np.zeros(len(data) + 2, dtype=np.int8)
+    inside[1:-1] = IS_WORD[data]
+    step = np.diff(inside)
+    return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+
+
+def word_hashes(text: bytes, lower: bool = False) -> np.ndarray:
+    """A 64-bit hash for every word: byte values times powers, summed once over the text and taken
+    apart at the word bounds. Long texts go in blocks that end between words."""
+    data = np.frombuffer(text, dtype=np.uint8)
+    if len(data) > BLOCK:
+        cut = BLOCK
+        while cut < len(data) and IS_WORD[data[cut]]:
+            cut += 1
+        return np.concatenate([word_hashes(text[:cut], lower), word_hashes(text[cut:], lower)])
+    start, end = bounds(data)
+    up, down = _tables(len(data) + 1)
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((LOWER_VALUES if lower else VALUES)[data] * up[: len(data)], out=total[1:])
+    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
 def window_hashes(h: np.ndarray, width: int) -> np.ndarray:

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from barloom.llm.graph import components
-from barloom.llm.hashing import PLACES, WordHashes, mix, window_hashes
+from barloom.llm.hashing import PLACES, mix, window_hashes, word_hashes
 from barloom.llm.registry import query
 from barloom.llm.tables import fill, read, settle, ship
 
@@ -41,14 +41,13 @@ MAX_FREQUENT = 50_000
 SALTS = 32
 
 
-def shingles(text: str | None, words: WordHashes, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct shingle hashes of a whole text."""
-    w = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z only, ASCII space only
-    if not w:
-        return np.empty(0, dtype=np.uint64)
-    h = words.of(w)
-    if len(w) < width:
-        return mix((h * PLACES[: len(h)]).sum(keepdims=True, dtype=np.uint64), salt=len(w))
+def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct shingle hashes of a whole text; only A-Z are lower-cased."""
+    h = word_hashes((text or "").encode("utf-8", "surrogatepass"), lower=True)
+    if not len(h):
+        return h
+    if len(h) < width:
+        return mix((h * PLACES[: len(h)]).sum(keepdims=True, dtype=np.uint64), salt=len(h))
     return np.unique(window_hashes(h, width))
 
 
@@ -67,14 +66,16 @@ def counts(s: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((s % np.uint64(g)).astype(np.int64), minlength=g), 255).astype(np.uint8)
 
 
-def first_shingles(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+def first_shingles(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles a set is filed under, and which of them are frequent."""
     n = len(s)
     keep = n - -(-n * percent // 100) + 1
+    last = np.zeros(n, dtype=bool)
     if len(frequent) and n:
-        at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-        last = frequent[at] == s
-        s = np.concatenate([s[~last], s[last]])
-    return s[:keep]
+        last = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
+        order = np.argsort(last, kind="stable")
+        s, last = s[order], last[order]
+    return s[:keep], last[:keep]
 
 
 def over_texts(docs: DataFrame, schema: str, row):
@@ -83,9 +84,8 @@ def over_texts(docs: DataFrame, schema: str, row):
     names = [c.split()[0] for c in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for b in batches:
-            columns = [row(words, i, t.as_py()) for i, t in zip(b.column(0).to_pylist(), b.column(1))]
+            columns = [row(i, t.as_py()) for i, t in zip(b.column(0).to_pylist(), b.column(1))]
             yield from pack(columns, names)
 
     return docs.mapInArrow(run, schema)
@@ -110,8 +110,8 @@ def node_id(doc_id: int | None, s: np.ndarray) -> int:
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
-    def row(words, doc_id, text):
-        s = shingles(text, words)
+    def row(doc_id, text):
+        s = shingles(text)
         return [doc_id], [node_id(doc_id, s)], [len(s)], [set_key(s) if len(s) else None], [counts(s).tobytes() if len(s) else None]
 
     return over_texts(docs, "doc_id long,nid long,n long,key binary,vec binary", row)
@@ -120,8 +120,8 @@ def sets_of(docs: DataFrame) -> DataFrame:
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
     """Shingles that many sampled documents hold, sorted; at most ``MAX_FREQUENT``."""
 
-    def row(words, doc_id, text):
-        return (shingles(text, words).view(np.int64),)
+    def row(doc_id, text):
+        return (shingles(text).view(np.int64),)
 
     sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
     counted = over_texts(sample, "token long", row).groupBy("token").count().filter(F.col("count") >= FREQUENT)
@@ -132,30 +132,33 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 def occurrences(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """``token, salt, nid``: the first shingles of each document; frequent ones are salted by document."""
 
-    def row(words, doc_id, text):
-        s = shingles(text, words)
-        first = first_shingles(s, frequent)
+    def row(doc_id, text):
+        s = shingles(text)
+        first, hot = first_shingles(s, frequent)
         node = node_id(doc_id, s)
-        hot = np.isin(first, frequent) if len(frequent) else np.zeros(len(first), dtype=bool)
         return first.view(np.int64), np.where(hot, node % SALTS + 1, 0).astype(np.int32), np.full(len(first), node, dtype=np.int64)
 
     return over_texts(docs, "token long,salt int,nid long", row)
 
 
-def trees(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``tree, key, n, vec``: the sets that meet in each tree, each once."""
+def trees(docs: DataFrame) -> DataFrame:
+    """``tree, most, nid``: the documents that meet in each tree, and a bound on their number.
+
+    One shuffle deals the shingles out; lists of documents are told apart by a count and two sums of hashes.
+    """
     spread = occurrences(docs, frequent_shingles(docs)).repartition("token", "salt")
     lists = spread.groupBy("token", "salt").agg(
-        F.count("*").alias("c"), F.sum(F.xxhash64("nid").cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "nid")).alias("x")
+        F.count("*").alias("c"),
+        F.sum(F.xxhash64("nid").cast("decimal(20,0)")).cast("decimal(38,0)").alias("s"),
+        F.bit_xor(F.xxhash64(F.lit(1), "nid")).alias("x"),
+        F.max("salt").alias("hot"),  # filters on it stay above the shuffle, which all readers so share
     )
-    hot = lists.filter("salt > 0").groupBy("token").agg(F.sum("c").alias("c"), F.sum("s").cast("decimal(30,0)").alias("s"), F.bit_xor("x").alias("x"))
-    cold = lists.filter("salt = 0").select("token", "c", F.col("s").cast("decimal(30,0)").alias("s"), "x")
-    shared = cold.unionByName(hot).filter("c > 1")
-    one = shared.groupBy("c", "s", "x").agg(F.min("token").alias("token")).select("token")
+    hot = lists.filter("hot > 0").groupBy("token").agg(F.sum("c").alias("c"), F.sum("s").cast("decimal(38,0)").alias("s"), F.bit_xor("x").alias("x"))
+    shared = lists.filter("hot = 0").select("token", "c", "s", "x").unionByName(hot).filter("c > 1")
+    one = shared.groupBy("c", "s", "x").agg(F.min("token").alias("token")).select("token", F.col("c").alias("most"))
     salted = one.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS))))
-    members = spread.join(salted.hint("shuffle_hash"), ["token", "salt"]).select(F.col("token").alias("tree"), "nid")
-    nodes = sets.filter("key IS NOT NULL").select("nid", "key", "n", "vec").distinct()
-    return members.join(nodes, "nid").select("tree", "key", "n", "vec").distinct()
+    members = spread.join(salted.hint("shuffle_hash"), ["token", "salt"])
+    return members.select(F.col("token").alias("tree"), "most", "nid")
 
 
 class RTree:
@@ -226,38 +229,59 @@ def survivors(n: np.ndarray, vecs: list[bytes], comp: np.ndarray | None, percent
             yield i, hit + start
 
 
+def best_partners(keys: list[bytes], n: np.ndarray, vecs: list[bytes]) -> set[tuple[bytes, bytes]]:
+    """One partner for every row that has any: that closest in size."""
+    top: dict[int, tuple[float, int]] = {}
+    for i, js in survivors(n, vecs, None):
+        for j in js.tolist():
+            close = n[i] / n[j]
+            for x, y in ((i, j), (j, i)):
+                if x not in top or close > top[x][0]:
+                    top[x] = (close, y)
+    return {(min(keys[x], keys[y]), max(keys[x], keys[y])) for x, (_, y) in top.items()}
+
+
 def search_trees(members: DataFrame, within: bool) -> DataFrame:
-    """Pairs ``a, b`` of keys from rows ``tree, part, key, n, vec[, comp, side]``, group by group.
+    """Pairs ``a, b`` of keys from rows ``tree, part, most, key, n, vec, comp, side``.
 
     ``within``: one best partner per row of a block; else every pair between components whose bound survives.
+    A task reads its blocks in order and holds one at a time.
     """
+    columns = ["key", "n", "vec", "comp", "side", "most"]
 
-    def best(keys, n, vecs):
-        top: dict[int, tuple[float, int]] = {}
-        for i, js in survivors(n, vecs, None):
-            for j in js:
-                closeness = n[i] / n[j]
-                for x, y in ((i, j), (j, i)):
-                    if x not in top or closeness > top[x][0]:
-                        top[x] = (closeness, y)
-        return {tuple(sorted((keys[x], keys[y]))) for x, (_, y) in top.items()}
-
-    def group(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("n", "ascending"), ("key", "ascending")])
-        keys, n, vecs = table["key"].to_pylist(), table["n"].to_numpy(), table["vec"].to_pylist()
+    def pairs(rows: list[tuple]) -> set[tuple[bytes, bytes]]:
+        once = [r for k, r in enumerate(rows) if not k or r[0] != rows[k - 1][0]]
+        if len(once) < 2 or 100 * once[0][1] < PERCENT * once[-1][1] and len(once) == 2:
+            return set()
+        keys, n, vecs = [r[0] for r in once], np.array([r[1] for r in once]), [r[2] for r in once]
         if within:
-            found = best(keys, n, vecs)
-            if table["size"][0].as_py() > BLOCK:
-                found |= {(k, k) for k in keys}  # may have partners in other blocks: its text is wanted later
-        else:
-            comp = np.unique(np.array([c.hex() for c in table["comp"].to_pylist()]), return_inverse=True)[1]
-            side = table["side"].to_numpy()
-            left = side if (side != side[0]).any() else None
-            found = {tuple(sorted((keys[i], keys[j]))) for i, js in survivors(n, vecs, comp, left=left) for j in js}
-        pairs = sorted(found)
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
+            found = best_partners(keys, n, vecs)
+            # A full block may have partners in another one: its texts are wanted later.
+            return found | {(k, k) for k in keys} if once[0][5] > BLOCK else found
+        names = {c: i for i, c in enumerate({r[3] for r in once})}
+        comp, side = np.array([names[r[3]] for r in once]), np.array([r[4] for r in once])
+        left = side if (side != side[0]).any() else None
+        return {(min(keys[i], keys[j]), max(keys[i], keys[j])) for i, js in survivors(n, vecs, comp, left=left) for j in js.tolist()}
 
-    return members.groupBy("tree", "part").applyInArrow(group, "a binary, b binary").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = [], None
+        for batch in batches:
+            found: set = set()
+            places = zip(batch.column("tree").to_pylist(), batch.column("part").to_pylist())
+            for place, row in zip(places, zip(*[batch.column(c).to_pylist() for c in columns])):
+                if place != at:
+                    found |= pairs(held)
+                    held, at = [], place
+                held.append(row)
+            yield as_batch(found)
+        yield as_batch(pairs(held))
+
+    def as_batch(found: set) -> pa.RecordBatch:
+        rows = sorted(found)
+        return pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in rows], pa.binary()), "b": pa.array([p[1] for p in rows], pa.binary())})
+
+    dealt = members.repartition("tree", "part").sortWithinPartitions("tree", "part", "n", "key")
+    return dealt.select("tree", "part", *columns).mapInArrow(run, "a binary, b binary").distinct()
 
 
 def verified(pairs: DataFrame, content: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -267,13 +291,14 @@ def verified(pairs: DataFrame, content: DataFrame, percent: int = PERCENT) -> Da
     both = pairs.filter("a != b").join(left, "a").join(right, "b").select("a", "b", "pa", "pb")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, unpack, last = WordHashes(), zstandard.ZstdDecompressor(), (None, None)
+        unpack, last = zstandard.ZstdDecompressor(), (None, None)
+        text = lambda p: unpack.decompress(p).decode("utf-8", "surrogatepass")
         for batch in batches:
             keep = []
             for i, (p, q) in enumerate(zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist())):
                 if last[0] != q:
-                    last = (q, shingles(unpack.decompress(q).decode("utf-8", "surrogatepass"), words))
-                x, y = shingles(unpack.decompress(p).decode("utf-8", "surrogatepass"), words), last[1]
+                    last = (q, shingles(text(q)))
+                x, y = shingles(text(p)), last[1]
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * common >= percent * (len(x) + len(y) - common):
                     keep.append(i)
@@ -283,31 +308,35 @@ def verified(pairs: DataFrame, content: DataFrame, percent: int = PERCENT) -> Da
 
 
 def contents(docs: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
-    """``key, packed``: one compressed text for each wanted set."""
-    holders = sets.groupBy("key").agg(F.min("nid").alias("nid")).join(wanted, "key", "left_semi")
+    """``key, packed``: one compressed text for each wanted set. Texts are compressed before the shuffle."""
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, squeeze = WordHashes(), zstandard.ZstdCompressor(level=3)
-        for b in batches:
-            rows = []
-            for key, text in zip(b.column("key").to_pylist(), b.column("text").to_pylist()):
-                if set_key(shingles(text, words)) == key:  # an id that stands twice brings other texts too
-                    rows.append((key, squeeze.compress(text.encode("utf-8", "surrogatepass"))))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], names=["key", "packed"])
-
-    with_id = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").join(holders.withColumnRenamed("nid", "doc_id"), "doc_id")
-    named = with_id.select("key", "text").mapInArrow(compress, "key binary, packed binary")
-    # Sets that only rows without an id hold are rare: their texts are found by the key itself.
-    nameless = docs.filter("doc_id IS NULL AND text IS NOT NULL").select(F.lit(None).cast("long").alias("doc_id"), "text")
-
-    def by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, squeeze = WordHashes(), zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=1)
         for b in batches:
-            texts = b.column("text").to_pylist()
-            keys = [set_key(shingles(t, words)) for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([squeeze.compress(t.encode("utf-8", "surrogatepass")) for t in texts], pa.binary())], names=["key", "packed"])
+            texts = [t.as_py().encode("utf-8", "surrogatepass") for t in b.column("text")]
+            packed = pa.array([squeeze.compress(t) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), packed], names=["nid", "packed"])
 
-    rest = nameless.mapInArrow(by_key, "key binary, packed binary").join(wanted, "key", "left_semi")
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            texts = [t.as_py() for t in b.column("text")]
+            keys = pa.array([set_key(shingles(t)) for t in texts], pa.binary())
+            packed = pa.array([squeeze.compress(t.encode("utf-8", "surrogatepass")) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([keys, packed], names=["key", "packed"])
+
+    def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """An id that stands twice brings other texts too."""
+        unpack = zstandard.ZstdDecompressor()
+        for b in batches:
+            same = [k == set_key(shingles(unpack.decompress(p).decode("utf-8", "surrogatepass"))) for k, p in zip(b.column("key").to_pylist(), b.column("packed").to_pylist())]
+            yield b.filter(pa.array(same, pa.bool_()))
+
+    holders = sets.filter("doc_id IS NOT NULL").groupBy("key").agg(F.min("nid").alias("nid")).join(wanted, "key", "left_semi")
+    named = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(compress, "nid long, packed binary")
+    named = named.join(holders, "nid").select("key", "packed").mapInArrow(fitting, "key binary, packed binary")
+    # Sets that only rows without an id hold are rare: they are found by the key itself.
+    rest = docs.filter("doc_id IS NULL AND text IS NOT NULL").mapInArrow(keyed, "key binary, packed binary").join(wanted, "key", "left_semi")
     return named.unionByName(rest).dropDuplicates(["key"])
 
 
@@ -315,28 +344,28 @@ def linked(docs: DataFrame) -> DataFrame:
     """``doc_id, n, key, component_id`` for every row of ``doc_id, text``."""
     docs = docs.select("doc_id", "text")
     sets = settle(sets_of(docs))
-    members = trees(docs, sets)
-    members = settle(members)
-    sizes = members.groupBy("tree").agg(F.count("*").alias("size")).filter("size > 1")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    near = members.join(sizes, "tree").withColumn("part", F.pmod(F.xxhash64("n"), blocks))
-    first = settle(search_trees(near, within=True))
+    members = settle(trees(docs))
+    nodes = sets.filter("key IS NOT NULL").select("nid", "key", "n", "vec")
+    blocks = F.ceil(F.col("most") / BLOCK).cast("int")
+    # Blocks hold sets of like size.
+    near = members.join(nodes, "nid").withColumn("part", F.pmod(F.xxhash64(F.floor(F.log2("n") * 8)), blocks))
+    first = settle(search_trees(near.withColumns({"comp": F.lit(None).cast("binary"), "side": F.lit(0)}), within=True))
     wanted = first.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     content = settle(contents(docs, wanted, sets))
     links = settle(verified(first, content))
-    roots = components(links)
+    roots = settle(components(links))
 
     # Second search: only trees that still hold several components, only pairs between them.
-    named = members.join(content.select("key"), "key", "left_semi").join(roots.withColumnRenamed("node", "key"), "key", "left")
-    named = named.withColumn("comp", F.coalesce("root", "key")).drop("root")
-    open_ = named.groupBy("tree").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).filter("lo != hi")
-    parts = F.ceil(F.col("size") / SEARCH_BLOCK).cast("int")
-    own = named.join(open_.select("tree", parts.alias("parts")), "tree").withColumn("i", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    named = nodes.select("nid", "key", "n").join(content.select("key"), "key", "left_semi").join(roots.withColumnRenamed("node", "key"), "key", "left")
+    named = members.join(named.withColumn("comp", F.coalesce("root", "key")).drop("root"), "nid")
+    open_ = named.groupBy("tree").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("tree")
+    parts = F.ceil(F.col("most") / SEARCH_BLOCK).cast("int")
+    own = named.join(open_, "tree").withColumn("parts", parts).withColumn("i", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
     # A row meets its own block and each other block once: part names the two blocks.
-    low = lambda c: F.least(F.col("i"), c)
     other = own.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    other = other.withColumn("part", low(F.col("j")) * F.col("parts") + F.greatest("i", "j")).withColumn("side", F.col("i"))
-    second = settle(search_trees(other.select("tree", "part", "key", "n", "vec", "comp", "side"), within=False))
+    other = other.withColumn("part", F.least("i", "j").cast("long") * F.col("parts") + F.greatest("i", "j")).withColumn("side", F.col("i"))
+    other = other.join(nodes.select("nid", "vec"), "nid")
+    second = settle(search_trees(other, within=False))
     links = links.unionByName(verified(second.join(first, ["a", "b"], "left_anti"), content))
     roots = components(settle(links))
     nodes = sets.select("doc_id", "n", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
