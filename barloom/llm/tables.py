@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barloom.session import settle, ship_package
 
-__all__ = ["fill", "numbered", "read", "settle", "ship", "sized_broadcast", "words_of"]
+__all__ = ["fill", "numbered", "read", "settle", "shared_folder", "ship", "sized_broadcast", "words_of"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,8 +41,16 @@ def sized_broadcast(df: DataFrame, limit_rows: int) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Make the package importable in Python workers; local sessions have it already."""
+    """Make the package importable in Python workers; a local session's workers find it already."""
     if not spark.sparkContext.master.startswith("local["):
         ship_package(spark)
-    else:
-        os.environ.setdefault("PYTHONPATH", "")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; a local session without one gets its own."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="barloom-shared-")
+    return folder
