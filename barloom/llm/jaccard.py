@@ -58,7 +58,7 @@ def set_key(s: np.ndarray) -> bytes:
 
 
 def groups_for(n: int) -> int:
-    return 1 << max(4, (max(n, 1) // 8).bit_length())
+    return 1 << max(4, (max(n, 1) // 4).bit_length())
 
 
 def counts(s: np.ndarray) -> np.ndarray:
@@ -138,7 +138,7 @@ def occurrences(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         node = node_id(doc_id, s)
         return first.view(np.int64), np.where(hot, node % SALTS + 1, 0).astype(np.int32), np.full(len(first), node, dtype=np.int64)
 
-    return over_texts(docs, "token long,salt int,nid long", row)
+    return over_texts(docs, "token long not null,salt int not null,nid long not null", row)
 
 
 def trees(docs: DataFrame) -> DataFrame:
@@ -203,8 +203,19 @@ def unfolded(vecs: list[bytes]) -> np.ndarray:
 def survivors(n: np.ndarray, vecs: list[bytes], comp: np.ndarray | None, percent: int = PERCENT, left: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
     """For each row the later rows (in order of size) whose bound reaches the threshold.
 
-    Rows come sorted by size. With ``left``, only pairs between marked and unmarked rows.
+    Rows come sorted by size. With ``left``, only pairs between rows of different marks. A few rows are one
+    leaf and are compared at once.
     """
+    if len(n) <= RTree.FAN:
+        block = unfolded(vecs)
+        bound = np.minimum(block[:, None], block[None]).sum(axis=2)
+        fits = np.triu(bound >= -(-percent * (n[:, None] + n[None]) // (100 + percent)), 1) & (100 * n[:, None] >= percent * n[None])
+        for mark in (comp, left):
+            if mark is not None:
+                fits &= mark[:, None] != mark[None]
+        for i in np.flatnonzero(fits.any(axis=1)).tolist():
+            yield i, np.flatnonzero(fits[i])
+        return
     points = None
     start = 0
     # Sizes that can link are within 100 / percent; each run of sizes folds its vectors to one length.

@@ -152,7 +152,7 @@ def filed(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             salt = salts(tokens, owner, frequent)
             yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(salt), pa.array(owner)], names=["token", "salt", "doc_id"])
 
-    return docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInArrow(run, "token long, salt int, doc_id long")
+    return docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInArrow(run, "token long not null, salt int not null, doc_id long not null")
 
 
 def salts(tokens: np.ndarray, owner: np.ndarray, frequent: np.ndarray) -> np.ndarray:
