@@ -23,14 +23,14 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from barloom.llm.hashing import window_hashes, word_hashes
+from barloom.llm.hashing import PLACES, window_hashes, word_hashes
 from barloom.llm.registry import query
 from barloom.llm.tables import read, settle, ship
 
 WINDOW = 13
 ANCHOR = 5
 SHARD_PASSAGES = 40_000
-SAMPLE, FREQUENT, MAX_FREQUENT, SALTS = 64, 4, 50_000, 32
+SAMPLE, FREQUENT, MAX_FREQUENT, SALTS = 64, 4, 50_000, 8
 
 
 def anchors(h: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -121,8 +121,13 @@ def removable(passages: list[bytes], docs: np.ndarray, window: int = WINDOW) ->
     coded = [np.array([number.setdefault(w, len(number) + 1) for w in p.split()], dtype=np.int64) for p in least]
     index = FMIndex(coded, np.array(list(least.values()), dtype=np.int64))
     views = [np.lib.stride_tricks.sliding_window_view(c, window) for c in coded]
-    lo, hi = index.interval(np.concatenate(views))
-    owner = index.least_owner(lo, hi)
+    patterns = np.concatenate(views)
+    # Windows that passages share are searched once.
+    _, first, back = np.unique((patterns.astype(np.uint64) * PLACES[:window]).sum(axis=1, dtype=np.uint64), return_index=True, return_inverse=True)
+    if not (patterns[first][back] == patterns).all():
+        first = back = np.arange(len(patterns))
+    lo, hi = index.interval(patterns[first])
+    owner = index.least_owner(lo, hi)[back]
     cuts = np.cumsum([len(v) for v in views])[:-1]
     return dict(zip(least, np.split(owner, cuts)))
 
