@@ -45,18 +45,19 @@ def plain(text: Column) -> Column:
 
 
 def split_words(text: Column) -> Column:
-    return F.split(F.regexp_replace(text, rf"^{SPACE}|{SPACE}$", ""), SPACE)
+    return F.split(F.btrim(text, F.lit("\x20\x09\x0a\x0b\x0c\x0d")), SPACE)
 
 
 def windows(texts: DataFrame, key: str, window: int) -> DataFrame:
-    """``key``, ``at`` (from 1), ``hash``, and the arrays ``form`` and ``values`` of the text."""
-    t = fill("text")
-    words = texts.select(key, canonical(t).alias("c"), plain(t).alias("p")).select(
-        key, split_words(F.col("c")).alias("form"), split_words(F.col("p")).alias("values")
-    )
+    """``key``, ``text``, ``form`` (its template words), ``at`` (from 1) and ``hash`` of each window.
+
+    Words are hashed once; a window hashes the hashes of its words.
+    """
+    words = texts.select(key, "text", split_words(canonical(fill("text"))).alias("form"))
+    coded = words.withColumn("codes", F.transform("form", lambda w: F.xxhash64(w)))
     starts = F.when(F.size("form") >= window, F.sequence(F.lit(1), F.size("form") - (window - 1))).otherwise(F.array().cast("array<int>"))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("form", i, window)))
-    return words.select(key, "form", "values", F.posexplode(hashes).alias("at", "hash")).withColumn("at", F.col("at") + 1)
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("codes", i, window)))
+    return coded.select(key, "text", "form", F.posexplode(hashes).alias("at", "hash")).withColumn("at", F.col("at") + 1)
 
 
 def is_slot(word: Column) -> Column:
@@ -76,12 +77,13 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_literals:
     """
     cut = lambda c: F.slice(c, F.col("at"), window)
     literal = F.size(F.filter(cut("form"), lambda w: ~is_slot(w)))
+    values = F.slice(split_words(plain(fill("text"))), F.col("at"), window)  # after the join: only where a window matched
     known = windows(items.select("item_id", "text"), "item_id", window).filter(literal >= min_literals)
-    known = known.select("hash", "item_id", cut("form").alias("item_form"), values_of(cut("form"), cut("values")).alias("item_values"))
+    known = known.select("hash", "item_id", cut("form").alias("item_form"), values_of(cut("form"), values).alias("item_values"))
     known = sized_broadcast(settle(known.distinct()), MAX_BROADCAST_WINDOWS)
     keyed = docs.select(F.struct("doc_id", F.xxhash64(fill("text")).alias("text_key")).alias("key"), "text")
     seen = windows(keyed, "key", window).join(known, "hash").filter(cut("form") == F.col("item_form"))
-    both = F.zip_with("item_values", values_of(cut("form"), cut("values")), lambda i, d: F.struct(i.alias("item"), d.alias("doc")))
+    both = F.zip_with("item_values", values_of(cut("form"), values), lambda i, d: F.struct(i.alias("item"), d.alias("doc")))
     hits = seen.select("key.*", "item_id", F.filter(both, lambda s: s["item"].isNotNull()).alias("s"))
     pairs = F.array_distinct(F.flatten(F.collect_set("s")))
     found = hits.groupBy("doc_id", "text_key", "item_id").agg(F.count("*").alias("n_windows"), pairs.alias("s"))
