@@ -49,16 +49,21 @@ def bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(text: bytes, lower: bool = False) -> np.ndarray:
     """A 64-bit hash for every word: byte values times powers, summed once over the text and taken
     apart at the word bounds. Long texts go in blocks that end between words."""
-    data = np.frombuffer(text, dtype=np.uint8)
-    if len(data) > BLOCK:
-        cut = BLOCK
+    data, found, at = np.frombuffer(text, dtype=np.uint8), [], 0
+    while at < len(data) or not found:
+        cut = at + BLOCK
         while cut < len(data) and IS_WORD[data[cut]]:
             cut += 1
-        return np.concatenate([word_hashes(text[:cut], lower), word_hashes(text[cut:], lower)])
+        found.append(_hash_block(data[at:cut], LOWER_VALUES if lower else VALUES))
+        at = cut
+    return np.concatenate(found)
+
+
+def _hash_block(data: np.ndarray, values: np.ndarray) -> np.ndarray:
     start, end = bounds(data)
     up, down = _tables(len(data) + 1)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((LOWER_VALUES if lower else VALUES)[data] * up[: len(data)], out=total[1:])
+    np.cumsum(values[data] * up[: len(data)], out=total[1:])
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
