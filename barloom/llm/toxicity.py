@@ -37,7 +37,7 @@ THRESHOLD = 0.7
 TRIM = re.compile(r"^[\W_]+|[\W_]+$")
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=20_000)
 def features_of(word: str) -> tuple[str, ...]:
     """The trimmed word and its beginnings (marked with a star)."""
     w = TRIM.sub("", word)
@@ -50,11 +50,14 @@ def features(text: str) -> set[str]:
 
 def fit(positive: list[str], unlabelled: list[str], prior: float, rounds: int = 400, penalty: float = PENALTY) -> tuple[dict[str, float], float]:
     """Weights by feature and the bias, from texts; non-negative PU risk with logistic loss."""
-    p_sets, u_sets = [features(t) for t in positive], [features(t) for t in unlabelled]
     rest = math.log(prior / (1 - prior))
-    if not p_sets or not u_sets:
+    if not positive or not unlabelled:
         return {}, rest
-    p_df, u_df = Counter(f for s in p_sets for f in s), Counter(f for s in u_sets for f in s)
+    # Only features of three positive texts or more are held; those of a text are made when needed.
+    p_df = Counter(f for t in positive for f in features(t))
+    p_df = Counter({f: n for f, n in p_df.items() if n >= 3})
+    p_sets, u_sets = [features(t) & p_df.keys() for t in positive], [features(t) & p_df.keys() for t in unlabelled]
+    u_df = Counter(f for s in u_sets for f in s)
     n_p, n_u = len(p_sets), len(u_sets)
 
     def contrast(f: str) -> float:
@@ -132,7 +135,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
 class Scorer:
     """Scores texts; remembers what each word adds, up to a number of words."""
 
-    REMEMBERED = 400_000
+    REMEMBERED = 250_000
 
     def __init__(self, weights: dict[str, float], bias: float):
         self.weights, self.bias, self.seen = weights, bias, {}
