@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -40,7 +40,7 @@ TRIM = re.compile(r"^[\W_]+|[\W_]+$")
 @lru_cache(maxsize=20_000)
 def features_of(word: str) -> tuple[str, ...]:
     """The trimmed word and its beginnings (marked with a star)."""
-    w = TRIM.sub("", word)
+    w = word if word.isalnum() else TRIM.sub("", word)
     return (w, *[w[:n] + "*" for n in BEGINNINGS if len(w) >= n]) if w else ()
 
 
@@ -48,6 +48,35 @@ def features(text: str) -> set[str]:
     return {f for w in set(text.lower().split()) for f in features_of(w)}
 
 
+class Finder:
+    """The features of a text that stand in ``wanted``; remembers what each word has, up to a number of words."""
+
+    REMEMBERED = 250_000
+
+    def __init__(self, wanted: Collection[str]):
+        self.wanted = wanted
+        self.starts = {f[:4] for f in wanted}  # a word or its shortest beginning starts like each of its features
+        self.seen: set[str] = set()
+        self.marked: set[str] = set()
+        self.having: dict[str, list[str]] = {}
+
+    def learn(self, words: set[str]) -> None:
+        for word in words:
+            w = word if word.isalnum() else TRIM.sub("", word)
+            if w and (w[:4] in self.starts or w[:3] + "*" in self.starts) and (found := [f for f in (w, *[w[:n] + "*" for n in BEGINNINGS if len(w) >= n]) if f in self.wanted]):
+                self.having[word] = found
+                self.marked.add(word)
+        self.seen |= words
+
+    def __call__(self, text: str) -> set[str]:
+        if len(self.seen) >= self.REMEMBERED:
+            self.seen, self.marked, self.having = set(), set(), {}
+        words = set(text.lower().split())
+        if new := words - self.seen:
+            self.learn(new)
+        return {f for w in words & self.marked for f in self.having[w]}
+
+
 def fit(positive: list[str], unlabelled: list[str], prior: float, rounds: int = 400, penalty: float = PENALTY) -> tuple[dict[str, float], float]:
     """Weights by feature and the bias, from texts; non-negative PU risk with logistic loss."""
     rest = math.log(prior / (1 - prior))
@@ -56,7 +85,8 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, rounds: int =
     # Only features of three positive texts or more are held; those of a text are made when needed.
     p_df = Counter(f for t in positive for f in features(t))
     p_df = Counter({f: n for f, n in p_df.items() if n >= 3})
-    p_sets, u_sets = [features(t) & p_df.keys() for t in positive], [features(t) & p_df.keys() for t in unlabelled]
+    present = Finder(p_df)
+    p_sets, u_sets = [present(t) for t in positive], [present(t) for t in unlabelled]
     u_df = Counter(f for s in u_sets for f in s)
     n_p, n_u = len(p_sets), len(u_sets)
 
@@ -133,29 +163,13 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
 
 
 class Scorer:
-    """Scores texts; remembers what each word adds, up to a number of words."""
-
-    REMEMBERED = 250_000
+    """Scores texts by the weights of their features."""
 
     def __init__(self, weights: dict[str, float], bias: float):
-        self.weights, self.bias, self.seen = weights, bias, {}
-
-    def hits(self, word: str) -> tuple[str, ...]:
-        found = tuple(f for f in features_of(word) if f in self.weights)
-        if len(self.seen) >= self.REMEMBERED:
-            self.seen.clear()
-        self.seen[word] = found
-        return found
+        self.weights, self.bias, self.present = weights, bias, Finder(weights)
 
     def score(self, text: str) -> float:
-        seen, hits, present = self.seen, self.hits, set()
-        for w in set(text.lower().split()):
-            found = seen.get(w)
-            if found is None:
-                found = hits(w)
-            if found:
-                present.update(found)
-        total = self.bias + math.fsum(self.weights[f] for f in present)
+        total = self.bias + math.fsum(self.weights[f] for f in self.present(text))
         return 0.5 * (1 + math.tanh(0.5 * total))
 
 
