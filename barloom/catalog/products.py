@@ -353,7 +353,7 @@ def _panel(spark, d):
     """Daily bars of all symbols with the macro series carried to their dates."""
     bars = views.bars_daily(spark, d)
     m = align.outer_align(views.macro(spark, d), MACRO_NAMES)
-    daily = align.reindex_ffill(m, bars.select("ts").distinct(), MACRO_NAMES, backfill=True)
+    daily = align.reindex_ffill(m, bars.select("ts").distinct(), MACRO_NAMES)
     return bars.join(daily, "ts").select("symbol", "ts", "close", *MACRO_NAMES)
 
 
@@ -419,7 +419,7 @@ def k5(spark, d):
 
 def _regimes(spark, d, states=2):
     past, future = models.time_split(_frame(spark, d), TRAIN, TEST)
-    return regimes.fit(past, ("Ret1", "Vol10"), states, iterations=8), past, future
+    return regimes.fit(past, ("Ret1", "Vol10"), states), past, future
 
 
 @query("k6_regime_hmm_fit")

@@ -108,16 +108,16 @@ def assign_align(series: DataFrame, names: Sequence[str], ts: str = "ts", name:
 
 
 def spine_join(
-    spine: DataFrame, tables: dict[str, DataFrame], on: Sequence[str] = ("Date",), dedupe: str = "fan_out", order: str | None = None
+    spine: DataFrame, tables: dict[str, DataFrame], on: Sequence[str] = ("Date",), dedupe: str = "fan_out", order: str | dict[str, str] | None = None
 ) -> DataFrame:
     """Left join every table onto the spine's dates.
 
     Duplicate right dates fan rows out (``fan_out``), raise (``error``) or keep the row that
-    is last by ``order`` (``last``).
+    is last by ``order``, a column of all tables or one for each (``last``).
     """
     on = list(on)
 
-    def prepared(df: DataFrame) -> DataFrame:
+    def prepared(name: str, df: DataFrame) -> DataFrame:
         if dedupe == "fan_out":
             return df
         if dedupe == "error":
@@ -125,12 +125,15 @@ def spine_join(
             checked = F.when(seen > 1, F.raise_error(F.lit("duplicate dates on the right side"))).otherwise(F.lit(1))
             return df.withColumn("_one", checked.cast("int")).filter("_one = 1").drop("_one")
         if dedupe == "last":
+            by = order.get(name) if isinstance(order, dict) else order
+            if by is None:
+                raise ValueError(f"dedupe='last' needs an order column for {name}")
             rest = [c for c in df.columns if c not in on]
-            row = F.max_by(F.struct(*rest), F.col(order)).alias("_row")
+            row = F.max_by(F.struct(*rest), F.col(by)).alias("_row")
             return df.groupBy(*on).agg(row).select(*on, *[F.col("_row").getField(c).alias(c) for c in rest])
         raise ValueError("dedupe must be 'fan_out', 'error' or 'last'")
 
-    return reduce(lambda left, t: left.join(prepared(t), on, "left"), tables.values(), spine)
+    return reduce(lambda left, t: left.join(prepared(*t), on, "left"), tables.items(), spine)
 
 
 def pivot_wide(df: DataFrame, assets: Sequence[str], values: Sequence[str] = ("close",), by: Sequence[str] = (), ts: str = "ts", asset: str = "asset") -> DataFrame:

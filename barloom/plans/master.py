@@ -50,10 +50,12 @@ def build_master(
     train: tuple[str, str] = ("2015-01-01", "2021-12-31"),
     threshold: float = 0.9,
     dedupe: str = "fan_out",
+    order: dict[str, str] | None = None,
 ) -> Master:
     """Join prepared tables on the calendar of one of them, then target and feature selection.
 
     The calendar table gives only its dates. Correlations look at the training range only.
+    With ``dedupe="last"`` ``order`` names a source column for each table, the highest value of which stays per date.
     Tables are one row per date, so windows over the joined table are bounded by the calendar.
     """
     prepared, before = {}, {}
@@ -66,7 +68,7 @@ def build_master(
         before[name] = profile.null_profile(raw, [c for c in raw.columns if c != date_column])
     spine = align.calendar(prepared[calendar_table], ts=DATE)
     tables = {n: t for n, t in prepared.items() if n != calendar_table}
-    merged = align.spine_join(spine, tables, [DATE], dedupe)
+    merged = align.spine_join(spine, tables, [DATE], dedupe, {n: f"{n}_{c}" for n, c in (order or {}).items()})
     after = {
         n: profile.null_profile(merged, cols) for n, cols in profile.source_profile(merged, list(prepared)).items() if cols
     }

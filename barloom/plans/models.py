@@ -12,6 +12,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barloom.operators import align
+from barloom.functions.cells import inf_to_null
 from barloom.operators.lanes import Lane
 from barloom.operators.panel import mse
 from barloom.operators.rolling import log_return
@@ -70,7 +71,9 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
     Each pass counts rows in 1024 buckets between the current bounds, combined map-side, and
     narrows the bounds to the bucket that holds the wanted rank, until a bucket holds a single
     value. What comes back to the driver is at most 1024 rows per wanted rank and pass.
+    NaN and infinities count as missing.
     """
+    df = df.select(*[inf_to_null(F.col(c).cast("double")).alias(c) for c in columns])
     row = df.agg(
         *[f(c).alias(f"{i}_{n}") for i, c in enumerate(columns) for n, f in (("n", F.count), ("a", F.min), ("z", F.max))]
     ).first()
@@ -122,12 +125,13 @@ def add_folds(df: DataFrame, splits: int = 5, ts: str = "ts") -> DataFrame:
     """``fold`` 0 for the first training block, 1..splits for the expanding test blocks.
 
     Test blocks have ``dates // (splits + 1)`` dates each, counted from the end. Folds are cut
-    on dates, so the numbering runs over the calendar, not over all rows.
+    on dates, so the numbering runs over the calendar, not over all rows. With fewer dates than blocks
+    each block has one date and the first test blocks are empty.
     """
     dates = df.select(ts).distinct()
     w = Window.orderBy(ts)
     n = F.count("*").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    from_end = F.ceil((n - F.row_number().over(w) + 1) / F.floor(n / F.lit(splits + 1)))
+    from_end = F.ceil((n - F.row_number().over(w) + 1) / F.greatest(F.lit(1), F.floor(n / F.lit(splits + 1))))
     return df.join(dates.withColumn("fold", F.greatest(F.lit(0), F.lit(splits + 1) - from_end).cast("int")), ts)
 
 
@@ -164,8 +168,13 @@ def expanding_grid_search(train: DataFrame, features: Sequence[str], grid: dict[
             params = dict(zip(grid, values))
             errors = []
             for k in range(1, splits + 1):
-                model = regression_pipeline(features, label, **params).fit(data.filter(F.col("fold") < k))
-                errors.append(mse(model.transform(data.filter(F.col("fold") == k)), label, "prediction").first()["mse"])
+                before, block = data.filter(F.col("fold") < k), data.filter(F.col("fold") == k)
+                if before.isEmpty() or block.isEmpty():
+                    continue
+                model = regression_pipeline(features, label, **params).fit(before)
+                errors.append(mse(model.transform(block), label, "prediction").first()["mse"])
+            if not errors:
+                raise ValueError("too few dates to validate on")
             scores.append((params, sum(errors) / len(errors)))
         best = min(scores, key=lambda s: s[1])[0]
         return Tuned(regression_pipeline(features, label, **best).fit(data), best, scores)

@@ -143,17 +143,18 @@ def fit(
     df: DataFrame,
     inputs: Sequence[str],
     states: int = 3,
-    iterations: int = 50,
-    tolerance: float = 1e-2,
+    iterations: int = 300,
+    tolerance: float = 1e-4,
     floor: float = 1e-6,
     by: str = "symbol",
 ) -> Regimes:
-    """EM until the log-likelihood gains less than ``tolerance`` or ``iterations`` are done."""
+    """EM until the log-likelihood per observation gains less than ``tolerance`` or ``iterations`` are done."""
     k, d = states, len(inputs)
     ship_package(df.sparkSession)
     packed = settle(pack(df, inputs, by))
-    row = df.na.drop(subset=list(inputs)).agg(*[f(c) for c in inputs for f in (F.avg, F.var_pop)]).first()
-    mu, var = np.array(row[0::2], float), np.maximum(np.array(row[1::2], float), floor)
+    row = df.na.drop(subset=list(inputs)).agg(*[f(c) for c in inputs for f in (F.avg, F.var_pop)], F.count("*")).first()
+    observations = max(row[-1], 1)
+    mu, var = np.array(row[0:-1:2], float), np.maximum(np.array(row[1:-1:2], float), floor)
     spread = np.linspace(-1, 1, k)[:, None] * np.sqrt(var)
     # Calm to wild: states differ in spread from the start, not only in level.
     move = np.full((k, k), 0.1 / max(k - 1, 1)) + np.eye(k) * (0.9 - 0.1 / max(k - 1, 1))
@@ -175,7 +176,7 @@ def fit(
             np.maximum(zz / weight - mean * mean, floor),
         )
         history.append(float(s[-1]))
-        if len(history) > 1 and history[-1] - history[-2] < tolerance:
+        if len(history) > 1 and history[-1] - history[-2] < tolerance * observations:
             break
     return Regimes(m.inputs, m.start, m.move, m.mean, m.var, tuple(history))
 

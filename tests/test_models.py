@@ -137,3 +137,14 @@ def test_outside_scorer_runs_in_batches(spark):
 
     df = spark.createDataFrame([("ab",), ("abcd",)], "text string")
     assert sorted(r.sentiment_score for r in sentiment.score_text_with(df, load).collect()) == [2.0, 4.0]
+
+
+def test_medians_take_nan_and_infinity_as_missing(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(1.0, None, inf), (2.0, None, 1.0), (3.0, nan, 2.0), (nan, inf, -inf)], "a double, b double, c double")
+    assert models.exact_medians(df, ["a", "b", "c"]) == {"a": 2.0, "b": None, "c": 1.5}
+
+
+def test_folds_of_a_short_series_have_one_date_each(spark):
+    df = spark.createDataFrame([("2020-01-01",), ("2020-01-02",)], "ts string")
+    assert [r.fold for r in models.add_folds(df, 5).orderBy("ts").collect()] == [4, 5]

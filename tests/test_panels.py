@@ -229,3 +229,13 @@ def test_top_n_limits_before_the_shuffle(spark):
         out.explain()
     assert "WindowGroupLimit" in buf.getvalue().split("Exchange")[1]
     assert sorted(r.id for r in out.collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_master_keeps_the_last_row_of_a_date(spark):
+    vol = spark.createDataFrame([("2020-01-01", 1), ("2020-01-02", 1), ("2020-01-03", 1)], "Date string, v int")
+    bars = spark.createDataFrame([("2020-01-01", 1.0, 1), ("2020-01-01", 2.0, 2), ("2020-01-02", 3.0, 1), ("2020-01-03", 6.0, 1)], "Date string, close double, n int")
+    sources = {"spy_rth_volatility": vol, "spy_ohlcv_1drth": bars}
+    m = master.build_master(sources, train=("2020-01-01", "2020-12-31"), dedupe="last", order={"spy_ohlcv_1drth": "n"})
+    assert [r.spy_ohlcv_1drth_close for r in m.data.orderBy("Date").collect()] == [2.0, 3.0]
+    with pytest.raises(ValueError):
+        master.build_master(sources, dedupe="last")
