@@ -242,3 +242,13 @@ def test_pipeline(spark, data):
     assert out.columns == [*docs.columns, "repetition", "taken"] and 0 < out.count()
     leaked = {r["doc_id"] for r in entry.queries()["op7_template_leaks"](spark, data).collect() if r["consistent"]}
     assert not leaked & {r["doc_id"] for r in out.collect()}
+
+
+def test_word_lookup_equals_all_features():
+    texts = ["", "a ab abc abcd", "(abcd) _abcde_ ab* étonnant", "abcdefghij ABCDEFGHIJ x", "  ... ab-cd", "abc"] * 2
+    every = sorted(set().union(*map(toxicity.features, texts)))
+    for wanted in ({}, dict.fromkeys(every, 1.0), dict.fromkeys(every[::2], 1.0), dict.fromkeys(every[1::3], 1.0)):
+        find = toxicity.Finder(wanted)
+        find.REMEMBERED = 4
+        for t in texts:
+            assert find(t) == toxicity.features(t) & wanted.keys(), t
