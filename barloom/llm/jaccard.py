@@ -262,13 +262,13 @@ def search_trees(members: DataFrame, within: bool) -> DataFrame:
 
     def pairs(rows: list[tuple]) -> set[tuple[bytes, bytes]]:
         once = [r for k, r in enumerate(rows) if not k or r[0] != rows[k - 1][0]]
+        # A part of a tree may have partners in another one, also if none meet inside it: its texts are wanted later.
+        later = {(r[0], r[0]) for r in once if within and r[5] > BLOCK}
         if len(once) < 2 or 100 * once[0][1] < PERCENT * once[-1][1] and len(once) == 2:
-            return set()
+            return later
         keys, n, vecs = [r[0] for r in once], np.array([r[1] for r in once]), [r[2] for r in once]
         if within:
-            found = best_partners(keys, n, vecs)
-            # A full block may have partners in another one: its texts are wanted later.
-            return found | {(k, k) for k in keys} if once[0][5] > BLOCK else found
+            return best_partners(keys, n, vecs) | later
         names = {c: i for i, c in enumerate({r[3] for r in once})}
         comp, side = np.array([names[r[3]] for r in once]), np.array([r[4] for r in once])
         left = side if (side != side[0]).any() else None

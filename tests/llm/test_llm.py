@@ -105,6 +105,32 @@ def test_jaccard_group_of_near_copies(spark):
     assert {got[i] for i in range(400)} == {0} and all(got[1000 + i] == 1000 + i for i in range(300))
 
 
+def brute_components(rows):
+    """The least id of each document's component, from all pairs of shingle sets."""
+    sets = {i: {tuple(t.lower().split()[k : k + 5]) for k in range(max(1, len(t.split()) - 4))} for i, t, _ in rows}
+    roots = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sets:
+            common = len(sets[i] & sets[j])
+            if roots[i] != roots[j] and 100 * common >= 75 * (len(sets[i]) + len(sets[j]) - common):
+                low, high = sorted((roots[i], roots[j]))
+                roots = {k: low if r == high else r for k, r in roots.items()}
+    return roots
+
+
+def test_jaccard_partner_alone_in_its_size_class(spark):
+    """More texts than a block holds, with one near copy whose size class is another part: exact copies, and texts of their own."""
+    base, tree = prose(7, 104), prose(9, 104).split()
+    rows = [(i, base, "a") for i in range(1000)] + [(1000, base + " " + prose(11, 10), "a")]
+    rows += [(2000 + i, " ".join([*tree[:40], f"own{i}", *tree[41:]]), "b") for i in range(700)]
+    rows += [(2900, " ".join(tree + prose(12, 10).split()), "b")]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.linked(documents(spark, rows)).collect()}
+    few = [r for r in rows if r[0] in (0, 1000, 2000, 2001, 2900)]
+    want = brute_components(few)
+    assert {i: got[i] for i in want} == want and set(want.values()) == {0, 2000}
+    assert {got[i] for i in range(1001)} == {0} and {got[i] for i, _, s in rows if s == "b"} == {2000}
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["root"] for r in graph.components(edges).collect()}
