@@ -79,14 +79,18 @@ def first_shingles(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
 
 
 def over_texts(docs: DataFrame, schema: str, row):
-    """Apply ``row(doc_id, text)``, which yields result tuples, to all documents."""
+    """Apply ``row(doc_id, text, seen)``, which gives a result tuple or None, to all documents.
+
+    ``seen`` is a set that lasts for the task.
+    """
     ship(docs.sparkSession)
     names = [c.split()[0] for c in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in batches:
-            columns = [row(i, t.as_py()) for i, t in zip(b.column(0).to_pylist(), b.column(1))]
-            yield from pack(columns, names)
+            columns = [row(i, t.as_py(), seen) for i, t in zip(b.column(0).to_pylist(), b.column(1))]
+            yield from pack([c for c in columns if c is not None], names)
 
     return docs.mapInArrow(run, schema)
 
@@ -105,14 +109,15 @@ def pack(columns: list, names: list[str]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def node_id(doc_id: int | None, s: np.ndarray) -> int:
-    return doc_id if doc_id is not None else int(mix(s, 3).sum(dtype=np.uint64).astype(np.int64))
+def node_id(s: np.ndarray) -> int:
+    """64 bits of a set. Sets that share them only meet more often; pairs are decided by key."""
+    return int(mix(s, 3).sum(dtype=np.uint64).astype(np.int64))
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
-    def row(doc_id, text):
+    def row(doc_id, text, seen):
         s = shingles(text)
-        return [doc_id], [node_id(doc_id, s)], [len(s)], [set_key(s) if len(s) else None], [counts(s).tobytes() if len(s) else None]
+        return [doc_id], [node_id(s)], [len(s)], [set_key(s) if len(s) else None], [counts(s).tobytes() if len(s) else None]
 
     return over_texts(docs, "doc_id long,nid long,n long,key binary,vec binary", row)
 
@@ -120,7 +125,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
     """Shingles that many sampled documents hold, sorted; at most ``MAX_FREQUENT``."""
 
-    def row(doc_id, text):
+    def row(doc_id, text, seen):
         return (shingles(text).view(np.int64),)
 
     sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
@@ -130,23 +135,30 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def occurrences(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``token, salt, nid``: the first shingles of each document; frequent ones are salted by document."""
+    """``token, salt, nid``: the first shingles of each set; frequent ones are salted by set.
+
+    Documents with equal sets give the rows of one, at most once per task.
+    """
 
-    def row(doc_id, text):
+    def row(doc_id, text, seen):
         s = shingles(text)
+        node = node_id(s)
+        if node in seen:
+            return None
+        seen.add(node)
         first, hot = first_shingles(s, frequent)
-        node = node_id(doc_id, s)
         return first.view(np.int64), np.where(hot, node % SALTS + 1, 0).astype(np.int32), np.full(len(first), node, dtype=np.int64)
 
     return over_texts(docs, "token long not null,salt int not null,nid long not null", row)
 
 
 def trees(docs: DataFrame) -> DataFrame:
-    """``tree, most, nid``: the documents that meet in each tree, and a bound on their number.
+    """``tree, most, nid``: the distinct sets that meet in each tree, and their number.
 
-    One shuffle deals the shingles out; lists of documents are told apart by a count and two sums of hashes.
+    One shuffle deals the shingles out, and rows of equal sets from several tasks are dropped behind it; lists of
+    sets are told apart by a count and two sums of hashes.
     """
-    spread = occurrences(docs, frequent_shingles(docs)).repartition("token", "salt")
+    spread = occurrences(docs, frequent_shingles(docs)).repartition("token", "salt").dropDuplicates(["token", "salt", "nid"])
     lists = spread.groupBy("token", "salt").agg(
         F.count("*").alias("c"),
         F.sum(F.xxhash64("nid").cast("decimal(20,0)")).cast("decimal(38,0)").alias("s"),
@@ -326,7 +338,7 @@ def contents(docs: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
         for b in batches:
             texts = [t.as_py().encode("utf-8", "surrogatepass") for t in b.column("text")]
             packed = pa.array([squeeze.compress(t) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), packed], names=["nid", "packed"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), packed], names=["doc_id", "packed"])
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
@@ -343,9 +355,9 @@ def contents(docs: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
             same = [k == set_key(shingles(unpack.decompress(p).decode("utf-8", "surrogatepass"))) for k, p in zip(b.column("key").to_pylist(), b.column("packed").to_pylist())]
             yield b.filter(pa.array(same, pa.bool_()))
 
-    holders = sets.filter("doc_id IS NOT NULL").groupBy("key").agg(F.min("nid").alias("nid")).join(wanted, "key", "left_semi")
-    named = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(compress, "nid long, packed binary")
-    named = named.join(holders, "nid").select("key", "packed").mapInArrow(fitting, "key binary, packed binary")
+    holders = sets.filter("doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id")).join(wanted, "key", "left_semi")
+    named = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(compress, "doc_id long, packed binary")
+    named = named.join(holders, "doc_id").select("key", "packed").mapInArrow(fitting, "key binary, packed binary")
     # Sets that only rows without an id hold are rare: they are found by the key itself.
     rest = docs.filter("doc_id IS NULL AND text IS NOT NULL").mapInArrow(keyed, "key binary, packed binary").join(wanted, "key", "left_semi")
     return named.unionByName(rest).dropDuplicates(["key"])
@@ -356,7 +368,7 @@ def linked(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sets = settle(sets_of(docs))
     members = settle(trees(docs))
-    nodes = sets.filter("key IS NOT NULL").select("nid", "key", "n", "vec")
+    nodes = settle(sets.filter("key IS NOT NULL").select("nid", "key", "n", "vec").dropDuplicates(["key"]))
     blocks = F.ceil(F.col("most") / BLOCK).cast("int")
     # Blocks hold sets of like size.
     near = members.join(nodes, "nid").withColumn("part", F.pmod(F.xxhash64(F.floor(F.log2("n") * 8)), blocks))

@@ -131,6 +131,17 @@ def test_jaccard_partner_alone_in_its_size_class(spark):
     assert {got[i] for i in range(1001)} == {0} and {got[i] for i, _, s in rows if s == "b"} == {2000}
 
 
+def test_jaccard_trees_hold_distinct_sets(spark):
+    """Copies over several tasks count once in the trees and their sizes; a null id is no set of its own."""
+    base = prose(13, 60)
+    rows = [(i, base, "a") for i in range(300)] + [(None, base, "a"), (300, base + " tail", "a")]
+    docs = documents(spark, rows).repartition(5)
+    members = jaccard.trees(docs.select("doc_id", "text")).collect()
+    assert members and all(r["most"] == 2 for r in members)
+    assert len(members) == len({(r["tree"], r["nid"]) for r in members})
+    assert {r["component_id"] for r in jaccard.linked(docs).collect()} == {0}
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["root"] for r in graph.components(edges).collect()}
