@@ -1,9 +1,9 @@
 """Benchmark decontamination by template canonicalisation (operator 7).
 
 Numbers, names and units become typed placeholders and punctuation goes, so that a question keeps its
-template when its values are changed. Windows of template words are hashed on both sides and joined; for
-each document and item the slots of all matching windows must map values of the item to values of the
-document one to one. A consistent pair is a leak, word for word or re-parameterised.
+template when its values are changed. Windows of template words are hashed on both sides and joined; in
+one passage at least, the slots must map values of the item to values of the document one to one. Such a
+pair is a leak, word for word or re-parameterised; what else the document holds does not change that.
 
 Items with fewer words than a window, and windows with too few literal words, are not searched. A null text
 has no words; null ids are kept as ids of their own; equal rows give one result; empty tables
@@ -72,6 +72,9 @@ def values_of(form: Column, values: Column) -> Column:
 def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_literals: int = MIN_LITERALS) -> DataFrame:
     """``doc_id, text_key, item_id, n_windows, n_slots, consistent`` for pairs that share a template window.
 
+    A passage is a stretch of words that matching windows cover without a gap, at one distance of document and item
+    positions. Its slots must be one to one; a pair is consistent if any passage is. ``n_slots`` counts over all passages.
+
     The windows of the items are broadcast while their number allows; past that, both sides are
     shuffled by hash. Document windows are never gathered by document before the join.
     """
@@ -79,17 +82,33 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_literals:
     literal = F.size(F.filter(cut("form"), lambda w: ~is_slot(w)))
     values = F.slice(split_words(plain(fill("text"))), F.col("at"), window)  # after the join: only where a window matched
     known = windows(items.select("item_id", "text"), "item_id", window).filter(literal >= min_literals)
-    known = known.select("hash", "item_id", cut("form").alias("item_form"), values_of(cut("form"), values).alias("item_values"))
+    known = known.select("hash", "item_id", F.col("at").alias("item_at"), cut("form").alias("item_form"), values_of(cut("form"), values).alias("item_values"))
     known = sized_broadcast(settle(known.distinct()), MAX_BROADCAST_WINDOWS)
     keyed = docs.select(F.struct("doc_id", F.xxhash64(fill("text")).alias("text_key")).alias("key"), "text")
     seen = windows(keyed, "key", window).join(known, "hash").filter(cut("form") == F.col("item_form"))
     both = F.zip_with("item_values", values_of(cut("form"), values), lambda i, d: F.struct(i.alias("item"), d.alias("doc")))
-    hits = seen.select("key.*", "item_id", F.filter(both, lambda s: s["item"].isNotNull()).alias("s"))
-    pairs = F.array_distinct(F.flatten(F.collect_set("s")))
-    found = hits.groupBy("doc_id", "text_key", "item_id").agg(F.count("*").alias("n_windows"), pairs.alias("s"))
-    of = lambda name: F.size(F.array_distinct(F.transform("s", lambda x: x[name])))
-    same = (of("item") == F.size("s")) & (of("doc") == F.size("s"))
-    return found.select("doc_id", "text_key", "item_id", "n_windows", F.size("s").cast("long").alias("n_slots"), same.alias("consistent"))
+    hit = F.struct("at", F.filter(both, lambda s: s["item"].isNotNull()).alias("s"))
+    hits = seen.select("key.*", "item_id", (F.col("at") - F.col("item_at")).alias("apart"), hit.alias("hit"))
+    return judged(hits, window)
+
+
+def judged(hits: DataFrame, width: int) -> DataFrame:
+    """The pairs of ``doc_id, text_key, item_id, apart, hit`` rows, each decided by its passages."""
+    lines = hits.groupBy("doc_id", "text_key", "item_id", "apart").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("hit")).alias("w"))
+    begins = lambda i: (i == 0) | (F.get("w", i)["at"] - F.get("w", i - 1)["at"] > width)
+    lines = lines.withColumn("cuts", F.filter(F.sequence(F.lit(0), F.size("w") - 1), begins))
+    slots = lambda hits: F.array_distinct(F.flatten(F.transform(hits, lambda h: h["s"])))
+    passage = lambda c, k: slots(F.slice("w", c + 1, F.coalesce(F.get("cuts", k + 1), F.size("w")) - c))
+    lines = lines.withColumn("passages", F.transform("cuts", passage))
+    of = lambda s, name: F.size(F.array_distinct(F.transform(s, lambda x: x[name])))
+    same = F.exists("passages", lambda s: (of(s, "item") == F.size(s)) & (of(s, "doc") == F.size(s)))
+    lines = lines.select("doc_id", "text_key", "item_id", "n", slots("w").alias("s"), same.alias("same"))
+    found = lines.groupBy("doc_id", "text_key", "item_id").agg(
+        F.sum("n").alias("n_windows"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("s")))).cast("long").alias("n_slots"),
+        F.max("same").alias("consistent"),
+    )
+    return found.select("doc_id", "text_key", "item_id", "n_windows", "n_slots", "consistent")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

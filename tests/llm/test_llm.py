@@ -205,6 +205,19 @@ def test_template_leaks(spark, odd):
     assert templates.leaks(odd.limit(0), items).count() == 0 and templates.leaks(odd, items.limit(0)).count() == 0
 
 
+def test_template_leaks_are_judged_by_passage(spark):
+    """An item word for word stays a leak beside other passages of its template."""
+    item = "A train leaves at 9 and travels 120 km in 2 hours what is its mean speed over the whole way"
+    other = item.replace("120", "300").replace("9", "11")
+    clash = item.replace("120", "9")
+    items = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    rows = [(1, f"{item} ; {other}", "a"), (2, f"{item} . {clash}", "a"), (3, clash, "a"), (4, f"{clash} . then {clash}", "a")]
+    docs = documents(spark, rows)
+    got = {(r["doc_id"], r["item_id"]): r["consistent"] for r in templates.leaks(docs.unionByName(docs), items).collect()}
+    assert got == {(d, i): d < 3 for d in range(1, 5) for i in (1, 2)}
+    assert sorted(r["doc_id"] for r in templates.decontaminated(docs, items).collect()) == [3, 4]
+
+
 def test_template_leaks_find_every_literal_passage(spark, data):
     docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()}
