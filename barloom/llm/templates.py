@@ -5,7 +5,9 @@ template when its values are changed. Windows of template words are hashed on bo
 one passage at least, the slots must map values of the item to values of the document one to one. Such a
 pair is a leak, word for word or re-parameterised; what else the document holds does not change that.
 
-Items with fewer words than a window, and windows with too few literal words, are not searched. A null text
+Windows of an item with fewer words than a window are as long as the item. An item without a window of enough
+literal words is searched word for word, in windows of the same length. The first word of a window
+may stand as a name or as a literal word, as the document's text before it decides that. A null text
 has no words; null ids are kept as ids of their own; equal rows give one result; empty tables
 give an empty result; extra columns are ignored by ``leaks`` and kept by ``decontaminated``.
 """
@@ -27,14 +29,16 @@ UNITS = (
     "meters?|metres?|kilometers?|kilometres?|miles?|feet|inches|grams?|kilograms?|pounds?|lit(?:er|re)s?|gallons?|"
     "dollars?|euros?|cents?|usd|eur|percent|degrees?|watts?|kw|volts?|v|amps?|hz|khz|mhz|ghz|kb|mb|gb|tb"
 )
+NAMED = r"\p{Lu}[\p{L}\p{N}]*"
+DIGITS = r"[0-9](?:[0-9.,]*[0-9])?"
 MARKS = r"[^\p{L}\p{N}\uE000-\uE002\x20\x09-\x0D-]+"
 
 
 def canonical(text: Column) -> Column:
     """The template of a text: one placeholder or lower-case word per word of ``plain``."""
     # A capital inside a sentence: the word before ends in a letter, digit or comma.
-    named = F.regexp_replace(text, r"(?<=[\p{L}\p{N},]\x20)\p{Lu}[\p{L}\p{N}]*", NAME)
-    numbers = F.regexp_replace(named, r"[0-9](?:[0-9.,]*[0-9])?", NUMBER)
+    named = F.regexp_replace(text, rf"(?<=[\p{{L}}\p{{N}},]\x20){NAMED}", NAME)
+    numbers = F.regexp_replace(named, DIGITS, NUMBER)
     units = F.regexp_replace(numbers, rf"(?<={NUMBER}\x20)(?i:{UNITS})(?![\p{{L}}\p{{N}}])", UNIT)
     return F.lower(F.regexp_replace(units, MARKS, ""))
 
@@ -48,12 +52,17 @@ def split_words(text: Column) -> Column:
     return F.split(F.btrim(text, F.lit("\x20\x09\x0a\x0b\x0c\x0d")), SPACE)
 
 
-def windows(texts: DataFrame, key: str, window: int) -> DataFrame:
+def form_of(exact: bool) -> Column:
+    """The template words of a text, or its words in lower case."""
+    return split_words(F.lower(plain(fill("text"))) if exact else canonical(fill("text")))
+
+
+def windows(texts: DataFrame, key: str, window: int, exact: bool = False) -> DataFrame:
     """``key``, ``text``, ``form`` (its template words), ``at`` (from 1) and ``hash`` of each window.
 
     Words are hashed once; a window hashes the hashes of its words.
     """
-    words = texts.select(key, "text", split_words(canonical(fill("text"))).alias("form"))
+    words = texts.select(key, "text", form_of(exact).alias("form"))
     coded = words.withColumn("codes", F.transform("form", lambda w: F.xxhash64(w)))
     starts = F.when(F.size("form") >= window, F.sequence(F.lit(1), F.size("form") - (window - 1))).otherwise(F.array().cast("array<int>"))
     hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("codes", i, window)))
@@ -76,26 +85,72 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_literals:
     positions. Its slots must be one to one; a pair is consistent if any passage is. ``n_slots`` counts over all passages.
 
     The windows of the items are broadcast while their number allows; past that, both sides are
-    shuffled by hash. Document windows are never gathered by document before the join.
+    shuffled by hash. Document windows are never gathered by document before the join. Documents are cut into
+    windows once per window length and kind that the items need, at most twice ``window`` times.
+    """
+    items = settle(searched(items, window, min_literals))
+    kinds = {(window, False)} | {(r["width"], r["exact"]) for r in items.select("width", "exact").distinct().collect()}
+    found = None
+    for width, exact in sorted(kinds):
+        of_kind = items.filter((F.col("width") == width) & (F.col("exact") == exact))
+        hits = matches(docs, of_kind, width, exact, min_literals).withColumn("width", F.lit(width))
+        found = hits if found is None else found.unionByName(hits)
+    return judged(found)
+
+
+def searched(items: DataFrame, window: int, min_literals: int) -> DataFrame:
+    """``item_id, text, width, exact``: the window length of each item, and whether only its own words will do."""
+    width = F.least(F.size("form"), F.lit(window))
+    literals = lambda i: F.size(F.filter(F.slice("form", i, F.col("width")), lambda w: ~is_slot(w)))
+    usable = F.exists(F.sequence(F.lit(1), F.size("form") - F.col("width") + 1), lambda i: literals(i) >= min_literals)
+    formed = items.select("item_id", "text", form_of(False).alias("form")).filter(F.array_join("form", "") != "")
+    return formed.withColumn("width", width).withColumn("exact", ~usable).drop("form")
+
+
+def begun(form: Column, values: Column, width: int) -> Column:
+    """Each way an item's window may stand in a document: ``form, values, first``.
+
+    A first word with a capital is a name or a literal word there; ``first`` is the word that a name must then be.
     """
-    cut = lambda c: F.slice(c, F.col("at"), window)
+    word = F.get(values, 0)
+    name, plain_word = F.lower(F.regexp_replace(word, f"^{NAMED}", NAME)), F.lower(F.regexp_replace(word, DIGITS, NUMBER))
+    rest = lambda c: F.slice(c, 2, width - 1)
+
+    def way(first: Column, must: Column) -> Column:
+        free = F.concat(F.array(F.lit(None).cast("string")), rest(values_of(form, values)))
+        other = F.struct(F.concat(F.array(first), rest(form)).alias("form"), free.alias("values"), must.alias("first"))
+        return F.when(word.rlike(r"^\p{Lu}") & (F.get(form, 0) != first), other)
+
+    none = F.lit(None).cast("string")
+    as_is = F.struct(form.alias("form"), values_of(form, values).alias("values"), none.alias("first"))
+    return F.filter(F.array(as_is, way(name, F.lower(word)), way(plain_word, none)), lambda w: w.isNotNull())
+
+
+def matches(docs: DataFrame, items: DataFrame, width: int, exact: bool, min_literals: int) -> DataFrame:
+    """``doc_id, text_key, item_id, apart, hit`` for each window of ``width`` words that a document and an item share."""
+    cut = lambda c: F.slice(c, F.col("at"), width)
     literal = F.size(F.filter(cut("form"), lambda w: ~is_slot(w)))
-    values = F.slice(split_words(plain(fill("text"))), F.col("at"), window)  # after the join: only where a window matched
-    known = windows(items.select("item_id", "text"), "item_id", window).filter(literal >= min_literals)
-    known = known.select("hash", "item_id", F.col("at").alias("item_at"), cut("form").alias("item_form"), values_of(cut("form"), values).alias("item_values"))
+    values = F.slice(split_words(plain(fill("text"))), F.col("at"), width)  # after the join: only where a window matched
+    known = windows(items, "item_id", width, exact)
+    if exact:
+        known = known.withColumn("w", F.struct(cut("form").alias("form"), values_of(cut("form"), values).alias("values"), F.lit(None).cast("string").alias("first")))
+    else:
+        known = known.filter(literal >= min_literals).withColumn("w", F.explode(begun(cut("form"), values, width)))
+        known = known.withColumn("hash", F.xxhash64(F.transform("w.form", lambda w: F.xxhash64(w))))
+    known = known.select("hash", "item_id", F.col("at").alias("item_at"), F.col("w.form").alias("item_form"), F.col("w.values").alias("item_values"), "w.first")
     known = sized_broadcast(settle(known.distinct()), MAX_BROADCAST_WINDOWS)
     keyed = docs.select(F.struct("doc_id", F.xxhash64(fill("text")).alias("text_key")).alias("key"), "text")
-    seen = windows(keyed, "key", window).join(known, "hash").filter(cut("form") == F.col("item_form"))
+    seen = windows(keyed, "key", width, exact).join(known, "hash").filter(cut("form") == F.col("item_form"))
+    seen = seen.filter(F.col("first").isNull() | (F.lower(F.get(values, 0)) == F.col("first")))
     both = F.zip_with("item_values", values_of(cut("form"), values), lambda i, d: F.struct(i.alias("item"), d.alias("doc")))
     hit = F.struct("at", F.filter(both, lambda s: s["item"].isNotNull()).alias("s"))
-    hits = seen.select("key.*", "item_id", (F.col("at") - F.col("item_at")).alias("apart"), hit.alias("hit"))
-    return judged(hits, window)
+    return seen.select("key.*", "item_id", (F.col("at") - F.col("item_at")).alias("apart"), hit.alias("hit"))
 
 
-def judged(hits: DataFrame, width: int) -> DataFrame:
-    """The pairs of ``doc_id, text_key, item_id, apart, hit`` rows, each decided by its passages."""
-    lines = hits.groupBy("doc_id", "text_key", "item_id", "apart").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("hit")).alias("w"))
-    begins = lambda i: (i == 0) | (F.get("w", i)["at"] - F.get("w", i - 1)["at"] > width)
+def judged(hits: DataFrame) -> DataFrame:
+    """The pairs of ``doc_id, text_key, item_id, apart, hit, width`` rows, each decided by its passages."""
+    lines = hits.groupBy("doc_id", "text_key", "item_id", "width", "apart").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("hit")).alias("w"))
+    begins = lambda i: (i == 0) | (F.get("w", i)["at"] - F.get("w", i - 1)["at"] > F.col("width"))
     lines = lines.withColumn("cuts", F.filter(F.sequence(F.lit(0), F.size("w") - 1), begins))
     slots = lambda hits: F.array_distinct(F.flatten(F.transform(hits, lambda h: h["s"])))
     passage = lambda c, k: slots(F.slice("w", c + 1, F.coalesce(F.get("cuts", k + 1), F.size("w")) - c))

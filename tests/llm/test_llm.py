@@ -218,6 +218,17 @@ def test_template_leaks_are_judged_by_passage(spark):
     assert sorted(r["doc_id"] for r in templates.decontaminated(docs, items).collect()) == [3, 4]
 
 
+def test_template_leaks_of_short_and_dense_items(spark):
+    """Items without a usable window, and a first word whose capital stands inside a sentence."""
+    texts = ["What is 7 times 8", "add 1 2 3 4 5 6 7 8 9 10 11 12 13 14", "How many legs do seven old spiders have in all", "Anna went to the market with her red bag of 3 big apples"]
+    items = spark.createDataFrame([*enumerate(texts), (8, ""), (9, " . ")], "item_id long, text string")
+    rows = [(i, f"They ask us {t}, of course", "a") for i, t in enumerate(texts)]
+    rows += [(10, "What is 7 times 9", "a"), (11, texts[1].replace("13", "99"), "a"), (12, "", "a"), (13, None, "a"), (14, "how many legs do seven old spiders have in all", "a")]
+    rows += [(15, "say Two many legs do seven old spiders have in all", "a"), (16, texts[3].replace("3", "5"), "a"), (17, "then " + texts[3], "a")]
+    got = {(r["doc_id"], r["item_id"]) for r in templates.leaks(documents(spark, rows), items).collect() if r["consistent"]}
+    assert got == {(0, 0), (1, 1), (2, 2), (3, 3), (11, 1), (14, 2), (16, 3), (17, 3)}
+
+
 def test_template_leaks_find_every_literal_passage(spark, data):
     docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()}
