@@ -41,9 +41,8 @@ def sized_broadcast(df: DataFrame, limit_rows: int) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Make the package importable in Python workers; a local session's workers find it already."""
-    if not spark.sparkContext.master.startswith("local["):
-        ship_package(spark)
+    """Make the package importable in Python workers, also in a local session started elsewhere."""
+    ship_package(spark)
 
 
 def shared_folder(spark: SparkSession) -> str:
