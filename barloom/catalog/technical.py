@@ -396,8 +396,27 @@ P6_SQL = ", ".join([P1_SQL, P2_SQL, P3_SQL, _sqls("momentum", "since", "dist", "
 P6_BODY = recursive_body(P1_COLS, P6_SQL, *P6_CTES, source="b")
 indicator("p6_all_features", list(packs.PACKS.values()), _shows(*P6), P6_BODY)
 
-# The tiled layout must give the same rows: the pack without 200-row averages, whose history
-# fits a halo of this size, on tiles small enough that every symbol is cut.
+# The tiled layout must give the same rows, on tiles small enough that every symbol is cut. The averages reach
+# back further than any halo here: their state is carried from tile to tile.
+indicator(
+    "e6_ema_tiled",
+    r.emas,
+    SHOW["ema"],
+    recursive_body(EMA_COLS, SQL["ema"]),
+    layout="tiled",
+    tile_rows=150,
+    halo_rows=20,
+    bucket="month",
+)
+indicator(
+    "p1_basic_indicators_tiled",
+    packs.basic_indicators,
+    _shows(*P1),
+    P1_BODY,
+    layout="tiled",
+    tile_rows=450,
+    bucket="month",
+)
 indicator(
     "p5_volatility_tiled",
     packs.volatility,

@@ -8,8 +8,8 @@ results:
   contract).
 * **tiled**: a symbol is cut into tiles of ``tile_rows`` complete bars, and each tile also
   receives the last ``halo_rows`` complete bars before it. A symbol that holds a third of
-  the data is spread over as many tasks as it has tiles. Halo rows give rolling and
-  recursive functions their history and are dropped at the end.
+  the data is spread over as many tasks as it has tiles. Halo rows give rolling functions their history and are
+  dropped at the end; the state of recursive averages is carried from tile to tile (see ``scan``).
 
 Tiles are counted in complete bars (no missing price), so a stretch of missing values never
 shortens the history a tile sees.
@@ -30,8 +30,8 @@ PRICES = ("open", "high", "low", "close")
 # Above this many rows per symbol an intraday series is tiled.
 ROWS_PER_LANE = 200_000
 TILE_ROWS = 65_536
-# 5000 rows damp a 200-row exponential average to 2e-22 of its start, below double rounding.
-HALO_ROWS = 5_000
+# The least halo; ``technical.compute`` asks for as many rows as its longest window looks back on.
+HALO_ROWS = 300
 # Recursive averages work in runs of this many rows (see ``recursive``).
 RUN_ROWS = 1_024
 

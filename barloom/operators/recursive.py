@@ -7,12 +7,15 @@ the output while its weight keeps decaying, leading missing values are skipped)
 
 so inside a run of bounded length it is one running sum, and the running product is a power
 of the decay. Runs are short enough that P stays a normal double. The carry folds the
-(P, sum) pairs of the runs before, one pair per run.
+(P, sum) pairs of the runs before, one pair per run. In the tiled layout it comes from a scan of these affine maps
+over runs and tiles (``scan``), so it is exact however far the history reaches.
 """
 
 from __future__ import annotations
 
 from barloom.functions.text import num
+from barloom.operators.lanes import OWN
+from barloom.operators.scan import Average, Scan
 from barloom.operators.stages import Stages, log_decay
 
 
@@ -25,6 +28,8 @@ def ema(b: Stages, x: str, averages: dict[str, float]) -> str:
 
     Returns the name of the running count of values, for minimum-periods rules.
     """
+    if b.lane.tiled:
+        return _tiled_ema(b, x, averages)
     lane = b.lane
     seen = b.win(f"_obs_{x}", f"count({x})", lane.so_far, x)
     todo = {}
@@ -76,5 +81,52 @@ def ema(b: Stages, x: str, averages: dict[str, float]) -> str:
     )
     for name, product, local in pairs:
         carry = f"aggregate({ends}, 0D, (acc, r) -> r.{product} * acc + r.{local})"
-        b.col(name, f"{product} * {carry} + {local}", product, local, ends)
+        b.col(name, f"CASE WHEN {seen} > 0 THEN {product} * {carry} + {local} END", product, local, ends, seen)
     return seen
+
+
+def _tiled_ema(b: Stages, x: str, averages: dict[str, float]) -> str:
+    """The same over tiles. A tile's own rows start from the state that the tiles before leave: its first value
+    meets that state over the true gap, and the steps after it are summed as above."""
+    lane, total = b.lane, f"_seen_{x}"
+    own = b.col(f"_own_{x}", f"CASE WHEN {OWN} THEN {x} END", x, OWN)
+    todo = {n: a for n, a in averages.items() if not b.has(n)}
+    if not todo:
+        return total
+    tag = f"{x}_{min(todo)}"
+    slow = [a for a in todo.values() if a < 1.0]
+    b.need_runs(log_decay(max(slow)) if slow else 1.0)
+    seen = b.win(f"_obs_{x}", f"count({own})", lane.so_far, own)
+    prev = b.win(f"_prev_{x}", f"last(CASE WHEN {own} IS NOT NULL THEN _n END, true)", lane.before, own, "_n")
+    gap = b.col(f"_gap_{x}", f"_n - {prev}", "_n", prev)
+    value = f"{own} IS NOT NULL AND {gap} IS NOT NULL"
+    in_run = b.win(f"_inrun_{x}", f"count(CASE WHEN {value} THEN 1 END)", lane.in_run, own, gap, "_run")
+    parts = []
+    for name, alpha in todo.items():
+        q, a = num(1.0 - alpha), num(alpha)
+        if alpha >= 1.0:
+            product = b.col(f"_p_{name}", f"CASE WHEN {in_run} = 0 THEN 1D ELSE 0D END", in_run)
+            last = b.win(f"_s_{name}", f"last(CASE WHEN {value} THEN {own} END, true)", lane.in_run, own, gap)
+            local = b.col(f"_l_{name}", f"coalesce({last}, 0D)", last)
+        else:
+            weight = f"pow({q}, {gap})"
+            extra = b.win(
+                f"_extra_{name}",
+                f"sum(CASE WHEN {value} AND {gap} > 1 THEN ln({weight} / ({weight} + {a})) + {num(log_decay(alpha))} END)",
+                lane.in_run,
+                own,
+                gap,
+            )
+            product = b.col(f"_p_{name}", f"pow({q}, {in_run}) * exp(coalesce({extra}, 0D))", in_run, extra)
+            step = f"CASE WHEN {gap} = 1 THEN {a} * {own} ELSE {a} * {own} / ({weight} + {a}) END"
+            summed = b.win(f"_s_{name}", f"sum(CASE WHEN {value} THEN ({step}) / {product} END)", lane.in_run, own, gap, product)
+            local = b.col(f"_l_{name}", f"{product} * coalesce({summed}, 0D)", product, summed)
+        parts.append(Average(name, alpha, product, local))
+    scan = Scan(tag, own, seen, tuple(parts))
+    b.scan(scan)
+    b.col(total, f"{seen} + {scan.seen_before}", seen, scan.seen_before)
+    for p in parts:
+        # Before the tile's first value the state of the tiles before holds.
+        held = f"CASE WHEN {seen} = 0 THEN {p.before} ELSE {p.product} * {p.carry} + {p.local} END"
+        b.col(p.name, held, seen, p.before, p.product, p.carry, p.local)
+    return total

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 
 from barloom.operators.lanes import OWN, RUN_ROWS, TILE, Lane, own_rows
 from barloom.operators.pieces import KINDS, parts
+from barloom.operators.scan import Scan, carried
 
 Spot = tuple[int, int]  # (pass, depth of scalar steps inside the pass)
 
@@ -26,21 +27,27 @@ class Stages:
         self._made: dict[Spot, dict[str, tuple[str, tuple[str, ...]]]] = {}
         self._run_rows: int | None = None
         self._out: list[str] = []
+        self._reach: dict[str, int] = {}
+        self._own_only: set[str] = set()
+        self._scans: dict[int, list[Scan]] = {}
 
     # -- definitions -------------------------------------------------------------
     def has(self, name: str) -> bool:
         return name in self._ready
 
-    def _put(self, spot: Spot, name: str, sql: str, inputs: tuple[str, ...]) -> str:
+    def _put(self, spot: Spot, name: str, sql: str, inputs: tuple[str, ...], back: int = 0) -> str:
         self._made.setdefault(spot, {})[name] = (sql, inputs)
+        self._reach[name] = back + max((self._reach.get(i, 0) for i in inputs), default=0)
         return name
 
-    def win(self, name: str, call: str, window: str, *inputs: str) -> str:
-        """A window function call over the named inputs."""
+    def win(self, name: str, call: str, window: str, *inputs: str, back: int = 0) -> str:
+        """A window function call over the named inputs; ``back`` rows of history decide its value."""
         if name not in self._ready:
+            if not self._own_only.isdisjoint(inputs) and back:
+                raise ValueError(f"tiles hold no history of the recursive average behind {name}")
             at = max((self._ready[i][0] for i in inputs), default=0)
             self._ready[name] = (at + 1, 0)
-            self._put((at + 1, 0), name, f"{call} OVER {window}", inputs)
+            self._put((at + 1, 0), name, f"{call} OVER {window}", inputs, back)
         return name
 
     def col(self, name: str, sql: str, *inputs: str) -> str:
@@ -50,8 +57,24 @@ class Stages:
             spot = at, 1 + max(d for p, d in (self._ready[i] for i in inputs) if p == at)
             self._ready[name] = spot
             self._put(spot, name, sql, inputs)
+            if not self._own_only.isdisjoint(inputs):
+                self._own_only.add(name)
         return name
 
+    def scan(self, scan: Scan) -> None:
+        """Carry a recursion from tile to tile; its columns can be read from the next pass on."""
+        at = max(self._ready[i][0] for i in scan.inputs)
+        self._scans.setdefault(at, []).append(scan)
+        for c in scan.outputs:
+            self._ready[c] = (at + 1, 0)
+            self._reach[c] = max(self._reach.get(i, 0) for i in scan.inputs)
+            self._own_only.add(c)
+
+    @property
+    def reach(self) -> int:
+        """Rows of history that the outputs look back on, recursions aside (their state is carried)."""
+        return max((self._reach.get(c, 0) for c in [*self._out, *(i for x in self._scans.values() for s in x for i in s.inputs)]), default=0)
+
     def out(self, *names: str) -> None:
         self._out += [n for n in names if n not in self._out]
 
@@ -78,7 +101,7 @@ class Stages:
 
     def lag(self, x: str, n: int = 1, default: float | None = None) -> str:
         tail = "" if default is None else f", {default}D"
-        return self.win(f"_lag{'' if default is None else 0}_{x}_{n}", f"lag({x}, {n}{tail})", self.lane.rows, x)
+        return self.win(f"_lag{'' if default is None else 0}_{x}_{n}", f"lag({x}, {n}{tail})", self.lane.rows, x, back=n)
 
     def pad(self, x: str) -> str:
         """Last value so far that is not missing."""
@@ -145,16 +168,24 @@ class Stages:
                 "*", f"(_n - 1) DIV {self._run_rows} AS _run", f"_n % {self._run_rows} = 0 AS _run_end"
             )
             made.get((1, 0), {}).pop("_n", None)
-        steps = [made[spot] for spot in sorted(made) if made[spot]]
+        # The scans of a pass follow its last step.
+        spots: dict[tuple, dict | list[Scan]] = {spot: defs for spot, defs in made.items() if defs}
+        spots |= {(at, math.inf): scans for at, scans in self._scans.items()}
+        steps = [spots[spot] for spot in sorted(spots)]
         last_read: dict[str, int] = {}
-        for i, defs in enumerate(steps):
-            for _, inputs in defs.values():
+        for i, step in enumerate(steps):
+            reads = [d[1] for d in step.values()] if isinstance(step, dict) else [s.inputs for s in step]
+            for inputs in reads:
                 last_read.update(dict.fromkeys(inputs, i))
         have = list(df.columns)
-        for i, defs in enumerate(steps):
+        for i, step in enumerate(steps):
             have = [c for c in have if c in frame or last_read.get(c, -1) >= i]
-            df = df.selectExpr(*[f"`{c}`" for c in have], *[f"{sql} AS `{c}`" for c, (sql, _) in defs.items()])
-            have += defs
+            if isinstance(step, dict):
+                df = df.selectExpr(*[f"`{c}`" for c in have], *[f"{sql} AS `{c}`" for c, (sql, _) in step.items()])
+                have += step
+            else:
+                df = carried(df.select(*[f"`{c}`" for c in have]), self.lane, step)
+                have += [c for s in step for c in s.outputs]
         df = df.selectExpr(*[f"`{c}`" for c in final])
         return own_rows(df, self.lane) if drop_halo else df
 

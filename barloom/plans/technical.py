@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from barloom.functions.cells import is_true, nan_to_null
 from barloom.operators import rolling as r
-from barloom.operators.lanes import OWN, PRICES, TILE, Lane, lay
+from barloom.operators.lanes import HALO_ROWS, OWN, PRICES, TILE, TILE_ROWS, Lane, lay
 from barloom.operators.stages import Stages
 
 Indicator = Callable[[Stages], None]
@@ -88,6 +88,14 @@ def _with_obv_carry(df: DataFrame, lane: Lane) -> DataFrame:
     return df.join(carry, list(lane.keys), "left")
 
 
+def history(bars: DataFrame, *indicators: Indicator, keys: tuple[str, ...] = ("symbol",), order: str = "ts") -> int:
+    """Rows of history that a tile needs for these indicators."""
+    b = Stages(Lane((*keys, TILE), order, True, keys), [*bars.columns, TILE, OWN, r.OBV_CARRY])
+    for indicator in indicators:
+        indicator(b)
+    return b.reach + 1
+
+
 def compute(
     bars: DataFrame,
     *indicators: Indicator,
@@ -98,9 +106,17 @@ def compute(
 ) -> DataFrame:
     """Bars plus the columns of the given indicators or packs, from one shuffle by symbol.
 
-    ``layout`` picks how symbols are spread over tasks (see ``operators.lanes``).
+    ``layout`` picks how symbols are spread over tasks (see ``operators.lanes``); both give the same values. A
+    halo that is shorter than the longest window is an error; left out, it is as long as needed.
     """
-    df, lane = lay(clean_bars(bars), keys, order, layout, **tiling)
+    bars = clean_bars(bars)
+    if layout != "key":
+        need = history(bars, *indicators, keys=keys, order=order)
+        if tiling.get("halo_rows", need) < need:
+            raise ValueError(f"these indicators look back on {need} rows: halo_rows must not be less")
+        halo = tiling.setdefault("halo_rows", max(need, HALO_ROWS))
+        tiling["tile_rows"] = max(tiling.get("tile_rows", TILE_ROWS), halo)
+    df, lane = lay(bars, keys, order, layout, **tiling)
     b = Stages(lane, [*df.columns, r.OBV_CARRY] if lane.tiled else df.columns)
     for indicator in indicators:
         indicator(b)

@@ -180,6 +180,38 @@ def test_tiles_equal_whole_symbols(spark):
         same(got[c], want[c], 1e-7)
 
 
+def test_averages_cross_tiles_with_missing_bars(spark):
+    """Spans far longer than tiles and halo, tiles without a value, and gaps over tile bounds."""
+    one, two = series(1500, 7, holes=True), series(700, 8)
+    two.loc[100:480, "close"] = np.nan
+    two.loc[:30, "close"] = np.nan
+    df = bars(spark, one, two).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+    def slow(b):
+        ema(b, "close", {"quick": 0.9, "all": 1.0, "slow": 2 / 1001, "slower": 1e-4})
+        ema(b, "high", {"_h": 2 / 301})
+        line = b.col("line", "slow - _h", "slow", "_h")
+        ema(b, line, {"nested": 0.05})
+        b.out("quick", "all", "slow", "slower", "line", "nested")
+
+    want = run(df, slow, layout="key")
+    for tile, halo in ((60, 3), (200, 50)):
+        got = run(df, slow, layout="tiled", tile_rows=tile, halo_rows=halo, bucket="month")
+        for c in want.columns[2:]:
+            same(got[c], want[c], 1e-9)
+
+
+def test_halo_is_as_long_as_the_windows(spark):
+    df = bars(spark, series(900, 9))
+    want, got = (run(df, packs.volatility, layout=how, **more) for how, more in (("key", {}), ("tiled", {"tile_rows": 10, "bucket": "month"})))
+    for c in want.columns[2:]:
+        same(got[c], want[c], 1e-7)
+    with pytest.raises(ValueError):
+        packs.compute(df, packs.volatility, layout="tiled", halo_rows=100)
+    with pytest.raises(ValueError):
+        packs.compute(df, lambda b: (r.emas(b), b.lag("_ema5", 3)), layout="tiled")
+
+
 def test_layout_choice(spark):
     dated = bars(spark, series(50))
     assert not needs_tiles(dated, ("symbol",), "ts", limit=10)
