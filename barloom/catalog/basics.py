@@ -461,6 +461,47 @@ def d11(spark, d):
     return profile.feature_target_corr(q, ["spread", "volume", "flat", "holed"], "y").withColumn("corr", rnd("corr"))
 
 
+PRUNED = {
+    "net": "l_extendedprice * (1 - l_discount)",
+    "shifted_lag1": "l_extendedprice + 30000 * sin(l_quantity)",
+    "noisy": "l_extendedprice + 30000 * sin(l_quantity)",
+    "count_lag1": "l_quantity",
+    "flat": "1.0",
+}
+
+
+@query(
+    "d12_prune_high_corr",
+    "WITH c AS ("
+    + " UNION ALL ".join(f"SELECT '{n}' AS feature, corr({x}, l_extendedprice) AS corr FROM lineitem" for n, x in PRUNED.items() if n != "flat")
+    + f") SELECT feature, {r6('corr')} AS corr, abs(corr) > 0.85 OR NOT feature LIKE '%!_lag1' ESCAPE '!' AS dropped FROM c WHERE abs(corr) > 0.7",
+)
+def d12(spark, d):
+    """Which features their correlation with the target would drop."""
+    x = views.table(spark, d, "lineitem").select("l_extendedprice", *[F.expr(e).cast("double").alias(n) for n, e in PRUNED.items()])
+    return profile.pruning(profile.feature_target_corr(x, list(PRUNED), "l_extendedprice"), 0.85, 0.7).withColumn("corr", rnd("corr"))
+
+
+MANY = {f"x{k}": f"sin(l_quantity * {k + 1}) + l_discount * {k % 7}" for k in range(60)}
+
+
+@query(
+    "d10_corr_matrix_wide",
+    "WITH x AS (SELECT " + ", ".join(f"CASE WHEN (l_quantity + {k}) % 11 < 10 THEN {e} END AS {n}" for k, (n, e) in enumerate(MANY.items()))
+    + " FROM lineitem), c AS (SELECT "
+    + ", ".join(f"corr({a}, {b}) AS {a}_{b}" for a in MANY for b in MANY if int(a[1:]) <= int(b[1:]))
+    + " FROM x), u AS (UNPIVOT c ON * INTO NAME pair VALUE corr),"
+    " s AS (SELECT split_part(pair, '_', 1) AS a, split_part(pair, '_', 2) AS b, corr FROM u)"
+    f" SELECT a, b, {r6('corr')} AS corr FROM s UNION ALL SELECT b, a, {r6('corr')} FROM s WHERE a <> b",
+)
+def d10_wide(spark, d):
+    """Sixty columns with holes, 3,600 cells."""
+    x = views.table(spark, d, "lineitem").selectExpr(
+        *[f"CASE WHEN (l_quantity + {k}) % 11 < 10 THEN {e} END AS {n}" for k, (n, e) in enumerate(MANY.items())]
+    )
+    return panel.correlation_matrix(x, list(MANY)).withColumn("corr", rnd("corr"))
+
+
 @query(
     "d13_mse",
     f"WITH {BARS} SELECT symbol, round(avg(pow(ln(close) - ln(open), 2)), 6) AS mse FROM bars GROUP BY symbol",

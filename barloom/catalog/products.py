@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from barloom import views
@@ -23,7 +26,7 @@ from barloom.catalog.basics import (
 )
 from barloom.catalog.kit import bars_cte, query
 from barloom.operators import align, panel
-from barloom.plans import comparison, flows, macro, master, models, options, regimes, sector, sentiment, technical
+from barloom.plans import comparison, flows, kernel, macro, master, models, options, regimes, sector, sentiment, technical
 from barloom.session import settle
 
 BARS = bars_cte()
@@ -358,7 +361,7 @@ def _panel(spark, d):
 
 
 def _frame(spark, d):
-    return models.model_frame(_panel(spark, d), MACRO_NAMES)
+    return models.model_frame(_panel(spark, d), MACRO_NAMES, released=MACRO_NAMES)
 
 
 @query(
@@ -406,14 +409,55 @@ def k4(spark, d):
     return models.add_folds(align.calendar(views.ticks(spark, d)))
 
 
-SMALL_GRID = {"regParam": (0.0, 0.1), "elasticNetParam": (0.0,)}
 BASE = (*MACRO_NAMES, "Ret1", "Ret5", "Vol10")
+PENALTIES = (1e-4, 1e-3, 1.0)
+
+
+@query(
+    "k4_expanding_cv_grid",
+    f"WITH {BARS}, d AS (SELECT DISTINCT ts FROM bars), r AS (SELECT ts, row_number() OVER (ORDER BY ts) AS rn, count(*) OVER () AS n FROM d),"
+    " f AS (SELECT ts, greatest(0, 6 - ceil((n - rn + 1) / floor(n / 6))) AS fold FROM r),"
+    " q AS (SELECT fold, volume AS x, ln(close) AS y FROM bars JOIN f USING (ts)),"
+    " t AS (SELECT k, avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my, count(*) AS n, covar_pop(x, y) * count(*) / stddev_pop(x) AS szy"
+    " FROM q, range(1, 6) AS g(k) WHERE fold < k GROUP BY k),"
+    f" c AS (SELECT unnest({list(PENALTIES)}) AS C)"
+    " SELECT CAST(k AS INT) AS fold, CAST(C AS DOUBLE) AS C, count(*) AS n, round(avg(pow(y - my - szy / (t.n + 1 / C) * (x - mx) / sx, 2)), 6) AS mse"
+    " FROM t JOIN q ON q.fold = t.k, c GROUP BY k, C",
+)
+def k4_grid(spark, d):
+    """Error of every penalty and fold of a regression on one input."""
+    b = views.bars_daily(spark, d).select("ts", "volume", F.ln("close").alias("y"))
+    found = models.kernel_search(b, ["volume"], {"gamma": (None,), "C": PENALTIES}, label="y")
+    rows = [(k, c, n, round(e, 6)) for _, c, k, n, e in found.errors]
+    return spark.createDataFrame(rows, "fold int, C double, n long, mse double")
+
+
+GIVEN = kernel.fourier([0.05, 8.0, 150.0], [0.02, 2.0, 40.0], 0.1, 8, 5)
+GIVEN_WEIGHTS = tuple(round(float(x), 6) for x in np.linspace(-1.0, 1.5, 8))
+
+
+def _given_sql() -> str:
+    """The regression with given frequencies, phases and weights as one expression."""
+    z = [f"(({c}) - {m!r}) / {s!r}" for c, m, s in zip(("high / low / 100", "ln(close)", "volume"), GIVEN.mean.tolist(), GIVEN.scale.tolist())]
+    waves = []
+    for w, f, b in zip(GIVEN_WEIGHTS, GIVEN.frequencies.T.tolist(), GIVEN.phases.tolist()):
+        angle = " + ".join(f"{x!r} * {v}" for x, v in zip(f, z))
+        waves.append(f"{w!r} * sqrt(2.0 / 8) * cos({angle} + {b!r})")
+    return f"WITH {BARS} SELECT symbol, ts, round(0.25 + {' + '.join(waves)}, 6) AS prediction FROM bars"
+
+
+@query("k5_kernel_scores", _given_sql())
+def k5_scores(spark, d):
+    """Predictions of a kernel regression with given frequencies and weights."""
+    b = views.bars_daily(spark, d).select("symbol", "ts", (F.col("high") / F.col("low") / 100).alias("spread"), F.ln("close").alias("level"), "volume")
+    model = kernel.KernelModel(("spread", "level", "volume"), GIVEN, np.array(GIVEN_WEIGHTS), 0.25)
+    return model.transform(b).select("symbol", "ts", rnd("prediction").alias("prediction"))
 
 
 @query("k5_regression_next_price")
 def k5(spark, d):
     past, future = models.time_split(_frame(spark, d), TRAIN, TEST)
-    tuned = models.expanding_grid_search(past, BASE, SMALL_GRID)
+    tuned = models.kernel_search(past, BASE)
     return models.price_predictions(tuned.model, future).select("symbol", "ts", "true_price", "pred_price")
 
 
@@ -467,5 +511,18 @@ def k11(spark, d):
 
 @query("p15_model_comparison")
 def p15(spark, d):
-    variant = comparison.Variant(macro=MACRO_NAMES, forecast="soft", impute=True, lagged=True, iterations=6)
-    return comparison.compare(_panel(spark, d), variant, TRAIN, TEST, SMALL_GRID, splits=3)
+    variant = comparison.Variant(macro=MACRO_NAMES, forecast="soft", impute=True, lagged=True, released=MACRO_NAMES)
+    return comparison.compare(_panel(spark, d), variant, TRAIN, TEST)
+
+
+@query("p15_model_comparison_compact")
+def p15_compact(spark, d):
+    """Two states, the most likely path forecasts."""
+    return comparison.compare(_panel(spark, d), comparison.Variant(macro=MACRO_NAMES, released=MACRO_NAMES), TRAIN, TEST)
+
+
+@query("p15_model_comparison_wide")
+def p15_wide(spark, d):
+    """Three states, five-day returns, no forecast from regimes alone."""
+    variant = replace(comparison.wide_variant(MACRO_NAMES, ("Ret1", "Vol10")), released=MACRO_NAMES)
+    return comparison.compare(_panel(spark, d), variant, TRAIN, TEST)

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barloom.functions import text
 from barloom.functions.cells import as_col, is_true, ratio
+from barloom.operators import gram
 
 
 def daily_mean(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
@@ -109,16 +109,9 @@ def average_correlation(returns: DataFrame, n: int = 60, by: Sequence[str] = ("m
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson matrix of the given columns, long: (a, b, corr). One pass."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    at = {p: f"c{i}" for i, p in enumerate(pairs)}
-    row = df.selectExpr(*[f"{text.pearson(text.quoted(a), text.quoted(b))} AS {c}" for (a, b), c in at.items()])
-    cells = [
-        f"named_struct('a', {text.string(a)}, 'b', {text.string(b)}, 'corr', {at.get((a, b)) or at[b, a]})"
-        for a in columns
-        for b in columns
-    ]
-    return row.selectExpr(f"inline(array({', '.join(cells)}))")
+    """Pairwise-complete Pearson matrix of the given columns, long: (a, b, corr). One pass, whatever the number of pairs."""
+    names = F.array(*[F.lit(c) for c in columns])
+    return gram.correlations(df, columns).select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), "corr")
 
 
 def mse(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:

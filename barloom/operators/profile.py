@@ -127,3 +127,10 @@ def prune_high_corr(corrs: DataFrame, threshold: float = 0.9, audit: float = 0.8
     flagged = corrs.filter(F.abs("corr") > audit).orderBy(F.desc(F.abs("corr")), "feature").collect()
     drop = [r.feature for r in flagged if abs(r["corr"]) > threshold or not r.feature.endswith("_lag1")]
     return drop, [r.feature for r in flagged if r.feature not in drop]
+
+
+def pruning(corrs: DataFrame, threshold: float = 0.9, audit: float = 0.8) -> DataFrame:
+    """(feature, corr, dropped) for the features that ``prune_high_corr`` looks at, as a table."""
+    high = F.abs("corr")
+    drop = (high > threshold) | ~F.col("feature").endswith("_lag1")
+    return corrs.filter(high > audit).select("feature", "corr", drop.alias("dropped"))

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from barloom.operators.align import drop_missing
 from barloom.operators.panel import mse
-from barloom.plans import models, regimes
+from barloom.plans import kernel, models, regimes
+from barloom.plans.macro import MONTHLY_SERIES
 
 SHARED_MACRO = ("CPI", "CorePCE", "RetailSales", "DurGoodsOrders")
 
@@ -26,7 +27,8 @@ class Variant:
     forecast: str | None = "hard"  # hard, soft or None
     impute: bool = False
     lagged: bool = False
-    iterations: int = 50
+    iterations: int = 300
+    released: tuple[str, ...] = MONTHLY_SERIES
 
 
 def wide_variant(macro: Sequence[str], hmm_inputs: Sequence[str]) -> Variant:
@@ -43,17 +45,20 @@ def compare(
     variant: Variant = COMPACT,
     train: tuple[str, str] = models.TRAIN,
     test: tuple[str, str] = models.TEST,
-    grid: dict = models.GRID,
+    grid: dict = kernel.GRID,
     by: str = "symbol",
     splits: int = 5,
 ) -> DataFrame:
-    """(model, mse) on test prices. ``panel``: symbol, ts, close and the macro columns."""
-    frame = models.model_frame(panel.select(by, "ts", "close", *variant.macro), variant.macro, (by,), variant.extras)
+    """(model, mse) on test prices. ``panel``: symbol, ts, close and the macro columns.
+
+    A grid with ``gamma`` and ``C`` asks for the kernel regression, one with ``regParam`` for the linear one.
+    """
+    frame = models.model_frame(panel.select(by, "ts", "close", *variant.macro), variant.macro, (by,), variant.extras, variant.released)
     base = [*variant.macro, "Ret1", *variant.extras, "Vol10"]
     past, future = models.time_split(frame, train, test)
     if variant.impute:
         past, future = models.median_impute(past, future, columns=base)
-    tuned = models.expanding_grid_search(past, base, grid, splits)
+    tuned = (models.kernel_search if "gamma" in grid else models.expanding_grid_search)(past, base, grid, splits)
     results = {
         "naive": models.naive_baseline(frame, test, (by,)),
         "regression": models.price_predictions(tuned.model, future),
@@ -74,7 +79,10 @@ def compare(
     both = regimes.augment(frame, probs, by, lag=1 if variant.lagged else 0, backfill=variant.lagged)
     aug_past, aug_future = models.time_split(both, train, test)
     columns = [*base, *[f"hmm_state_{i}" for i in range(variant.states)]]
-    refit = models.regression_pipeline(columns, **tuned.params).fit(aug_past)
+    if "gamma" in grid:
+        refit = kernel.fit(aug_past, columns, models.TARGET, **tuned.params)
+    else:
+        refit = models.regression_pipeline(columns, **tuned.params).fit(aug_past)
     results["regression_with_regimes"] = models.price_predictions(refit, aug_future)
     rows = [mse(df, "true_price", "pred_price").select(F.lit(n).alias("model"), "mse") for n, df in results.items()]
     return reduce(lambda a, b: a.unionByName(b), rows)

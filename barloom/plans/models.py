@@ -14,9 +14,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from barloom.operators import align
 from barloom.functions.cells import inf_to_null
 from barloom.operators.lanes import Lane
-from barloom.operators.panel import mse
 from barloom.operators.rolling import log_return
 from barloom.operators.stages import Stages
+from barloom.plans import kernel
+from barloom.plans.macro import MONTHLY_SERIES
+from barloom.session import settle
 
 TARGET = "y_next_log_close"
 # The assignment's date ranges, both ends included.
@@ -24,8 +26,14 @@ TRAIN = ("2015-01-01", "2021-12-31")
 TEST = ("2022-01-01", "2025-06-01")
 
 
-def model_frame(panel: DataFrame, macro: Sequence[str], by: Sequence[str] = ("symbol",), extras: Sequence[str] = ("Ret5",)) -> DataFrame:
-    """Lagged macro columns, LogClose, Ret1, Ret5, Vol10 and the next log close; complete rows."""
+def model_frame(
+    panel: DataFrame, macro: Sequence[str], by: Sequence[str] = ("symbol",), extras: Sequence[str] = ("Ret5",), released: Sequence[str] = MONTHLY_SERIES
+) -> DataFrame:
+    """Macro columns, LogClose, Ret1, Ret5, Vol10 and the next log close; complete rows.
+
+    ``released`` names the series that are known a row later only (monthly figures); daily ones such as yields stay.
+    """
+    macro = [c for c in macro if c in released]
     b = Stages(Lane(tuple(by), "ts", False, tuple(by)), panel.columns)
     for c in macro:
         before = b.lag(c, 1)
@@ -159,30 +167,36 @@ class Tuned:
 def expanding_grid_search(train: DataFrame, features: Sequence[str], grid: dict[str, Iterable[float]] = GRID, splits: int = 5, label: str = TARGET) -> Tuned:
     """Pick parameters by mean squared error over expanding folds, refit on all of train.
 
-    Fold k is scored by a model that saw only the folds before it.
+    Fold k is scored by a model that saw only the folds before it. The data is read once: the sums of products of the
+    folds add up to those of every training block, and all grid points are solved and scored from them.
     """
-    data = add_folds(train.select("ts", *features, label), splits).persist()
-    try:
-        scores = []
-        for values in product(*grid.values()):
-            params = dict(zip(grid, values))
-            errors = []
-            for k in range(1, splits + 1):
-                before, block = data.filter(F.col("fold") < k), data.filter(F.col("fold") == k)
-                if before.isEmpty() or block.isEmpty():
-                    continue
-                model = regression_pipeline(features, label, **params).fit(before)
-                errors.append(mse(model.transform(block), label, "prediction").first()["mse"])
-            if not errors:
-                raise ValueError("too few dates to validate on")
-            scores.append((params, sum(errors) / len(errors)))
-        best = min(scores, key=lambda s: s[1])[0]
-        return Tuned(regression_pipeline(features, label, **best).fit(data), best, scores)
-    finally:
-        data.unpersist()
-
-
-def price_predictions(model: PipelineModel, df: DataFrame, label: str = TARGET) -> DataFrame:
+    data = settle(add_folds(train.select("ts", *features, label), splits))
+    # Around the overall means, so that squares do not cancel.
+    middle = data.agg(*[F.avg(c) for c in (*features, label)]).first()
+    centred = data.select("fold", *[(F.col(c) - F.lit(m or 0.0)).alias(c) for c, m in zip((*features, label), middle)])
+    sums = kernel.fold_sums(centred, features, label, splits)
+    scores = []
+    for values in product(*grid.values()):
+        params = dict(zip(grid, values))
+        errors, past = [], sums[0]
+        for block in sums[1:]:
+            if past[-2, -2] and block[-2, -2]:
+                fitted = kernel.elastic_net(past, params.get("regParam", 0.0), params.get("elasticNetParam", 0.0))
+                errors.append(kernel.squared_error(block, *fitted) / block[-2, -2])
+            past = past + block
+        if not errors:
+            raise ValueError("too few dates to validate on")
+        scores.append((params, sum(errors) / len(errors)))
+    best = min(scores, key=lambda s: s[1])[0]
+    return Tuned(regression_pipeline(features, label, **best).fit(data), best, scores)
+
+
+def kernel_search(train: DataFrame, features: Sequence[str], grid: dict = kernel.GRID, splits: int = 5, label: str = TARGET, **how) -> kernel.Searched:
+    """The same selection for the kernel regression: widths and penalties over expanding folds."""
+    return kernel.search(add_folds(train.select("ts", *features, label), splits), features, label, grid, splits, **how)
+
+
+def price_predictions(model: PipelineModel | kernel.KernelModel, df: DataFrame, label: str = TARGET) -> DataFrame:
     """Actual and predicted next price: the model works on logs, errors are on prices."""
     out = model.transform(df)
     return out.select(*df.columns, F.exp(label).alias("true_price"), F.exp("prediction").alias("pred_price"))
