@@ -93,10 +93,47 @@ def test_em_gains_likelihood_and_finds_two_regimes(spark):
     assert sorted(np.round(m.mean[:, 0], 2)) == pytest.approx([-0.02, 0.01], abs=0.011)
 
 
-def test_regimes_refuse_undated_rows(spark):
-    df = spark.createDataFrame([("X", dt.datetime(2020, 1, 1), 1.0)], "symbol string, ts timestamp, r double")
-    with pytest.raises(ValueError):
-        regimes.pack(df, ["r"])
+@pytest.fixture(scope="module")
+def intraday(spark):
+    """Rows by the minute with ragged ends, one symbol shorter than a block."""
+    rng, rows = np.random.default_rng(8), []
+    for s, n in (("X", 400), ("Y", 137), ("Z", 12)):
+        state = (np.arange(n) // 25) % 2
+        ret = rng.normal(np.where(state == 0, 0.3, -0.4), np.where(state == 0, 0.5, 1.5))
+        rows += [(s, dt.datetime(2020, 1, 1) + dt.timedelta(minutes=i * 7), float(x), float(abs(x)), 10.0) for i, x in enumerate(ret)]
+    rows.append(("X", dt.datetime(2020, 1, 1, 0, 1), None, 1.0, 10.0))
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, r double, v double, close double")
+    m = regimes.Regimes(("r", "v"), np.array([0.7, 0.3]), np.array([[0.9, 0.1], [0.25, 0.75]]), np.array([[0.3, 0.4], [-0.4, 1.1]]), np.array([[0.25, 0.1], [2.0, 1.0]]))
+    return df, m
+
+
+def test_blocks_equal_whole_sequences(intraday):
+    df, m = intraday
+    whole = regimes.log_likelihood(df, m)
+    for size in (10, 37, 128):
+        assert regimes.log_likelihood(df, m, block_rows=size) == pytest.approx(whole, rel=1e-9)
+    for read in (
+        lambda size: regimes.probabilities(df, m, block_rows=size),
+        lambda size: regimes.probabilities(df, m, "filter", block_rows=size),
+        lambda size: regimes.path(df, m, block_rows=size),
+    ):
+        one, cut = (read(size).toPandas().sort_values(["symbol", "ts"]).set_index(["symbol", "ts"]) for size in (100_000, 23))
+        assert one.index.equals(cut.index) and len(one) == 549 and np.allclose(one, cut, atol=1e-9)
+
+
+def test_em_steps_equal_in_blocks(intraday):
+    df, _ = intraday
+    a, b = (regimes.fit(df, ["r", "v"], 2, 4, block_rows=size) for size in (100_000, 31))
+    assert np.allclose(a.log_likelihood, b.log_likelihood, rtol=1e-9)
+    for x, y in ((a.start, b.start), (a.move, b.move), (a.mean, b.mean), (a.var, b.var)):
+        assert np.allclose(x, y, rtol=1e-7)
+
+
+def test_joined_bounds_equal_broadcast_ones(intraday, monkeypatch):
+    df, m = intraday
+    want = regimes.log_likelihood(df, m, block_rows=50)
+    monkeypatch.setattr(regimes, "BROADCAST_BYTES", 0)
+    assert regimes.log_likelihood(df, m, block_rows=50) == pytest.approx(want, rel=1e-12)
 
 
 def test_soft_forecast_is_clipped(toy):
