@@ -116,18 +116,6 @@ class Extreme:
         return {"ext": f"CASE WHEN {whole} THEN {self.pick}({', '.join(cols)}) END"}
 
 
-class History:
-    """The window's values as an array, oldest first."""
-
-    fields = ("arr",)
-
-    def single(self, x: str) -> dict[str, str]:
-        return {"arr": f"CASE WHEN {x} IS NOT NULL THEN array({x}) END"}
-
-    def merge(self, pieces: list[Piece], define: Callable) -> dict[str, str]:
-        return {"arr": f"concat({', '.join(p['arr'] for _, p in reversed(pieces))})"}
-
-
 KINDS = {
     "total": Total(),
     "partial": PartialTotal(),
@@ -136,5 +124,4 @@ KINDS = {
     "comoments": Comoments(),
     "max": Extreme("greatest"),
     "min": Extreme("least"),
-    "history": History(),
 }

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from barloom.functions.text import at_least_zero, flag, num, ratio, root
 from barloom.operators.lanes import OWN
 from barloom.operators.recursive import ema, span_alpha
+from barloom.operators.sliding import Quantile, Share
 from barloom.operators.stages import Stages
 
 YEAR_DAYS = 252
@@ -179,26 +180,14 @@ def gap_fill_probability(b: Stages, windows: Sequence[int] = (20, 60, 120, 252))
 def volume_percentile(b: Stages, windows: Sequence[int] = (20, 60, 252)) -> None:
     """Share of the window at or below the current volume."""
     for n in windows:
-        hist = b.rolled("history", n, "volume")["arr"]
-        share = f"size(filter({hist}, x -> x <= volume)) / {num(n)}"
-        b.out(b.col(f"vol_pct_{n}", f"CASE WHEN {hist} IS NOT NULL THEN {share} END", hist, "volume"))
-
-
-def _order_stat(ranked: str, n: int, p: float) -> str:
-    """Linear interpolation between order statistics of a sorted array of n values."""
-    pos = p * (n - 1)
-    lo = int(math.floor(pos))
-    low = f"get({ranked}, {lo})"
-    return low if pos == lo else f"{low} + (get({ranked}, {lo + 1}) - {low}) * {num(pos - lo)}"
+        b.out(b.slide(Share(f"vol_pct_{n}", "volume", n)))
 
 
 def volume_surge(b: Stages, windows: Sequence[int] = (20, 60), share: float = 0.95) -> None:
     tag = int(round(share * 100))
     for n in windows:
         mean, std = b.center("volume", n), b.std_pop("volume", n)
-        hist = b.rolled("history", n, "volume")["arr"]
-        ranked = b.col(f"_ranked_volume_{n}", f"sort_array({hist})", hist)
-        thr = b.col(f"vol_p{tag}_{n}", _order_stat(ranked, n, share), ranked)
+        thr = b.slide(Quantile(f"vol_p{tag}_{n}", "volume", n, share))
         b.out(
             b.col(f"vol_avg_{n}", mean, mean),
             b.col(f"vol_ratio_{n}", ratio("volume", mean), "volume", mean),
@@ -251,12 +240,7 @@ def amihud(b: Stages, n: int = 20) -> None:
     ret = pct_change(b, "close", 1, "ret_1d")
     illiq = b.col("_illiq", ratio(f"abs({ret})", "close * volume"), ret, "close", "volume")
     mean = b.mean(illiq, n)
-    hist = b.rolled("history", n, illiq)["arr"]
-    ranked = b.col("_ranked_illiq", f"sort_array({hist})", hist)
-    b.out(
-        b.col(f"amihud_illiq_mean_{n}", mean, mean),
-        b.col(f"amihud_illiq_median_{n}", _order_stat(ranked, n, 0.5), ranked),
-    )
+    b.out(b.col(f"amihud_illiq_mean_{n}", mean, mean), b.slide(Quantile(f"amihud_illiq_median_{n}", illiq, n, 0.5)))
 
 
 # -- trend ---------------------------------------------------------------------------

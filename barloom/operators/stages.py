@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame
 from barloom.operators.lanes import OWN, RUN_ROWS, TILE, Lane, own_rows
 from barloom.operators.pieces import KINDS, parts
 from barloom.operators.scan import Scan, carried
+from barloom.operators.sliding import Quantile, Share, slide
 
 Spot = tuple[int, int]  # (pass, depth of scalar steps inside the pass)
+LAST = 1 << 20  # the pass of sliding order statistics
 
 
 class Stages:
@@ -30,6 +32,7 @@ class Stages:
         self._reach: dict[str, int] = {}
         self._own_only: set[str] = set()
         self._scans: dict[int, list[Scan]] = {}
+        self._slides: list[Share | Quantile] = []
 
     # -- definitions -------------------------------------------------------------
     def has(self, name: str) -> bool:
@@ -46,6 +49,8 @@ class Stages:
             if not self._own_only.isdisjoint(inputs) and back:
                 raise ValueError(f"tiles hold no history of the recursive average behind {name}")
             at = max((self._ready[i][0] for i in inputs), default=0)
+            if at == LAST:
+                raise ValueError(f"{name} reads a sliding order statistic, which come after all windows")
             self._ready[name] = (at + 1, 0)
             self._put((at + 1, 0), name, f"{call} OVER {window}", inputs, back)
         return name
@@ -70,6 +75,17 @@ class Stages:
             self._reach[c] = max(self._reach.get(i, 0) for i in scan.inputs)
             self._own_only.add(c)
 
+    def slide(self, ask: Share | Quantile) -> str:
+        """An order statistic of the last rows; only scalar expressions can read it."""
+        if ask.name not in self._ready:
+            self.row_no()
+            if ask.x in self._own_only or self._ready[ask.x][0] == LAST:
+                raise ValueError(f"no window of {ask.x} to order")
+            self._slides.append(ask)
+            self._ready[ask.name] = (LAST, 0)
+            self._reach[ask.name] = self._reach.get(ask.x, 0) + ask.n - 1
+        return ask.name
+
     @property
     def reach(self) -> int:
         """Rows of history that the outputs look back on, recursions aside (their state is carried)."""
@@ -171,10 +187,12 @@ class Stages:
         # The scans of a pass follow its last step.
         spots: dict[tuple, dict | list[Scan]] = {spot: defs for spot, defs in made.items() if defs}
         spots |= {(at, math.inf): scans for at, scans in self._scans.items()}
+        if self._slides:
+            spots[LAST, 0] = tuple(self._slides)
         steps = [spots[spot] for spot in sorted(spots)]
         last_read: dict[str, int] = {}
         for i, step in enumerate(steps):
-            reads = [d[1] for d in step.values()] if isinstance(step, dict) else [s.inputs for s in step]
+            reads = [d[1] for d in step.values()] if isinstance(step, dict) else [s.inputs if isinstance(s, Scan) else (s.x, "_n") for s in step]
             for inputs in reads:
                 last_read.update(dict.fromkeys(inputs, i))
         have = list(df.columns)
@@ -183,6 +201,11 @@ class Stages:
             if isinstance(step, dict):
                 df = df.selectExpr(*[f"`{c}`" for c in have], *[f"{sql} AS `{c}`" for c, (sql, _) in step.items()])
                 have += step
+            elif isinstance(step, tuple):
+                # Windows left the rows in this order; stated again, it costs no sort.
+                df = df.select(*[f"`{c}`" for c in have]).sortWithinPartitions(*self.lane.keys, "_run", self.lane.order)
+                df = slide(df, step)
+                have += [a.name for a in step]
             else:
                 df = carried(df.select(*[f"`{c}`" for c in have]), self.lane, step)
                 have += [c for s in step for c in s.outputs]

@@ -212,6 +212,34 @@ def test_halo_is_as_long_as_the_windows(spark):
         packs.compute(df, lambda b: (r.emas(b), b.lag("_ema5", 3)), layout="tiled")
 
 
+def test_order_statistics_cross_batches(spark):
+    """Lanes longer and shorter than an Arrow batch, with holes, against pandas."""
+    one, two, tiny = series(900, 11), series(40, 12), series(3, 13)
+    one.loc[[200, 201, 500], "volume"] = np.nan
+    one.loc[600:640, "volume"] = 7.0
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        got = run(bars(spark, two, one, tiny), r.volume_percentile, r.volume_surge)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    want = pd.concat([one, two, tiny]).sort_values(["symbol", "ts"])
+    for n in (20, 60, 252):
+        share = want.groupby("symbol")["volume"].transform(lambda v: v.rolling(n).apply(lambda w: (w <= w.iloc[-1]).mean()))
+        same(got[f"vol_pct_{n}"], share)
+    for n in (20, 60):
+        same(got[f"vol_p95_{n}"], want.groupby("symbol")["volume"].transform(lambda v: v.rolling(n).quantile(0.95)))
+
+
+def test_no_arrays_behind_order_statistics(spark, tmp_path):
+    bars(spark, series(50)).write.parquet(str(tmp_path / "bars"))
+    text = plan(packs.compute(spark.read.parquet(str(tmp_path / "bars")), packs.liquidity_pressure))
+    assert "sort_array" not in text and "filter(" not in text and text.count("Exchange hashpartitioning") == 1
+    assert text.count("+- Sort [") <= 2
+    with pytest.raises(ValueError):
+        packs.compute(bars(spark, series(50)), lambda b: (r.volume_percentile(b), b.lag("vol_pct_20")))
+
+
 def test_layout_choice(spark):
     dated = bars(spark, series(50))
     assert not needs_tiles(dated, ("symbol",), "ts", limit=10)
