@@ -136,6 +136,41 @@ def spine_join(
     return reduce(lambda left, t: left.join(prepared(*t), on, "left"), tables.items(), spine)
 
 
+def stack_join(
+    spine: DataFrame, tables: dict[str, DataFrame], on: Sequence[str] = ("Date",), dedupe: str = "error", order: dict[str, str] | None = None
+) -> DataFrame:
+    """Left join of any number of tables onto the spine's keys in one shuffle.
+
+    All rows are stacked as key and one struct per table, and one aggregate folds them by key. A key that a table
+    holds twice raises (``error``) or keeps the row that is last by that table's ``order`` column (``last``). Columns other than
+    the keys must differ between tables.
+    """
+    on, order = list(on), order or {}
+    if dedupe not in ("error", "last"):
+        raise ValueError("dedupe must be 'error' or 'last'")
+    lacking = [n for n in tables if dedupe == "last" and n not in order]
+    if lacking:
+        raise ValueError(f"dedupe='last' needs an order column for {lacking}")
+    rest = {n: [c for c in t.columns if c not in on] for n, t in tables.items()}
+    stacked = [spine.select(*on).distinct().withColumn("_spine", F.lit(True))]
+    for k, (n, t) in enumerate(tables.items()):
+        stacked.append(t.select(*on, F.struct(*[F.col(f"`{c}`") for c in rest[n]]).alias(f"_t{k}")))
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
+    aggs = [F.max("_spine").alias("_spine")]
+    for k, n in enumerate(tables):
+        row = F.col(f"_t{k}")
+        if dedupe == "last":
+            aggs.append(F.max_by(row, row[order[n]]).alias(f"_t{k}"))
+        else:
+            aggs += [F.first(row, ignorenulls=True).alias(f"_t{k}"), F.count(row).alias(f"_n{k}")]
+    folded = both.groupBy(*on).agg(*aggs).filter(F.col("_spine"))
+    if dedupe == "error":
+        many = reduce(lambda a, b: a | b, [F.col(f"_n{k}") > 1 for k in range(len(tables))], F.lit(False))
+        folded = folded.filter(F.when(many, F.raise_error(F.lit("duplicate dates on the right side")).cast("boolean")).otherwise(True))
+    cells = [F.col(f"_t{k}").getField(c).alias(c) for k, n in enumerate(tables) for c in rest[n]]
+    return folded.select(*on, *cells)
+
+
 def pivot_wide(df: DataFrame, assets: Sequence[str], values: Sequence[str] = ("close",), by: Sequence[str] = (), ts: str = "ts", asset: str = "asset") -> DataFrame:
     """Long (ts, asset, ...) to one column per asset (``{asset}_{value}`` for several values)."""
     return df.groupBy(*by, ts).pivot(asset, list(assets)).agg(*[F.first(v, ignorenulls=True).alias(v) for v in values])

@@ -56,6 +56,11 @@ def pair_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return added.select("i", (F.col("i") + F.col("p")).alias("j"), *SUMS)
 
 
+def flat(n: float, s: float, q: float) -> bool:
+    """Whether values with this count, sum and sum of squares are all the same."""
+    return n * q - s * s <= ROUNDING * n * q
+
+
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``i, j, corr`` for all pairs both ways, over complete pairs; NULL where a side is constant."""
     sums = pair_sums(df, columns)

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from barloom.functions.cells import to_number
-from barloom.functions.text import pearson, quoted, string
+from barloom.functions.text import quoted, string
+from barloom.operators import gram
 
 # Names and name parts a feature must not have.
 FORBIDDEN_NAMES = (
@@ -101,21 +102,31 @@ def select_features(columns: Sequence[str], macro: Sequence[str] | None = None)
 
 
 def feature_target_corr(train: DataFrame, features: Sequence[str], target: str = TARGET) -> DataFrame:
-    """(feature, corr) over the training rows, one pass for all features.
+    """(feature, corr) over the training rows, one pass for all features; the table is computed at once.
 
     A constant or empty feature has correlation 0. A feature with any missing value has none
     (NULL): it can never be flagged.
     """
+    spark, m = train.sparkSession, len(features)
     if not features:
-        return train.sparkSession.createDataFrame([], "feature string, corr double")
-    aggs, cells = ["count(1) AS _n"], []
-    for i, f in enumerate(features):
-        x = f"CAST({quoted(f)} AS DOUBLE)"
-        corr = pearson(x, f"CAST({quoted(target)} AS DOUBLE)")
-        aggs += [f"{corr} AS _r{i}", f"stddev_pop({x}) AS _s{i}", f"count({x}) AS _k{i}"]
-        rule = f"CASE WHEN _k{i} = 0 OR _s{i} = 0 THEN 0D WHEN _k{i} = _n THEN _r{i} END"
-        cells.append(f"named_struct('feature', {string(f)}, 'corr', {rule})")
-    return train.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(cells)}))")
+        return spark.createDataFrame([], "feature string, corr double")
+    # Names of their own: a feature may be the target's namesake or hold odd characters.
+    cells = [F.col(f"`{c}`").cast("double").alias(f"f{k}") for k, c in enumerate([*features, target])]
+    sums = gram.pair_sums(train.select(*cells, F.lit(1.0).alias("one")), [*[f"f{k}" for k in range(m + 1)], "one"])
+    # Of the pairs only those of a feature with itself and with the target: two rows per feature.
+    found = {(r.i, r.j): r for r in sums.filter(f"i = j OR (i < {m} AND j = {m})").collect()}
+    total = found[m + 1, m + 1].n if found else 0.0
+
+    def corr(k: int) -> float | None:
+        own, both = found.get((k, k)), found.get((k, m))
+        if own is None or own.n == 0 or gram.flat(own.n, own.s, own.q):
+            return 0.0
+        if own.n < total or both.n < 2 or gram.flat(both.n, both.s, both.q) or gram.flat(both.n, both.t, both.r):
+            return None
+        product = (both.n * both.q - both.s**2) * (both.n * both.r - both.t**2)
+        return max(-1.0, min(1.0, (both.n * both.c - both.s * both.t) / product**0.5))
+
+    return spark.createDataFrame([(f, corr(k)) for k, f in enumerate(features)], "feature string, corr double")
 
 
 def prune_high_corr(corrs: DataFrame, threshold: float = 0.9, audit: float = 0.8) -> tuple[list[str], list[str]]:

@@ -88,6 +88,14 @@ def _with_obv_carry(df: DataFrame, lane: Lane) -> DataFrame:
     return df.join(carry, list(lane.keys), "left")
 
 
+def outputs(bars: DataFrame, *indicators: Indicator) -> list[str]:
+    """Names of the columns that these indicators add, without building them."""
+    b = Stages(Lane(("symbol",), "ts", False, ("symbol",)), [*bars.columns, "volume"])
+    for indicator in indicators:
+        indicator(b)
+    return b.outputs
+
+
 def history(bars: DataFrame, *indicators: Indicator, keys: tuple[str, ...] = ("symbol",), order: str = "ts") -> int:
     """Rows of history that a tile needs for these indicators."""
     b = Stages(Lane((*keys, TILE), order, True, keys), [*bars.columns, TILE, OWN, r.OBV_CARRY])

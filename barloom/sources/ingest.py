@@ -90,8 +90,10 @@ def parse_dates(df: DataFrame, column: str, out: str = "Date", formats: Sequence
     """Parse a text column with the first format that fits any row.
 
     That format then holds for the whole column and other rows become NULL; if none fits, a
-    general cast is used. One aggregate looks at all formats at once.
+    general cast is used. One aggregate looks at all formats at once. Dates and timestamps need no look.
     """
+    if dict(df.dtypes)[column] in ("date", "timestamp", "timestamp_ntz"):
+        return df.withColumn(out, F.col(f"`{column}`").cast("timestamp_ntz"))
     text = F.trim(F.col(f"`{column}`").cast("string"))
     fits = df.agg(*[F.bool_or(F.try_to_timestamp(text, F.lit(f)).isNotNull()) for f in formats]).first()
     chosen = next((f for f, ok in zip(formats, fits) if ok), None)
@@ -151,10 +153,10 @@ def load_option_chain(spark: SparkSession, calls: str, puts: str) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
-def load_series_set(loaders: dict[str, Callable[[], DataFrame]]) -> DataFrame:
+def load_series_set(loaders: dict[str, Callable[[], DataFrame]], on_error: str = "warn") -> DataFrame:
     """Named (ts, value) series as one long (name, ts, value) table.
 
-    A loader that fails or has no rows is skipped with a warning.
+    A loader that fails or has no rows is skipped with a warning; ``on_error="raise"`` lets failures through.
     """
     good = []
     for name, load in loaders.items():
@@ -162,6 +164,8 @@ def load_series_set(loaders: dict[str, Callable[[], DataFrame]]) -> DataFrame:
             df = load()
             empty = df.isEmpty()
         except Exception as e:  # a broken source must not stop the others
+            if on_error == "raise":
+                raise
             warnings.warn(f"series {name} failed: {e}")
             continue
         if empty:

@@ -239,3 +239,38 @@ def test_master_keeps_the_last_row_of_a_date(spark):
     assert [r.spy_ohlcv_1drth_close for r in m.data.orderBy("Date").collect()] == [2.0, 3.0]
     with pytest.raises(ValueError):
         master.build_master(sources, dedupe="last")
+
+
+def test_stacked_tables_join_in_one_shuffle(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    spine = spark.createDataFrame([(1, "a"), (2, "a"), (1, "b"), (1, "b")], "k int, s string")
+    tables = {n: spark.createDataFrame([(1, "a", float(i)), (9, "z", 1.0)], f"k int, s string, {n}_v double") for i, n in enumerate("pqr")}
+    out = align.stack_join(spine, tables, ["s", "k"])
+    assert sorted(map(tuple, out.collect())) == [("a", 1, 0.0, 1.0, 2.0), ("a", 2, None, None, None), ("b", 1, None, None, None)]
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        align.stack_join(spine.select("s", "k"), {n: t for n, t in tables.items()}, ["s", "k"]).explain()
+    assert buf.getvalue().count("Exchange hashpartitioning") <= 2  # the spine's distinct rows, and the fold
+    twice = {"p": tables["p"].unionByName(tables["p"].withColumn("p_v", F.lit(7.0)))}
+    with pytest.raises(Exception, match="duplicate dates"):
+        align.stack_join(spine, twice, ["s", "k"]).collect()
+    last = align.stack_join(spine, twice, ["s", "k"], "last", {"p": "p_v"}).filter("s = 'a' AND k = 1").first()
+    assert last["p_v"] == 7.0
+    with pytest.raises(ValueError):
+        align.stack_join(spine, twice, ["s", "k"], "last")
+
+
+def test_master_of_several_symbols(spark):
+    import datetime as dt
+
+    day = [dt.date(2020, 1, i + 1) for i in range(4)]
+    vol = spark.createDataFrame([(s, x, 1.0) for s in "AB" for x in day], "symbol string, Date date, v double")
+    px = spark.createDataFrame([(s, x, float(i + k + 1)) for k, s in enumerate("AB") for i, x in enumerate(day)], "symbol string, Date date, close double")
+    mac = spark.createDataFrame([(day[1], 5.0)], "Date date, CPI double")
+    m = master.build_master({"spy_rth_volatility": vol, "spy_ohlcv_1drth": px, "macro_positioning_data": mac}, train=("2020-01-01", "2020-12-31"), dedupe="error", by=("symbol",))
+    got = sorted((r["symbol"], r["Date"].day, r["spy_ohlcv_1drth_close"], r["macro_positioning_data_CPI"], round(r["SPY_NextDay_Return"], 4)) for r in m.data.collect())
+    assert got == [("A", 1, 1.0, None, 1.0), ("A", 2, 2.0, 5.0, 0.5), ("A", 3, 3.0, 5.0, 0.3333), ("B", 1, 2.0, None, 0.5), ("B", 2, 3.0, 5.0, 0.3333), ("B", 3, 4.0, 5.0, 0.25)]
+    report = {(r["source"], r["stage"]): r["null_pct"] for r in master.null_report(m).collect()}
+    assert report["macro_positioning_data", "after"] == 75.0 and report["macro_positioning_data", "before"] == 0.0
