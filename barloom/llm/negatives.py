@@ -28,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from barloom.llm.registry import query
-from barloom.llm.tables import numbered, read, settle, ship
+from barloom.llm.tables import numbered, read, settle, ship, sized_broadcast
 
 SHARD_ROWS = 32_768
 GROUP = 8
 LIMIT = 1 << 28
 POSITIVES, NEGATIVES = 5, 10
 LOW, HIGH = 30, 90  # percent of the positive's score
+MAX_BROADCAST_KEYS = 100_000  # of three numbers each
 FOUND = 1024  # lists of results in one Arrow batch
 
 
@@ -155,7 +156,8 @@ def dealt(rows: DataFrame, keys: list[str], shard_rows: int) -> tuple[DataFrame,
     cores = rows.sparkSession.sparkContext.defaultParallelism
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     most = F.greatest(F.ceil(F.col("_n") / shard_rows), F.least(F.lit(cores), F.ceil(F.col("_n") / (shard_rows // 8 + 1))))
-    counts = counts.select(*keys, most.cast("int").alias("pieces"))
+    # A row per key: sent to all tasks while it is small, so that a frequent key stays where its rows are.
+    counts = sized_broadcast(settle(counts.select(*keys, most.cast("int").alias("pieces"))), MAX_BROADCAST_KEYS)
     spread = rows.join(counts, keys).withColumn("piece", F.pmod(F.xxhash64("row"), F.col("pieces")).cast("int"))
     return spread.drop("pieces"), counts
 

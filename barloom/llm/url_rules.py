@@ -57,8 +57,9 @@ def rule_table(spark: SparkSession, rules=RULES, patterns=PATTERNS) -> DataFrame
     rows = []
     for verdict, rule in rules:
         host, slash, path = rule.partition("/")
-        # Host and path are tested as "host path" with a blank between, which neither end can cross.
-        fits = rf"(^|\.){re.escape(host)}\x20{re.escape(slash + path)}"
+        # Host and path are tested as "host path" with a blank between. A host holds no slash and a path begins
+        # with one, so the part before the first slash is the host's, whatever blanks follow.
+        fits = rf"^([^/]*\.)?{re.escape(host)}\x20{re.escape(slash + path)}"
         rows.append((rule, verdict, len(rule) + 1000, fits, re.findall("[0-9a-z]+", rule.lower())))
     for name, expression, needs in patterns:
         rows.append((name, "block", 0, expression, list(needs)))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.llm import interleave, negatives, periodic
+from barloom.llm import interleave, negatives, periodic, url_rules
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard string, slot string, row string, runs long, rank string, s string"
 
@@ -189,3 +189,11 @@ def test_shards_cases(spark, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/out")
     assert back.count() == 100 and {r["count"] for r in back.groupBy("shard").count().collect()} == {25}
     assert back.groupBy("shard", "part").count().agg(F.max("count")).first()[0] == 10
+
+
+def test_host_rules_stop_at_the_path(spark):
+    """Blanks in the path (or the host) never let a rule match inside the path."""
+    urls = ["http://foo.org/x.net /fr/1", "http://foo.org/docs.example.com /en/z", "http://foo.org/a.com /b", "http://a b.net/fr/1", "http://x.net y/fr/1", "http://NET/fr/", "http://barnet/fr/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = {r["page_id"]: r["rule"] for r in url_rules.judge(pages, url_rules.rule_table(spark)).collect()}
+    assert got == {0: None, 1: None, 2: None, 3: "net/fr/", 4: None, 5: "net/fr/", 6: None}
