@@ -617,6 +617,25 @@ def d20(spark, d):
     return panel.average_correlation(rets).select("ts", rnd("avg_corr").alias("avg_corr"))
 
 
+HOLES = "asset = 'PROMO' AND month(ts) = 6 AND day(ts) = 13"
+# Windows of sixty dates of the market, not of sixty rows of a pair.
+GAPS_CTE = (
+    f"k AS (SELECT ts, asset, ret, dense_rank() OVER (ORDER BY ts) AS pos FROM rets WHERE ret IS NOT NULL AND NOT ({HOLES})),"
+    " pairs AS (SELECT a.ts, a.asset AS a, b.asset AS b, CASE WHEN count(*) OVER w = 60 THEN corr(a.ret, b.ret) OVER w END AS c"
+    " FROM k AS a JOIN k AS b ON a.ts = b.ts WINDOW w AS (PARTITION BY a.asset, b.asset ORDER BY a.pos RANGE BETWEEN 59 PRECEDING AND CURRENT ROW))"
+)
+
+
+@query(
+    "d20_avg_cross_corr_gaps",
+    f"WITH {ASSETS_CTE}, {RET_CTE}, {GAPS_CTE} SELECT ts, {r6('avg(c)')} AS avg_corr FROM pairs GROUP BY ts",
+)
+def d20_gaps(spark, d):
+    """A return missing inside one series, its row dropped: the other series' dates still meet."""
+    rets = align.drop_missing(_returns(spark, d), ["ret"]).filter(f"NOT ({HOLES})")
+    return panel.average_correlation(rets).select("ts", rnd("avg_corr").alias("avg_corr"))
+
+
 # -- windows over panels -----------------------------------------------------------------
 @query(
     "e3_ffill",

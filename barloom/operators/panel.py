@@ -87,11 +87,14 @@ def average_correlation(returns: DataFrame, n: int = 60, by: Sequence[str] = ("m
     No pairs are formed. With every asset scaled to unit deviation inside the window, the sum
     of all correlations is the variance of the sum of the scaled series, so each asset adds
     its n scaled returns to n running totals per date. Work grows with the number of assets,
-    not with its square, and the totals combine map-side. Assets with a constant or
-    incomplete window drop out of the matrix.
+    not with its square, and the totals combine map-side. A window is n dates of the market, so an asset's values
+    meet the others' of the same dates, also where rows or values are missing; assets with a constant or incomplete
+    window drop out of the matrix.
     """
     part = ", ".join([*by, "asset"])
-    w = f"OVER (PARTITION BY {part} ORDER BY ts ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    w = f"OVER (PARTITION BY {part} ORDER BY _at RANGE BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    dates = returns.select(*by, "ts").distinct()
+    returns = returns.join(dates.withColumn("_at", F.row_number().over(Window.partitionBy(*by).orderBy("ts"))), [*by, "ts"])
     win = returns.selectExpr(
         *by,
         "ts",
@@ -105,7 +108,7 @@ def average_correlation(returns: DataFrame, n: int = 60, by: Sequence[str] = ("m
     totals = usable.groupBy(*by, "ts").agg(F.count("*").alias("_k"), F.expr(f"array({sums})").alias("_z"))
     square = "aggregate(_z, 0D, (acc, z) -> acc + z * z)"
     out = totals.selectExpr(*by, "ts", f"{square} / {float(n)}D / (_k * _k) AS avg_corr")
-    return returns.select(*by, "ts").distinct().join(out, [*by, "ts"], "left")
+    return dates.join(out, [*by, "ts"], "left")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.functions.cells import headline_text
 from barloom.operators.align import top_n
@@ -35,6 +35,27 @@ def fit_scorer(labelled: DataFrame, text: str = "text", label: str = "label", fe
     return Pipeline(stages=stages).fit(labelled.select(text, label))
 
 
+def hashed_score(text: str | Column = "text", buckets: int = 21, lexicon: dict[str, float] | None = None) -> Column:
+    """Mean weight of a text's words, in [-1, 1], as one expression of the engine: no model is loaded.
+
+    Words are the runs of a-z after lower-casing. A word in ``lexicon`` has its weight there; any other has a fixed one by the
+    checksum of its letters, spread evenly over ``buckets`` levels from -1 to 1. A text without words scores 0.
+    """
+    col = F.col(text) if isinstance(text, str) else text
+    words = F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))), F.lit("([a-z]+)"), F.lit(1))
+
+    def weight(w: Column) -> Column:
+        level = F.crc32(w.cast("binary")) % buckets
+        spread = level * F.lit(2.0 / (buckets - 1)) - F.lit(1.0)
+        if not lexicon:
+            return spread
+        known = F.create_map(*[x for pair in lexicon.items() for x in map(F.lit, pair)])
+        return F.coalesce(known[w], spread)
+
+    total = F.aggregate(F.transform(words, weight), F.lit(0.0), lambda acc, x: acc + x)
+    return F.when(F.size(words) > 0, total / F.size(words)).otherwise(F.lit(0.0))
+
+
 def score_text(df: DataFrame, model: PipelineModel, out: str = "sentiment_score") -> DataFrame:
     """Probability of positive minus probability of negative, in [-1, 1]."""
     scored = model.transform(df)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +47,16 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder's path below the folder that driver and executors share (``spark.checkpoint.dir``)."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="barloom-shared-")
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
 _SHIPPED: set[str] = set()
 
 
