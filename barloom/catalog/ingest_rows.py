@@ -9,6 +9,7 @@ from pyspark.sql import functions as F, types as T
 from barloom import views
 from barloom.catalog.basics import ALL_ASSETS, ASSETS_CTE, CHAIN_CTE, r6, rnd
 from barloom.catalog.kit import bars_cte, query
+from barloom.catalog.products import SCALE
 from barloom.functions.market import quote_to_percent
 from barloom.operators import profile
 from barloom.plans import sentiment
@@ -252,19 +253,19 @@ SCORES_SQL = f"t AS (SELECT *, {WORDS_SQL} AS ws FROM src), {WEIGHTS_SQL}, s AS
 
 @query(
     "j6_score_text_hashed",
-    f"WITH src AS (SELECT doc_id AS id, text FROM documents), {SCORES_SQL.format('text')} SELECT t.id AS doc_id, round(coalesce(score, 0), 6) + 0.0 AS sentiment_score FROM t LEFT JOIN s USING (id)",
+    f"WITH src AS (SELECT doc_id AS id, text FROM documents), {SCORES_SQL.format('text')} SELECT t.id AS doc_id, round(coalesce(score, 0) * {SCALE}, 6) + 0.0 AS sentiment_score FROM t LEFT JOIN s USING (id)",
 )
 def j6_hashed(spark, d):
     """Every document scored by fixed word weights."""
     docs = views.table(spark, d, "documents")
-    return docs.select("doc_id", rnd(sentiment.hashed_score("text", lexicon=LEXICON)).alias("sentiment_score"))
+    return docs.select("doc_id", rnd(sentiment.hashed_score("text", lexicon=LEXICON) * SCALE).alias("sentiment_score"))
 
 
 @query(
     "p13_daily_sentiment_text",
     "WITH src AS (SELECT doc_id AS id, DATE '2024-01-01' + CAST(doc_id % 40 AS INT) AS day, left(text, 60) || '. ' || coalesce(text, '') AS text FROM documents"
     " QUALIFY row_number() OVER (PARTITION BY doc_id % 40 ORDER BY doc_id) <= 10),"
-    f" {SCORES_SQL.format('text')} SELECT day AS date, round(avg(coalesce(score, 0)), 6) + 0.0 AS sentiment_score FROM t LEFT JOIN s USING (id) GROUP BY day",
+    f" {SCORES_SQL.format('text')} SELECT day AS date, round(avg(coalesce(score, 0)) * {SCALE}, 6) + 0.0 AS sentiment_score FROM t LEFT JOIN s USING (id) GROUP BY day",
 )
 def p13_text(spark, d):
     """Documents as news of forty days: the first ten of a day, scored from their text, averaged."""
@@ -272,4 +273,4 @@ def p13_text(spark, d):
     time = F.timestamp_add("DAY", F.col("doc_id") % 40, F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz"))
     news = docs.select(time.alias("time"), F.col("doc_id").alias("id"), F.substring("text", 1, 60).alias("title"), F.col("text").alias("description"))
     scored = sentiment.daily_sentiment(news, lambda a: a.withColumn("sentiment_score", sentiment.hashed_score("text", lexicon=LEXICON)))
-    return scored.withColumn("sentiment_score", rnd("sentiment_score"))
+    return scored.withColumn("sentiment_score", rnd(F.col("sentiment_score") * SCALE))

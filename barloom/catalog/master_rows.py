@@ -44,8 +44,16 @@ def sources(spark, d):
     }
 
 
+_BUILT: dict[tuple[str, str], master.Master] = {}
+
+
 def _build(spark, d):
-    return master.build_master(sources(spark, d), train=TRAIN, dedupe="error", by=("symbol",))
+    """Built once for the three queries of a session; the joined table is kept by reliable checkpoint."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = master.build_master(sources(spark, d), train=TRAIN, dedupe="error", by=("symbol",))
+    return _BUILT[key]
 
 
 JOINED = (
