@@ -2,15 +2,20 @@
 
 A document is its set of five-word shingles. Two documents link when 100 * common >= 75 * union. Equal
 sets are one node from the start. Shingles are hashed into groups; the group counts of a set are a
-point, and the sum of the smaller coordinates of two points bounds their overlap. Points are indexed in an R-tree
-of packed nodes with upper corners; pairs whose bound can reach the threshold are verified on the texts.
+point, and the sum of the smaller coordinates of two points bounds their overlap. A row carries the group numbers of
+its shingles among 65,536 groups (2**32 for large sets). A task folds them to about one group a shingle for the points of an
+R-tree of packed nodes with upper corners, and bounds what the tree finds again on all groups, where few shingles meet
+by chance. Pairs whose bound can reach the threshold are verified on the texts.
 
 Which points meet: a pair over the threshold shares one of the first |s| - ceil(0.75 |s|) + 1 shingles of
 each set in any common order, so the tree of a shingle holds the sets that have it there. The order is by hash with
 shingles that are frequent in a sample last; the sample moves work, never a result. Shingles with the same
-list of sets keep one tree. Search goes twice: first every set takes its best partner in a block of the
-tree, the verified links are closed to components, then only pairs between components are searched, in blocks,
-so a group of thousands of near copies costs links, not pairs.
+list of sets keep one tree.
+
+A block of a tree joins the classes of its sets as pairs pass the bound, and searches no pair inside a class: a group of
+thousands of near copies costs links, not pairs. Where a pair that joined two classes turns out not to link, its whole
+tree is searched again. Large trees are dealt into blocks by hash, closed to components, and then searched across blocks: the sets
+outside a tree's largest component against all blocks. A last search keeps every pair, for trees where such a pair failed again.
 
 A null or empty text has no shingle and no link. Fewer than five words are one shingle. A null id is kept as
 its own row; a component takes the smallest id in it. Repeated rows keep a result each. An empty table
@@ -33,8 +38,10 @@ from barloom.llm.tables import fill, read, settle, ship
 
 WIDTH = 5
 PERCENT = 75
-BLOCK = 256
+BLOCK = 1024
 SEARCH_BLOCK = 2048
+MAX_CORNER = 4096  # longest point in an R-tree
+WIDE = 1024  # larger sets keep 32 bits of a shingle as its group, others 16
 SAMPLE = 64  # one document in so many decides the order of the shingles
 FREQUENT = 4  # shingles in so many sampled documents go last
 MAX_FREQUENT = 50_000
@@ -58,12 +65,17 @@ def set_key(s: np.ndarray) -> bytes:
 
 
 def groups_for(n: int) -> int:
-    return 1 << max(4, (max(n, 1) // 4).bit_length())
+    """Coordinates of the points of sets of ``n`` shingles."""
+    return min(1 << max(4, int(n).bit_length()), MAX_CORNER)
+
+
+def groups(s: np.ndarray) -> bytes:
+    """The group numbers of a set's shingles."""
+    return s.astype("<u4" if len(s) > WIDE else "<u2").tobytes()
 
 
-def counts(s: np.ndarray) -> np.ndarray:
-    g = groups_for(len(s))
-    return np.minimum(np.bincount((s % np.uint64(g)).astype(np.int64), minlength=g), 255).astype(np.uint8)
+def ungrouped(n: np.ndarray, packed: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(p, dtype="<u4" if k > WIDE else "<u2") for k, p in zip(n.tolist(), packed)]
 
 
 def first_shingles(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +107,7 @@ def over_texts(docs: DataFrame, schema: str, row):
     return docs.mapInArrow(run, schema)
 
 
-TYPES = {"doc_id": pa.int64(), "nid": pa.int64(), "n": pa.int64(), "key": pa.binary(), "vec": pa.binary(), "token": pa.int64(), "salt": pa.int32()}
+TYPES = {"doc_id": pa.int64(), "nid": pa.int64(), "n": pa.int64(), "key": pa.binary(), "groups": pa.binary(), "token": pa.int64(), "salt": pa.int32()}
 
 
 def pack(columns: list, names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -117,9 +129,9 @@ def node_id(s: np.ndarray) -> int:
 def sets_of(docs: DataFrame) -> DataFrame:
     def row(doc_id, text, seen):
         s = shingles(text)
-        return [doc_id], [node_id(s)], [len(s)], [set_key(s) if len(s) else None], [counts(s).tobytes() if len(s) else None]
+        return [doc_id], [node_id(s)], [len(s)], [set_key(s) if len(s) else None], [groups(s) if len(s) else None]
 
-    return over_texts(docs, "doc_id long,nid long,n long,key binary,vec binary", row)
+    return over_texts(docs, "doc_id long,nid long,n long,key binary,groups binary", row)
 
 
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
@@ -200,111 +212,148 @@ class RTree:
         return at
 
 
-def unfolded(vecs: list[bytes]) -> np.ndarray:
-    """Count vectors of one size: longer ones are folded onto the shortest."""
-    raw = [np.frombuffer(v, dtype=np.uint8) for v in vecs]
-    g = min(map(len, raw))
-    out = np.empty((len(raw), g), dtype=np.int32)
-    for i, v in enumerate(raw):
-        wide = v.astype(np.int32)
-        wide[wide == 255] = 1 << 20  # a full byte stands for any count
-        out[i] = np.minimum(wide.reshape(-1, g).sum(axis=0), 1 << 20)
-    return out
-
-
-def survivors(n: np.ndarray, vecs: list[bytes], comp: np.ndarray | None, percent: int = PERCENT, left: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
-    """For each row the later rows (in order of size) whose bound reaches the threshold.
-
-    Rows come sorted by size. With ``left``, only pairs between rows of different marks. A few rows are one
-    leaf and are compared at once.
+def points_of(sets: list[np.ndarray], g: int) -> np.ndarray:
+    """Group counts of some sets, folded to ``g`` groups."""
+    flat = np.concatenate(sets).astype(np.int64) & (g - 1)
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    counts = np.bincount(rows * g + flat, minlength=len(sets) * g).reshape(len(sets), g)
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.int32)
+
+
+def coded(x: np.ndarray, bits: int) -> np.ndarray:
+    """Groups as distinct codes, so that the codes two sets share count the smaller of both counts."""
+    x = np.sort(x.astype(np.uint64) & np.uint64((1 << bits) - 1))
+    turn = np.arange(len(x)) - np.searchsorted(x, x)
+    return x | (turn.astype(np.uint64) << np.uint64(32))
+
+
+class Window:
+    """Some sets in order of size, searched by the R-tree of their points and bounded again on all groups."""
+
+    def __init__(self, n: np.ndarray, sets: list[np.ndarray], percent: int):
+        self.n, self.sets, self.percent = n, sets, percent
+        self.points = points_of(sets, groups_for(int(n[0])))
+        self.tree = RTree(self.points) if len(n) > RTree.FAN else None
+        self.codes: dict[tuple[int, int], np.ndarray] = {}
+
+    def code(self, i: int, bits: int) -> np.ndarray:
+        if (i, bits) not in self.codes:
+            self.codes[i, bits] = coded(self.sets[i], bits)
+        return self.codes[i, bits]
+
+    def need(self, i: int) -> np.ndarray:
+        return -(-self.percent * (self.n + self.n[i]) // (100 + self.percent))
+
+    def partners(self, i: int, allowed: np.ndarray) -> np.ndarray:
+        """Allowed rows whose bound with row ``i`` reaches the threshold."""
+        need = self.need(i)
+        if self.tree is None:
+            at = np.flatnonzero(allowed)
+            at = at[np.minimum(self.points[at], self.points[i]).sum(axis=1, dtype=np.int64) >= need[at]]
+        else:
+            at = self.tree.search(self.points[i], np.where(allowed, need, 1 << 40))
+        if not len(at):
+            return at
+        bits = 32 if self.n[i] > WIDE else 16
+        mine, others = self.code(i, bits), [self.code(j, bits) for j in at.tolist()]
+        flat = np.concatenate(others)
+        near = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+        ends = np.cumsum([0, *map(len, others)])[:-1]
+        common = np.add.reduceat((mine[near] == flat).astype(np.int64), ends)
+        return at[common >= need[at]]
+
+
+def candidates(n: np.ndarray, sets: list[np.ndarray], comp: np.ndarray, side: np.ndarray | None, join: bool, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
+    """Pairs of rows of different classes (and sides) whose bound reaches the threshold.
+
+    Rows come sorted by size. With ``join`` a pair unites its classes, so that later pairs inside them are left out.
     """
-    if len(n) <= RTree.FAN:
-        block = unfolded(vecs)
-        bound = np.minimum(block[:, None], block[None]).sum(axis=2)
-        fits = np.triu(bound >= -(-percent * (n[:, None] + n[None]) // (100 + percent)), 1) & (100 * n[:, None] >= percent * n[None])
-        for mark in (comp, left):
-            if mark is not None:
-                fits &= mark[:, None] != mark[None]
-        for i in np.flatnonzero(fits.any(axis=1)).tolist():
-            yield i, np.flatnonzero(fits[i])
-        return
-    points = None
-    start = 0
-    # Sizes that can link are within 100 / percent; each run of sizes folds its vectors to one length.
-    for i in range(len(n)):
+    comp = comp.copy()
+    window, low, high = None, 0, 0
+    # Sizes that can link are within 100 / percent; each run of sizes folds its points to one length.
+    for i in range(len(n) - 1):
         top = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
         if top <= i + 1:
             continue
-        if points is None or top > points[2] or groups_for(int(n[i])) != points[3]:
-            start = i
-            end = min(len(n), int(np.searchsorted(n, n[min(top, len(n)) - 1] * 100 // percent, side="right")))
-            block = unfolded(vecs[start:end])
-            points = (RTree(block), block, end, groups_for(int(n[i])))
-        tree, block, end, _ = points
-        need = -(-percent * (n[start:end] + n[i]) // (100 + percent))
-        need = np.where((np.arange(start, end) > i) & (np.arange(start, end) < top), need, 1 << 40)
-        if comp is not None:
-            need = np.where(comp[start:end] == comp[i], 1 << 40, need)
-        if left is not None:
-            need = np.where(left[start:end] == left[i], 1 << 40, need)
-        hit = tree.search(block[i - start], need)
-        if len(hit):
-            yield i, hit + start
-
-
-def best_partners(keys: list[bytes], n: np.ndarray, vecs: list[bytes]) -> set[tuple[bytes, bytes]]:
-    """One partner for every row that has any: that closest in size."""
-    top: dict[int, tuple[float, int]] = {}
-    for i, js in survivors(n, vecs, None):
-        for j in js.tolist():
-            close = n[i] / n[j]
-            for x, y in ((i, j), (j, i)):
-                if x not in top or close > top[x][0]:
-                    top[x] = (close, y)
-    return {(min(keys[x], keys[y]), max(keys[x], keys[y])) for x, (_, y) in top.items()}
-
-
-def search_trees(members: DataFrame, within: bool) -> DataFrame:
-    """Pairs ``a, b`` of keys from rows ``tree, part, most, key, n, vec, comp, side``.
-
-    ``within``: one best partner per row of a block; else every pair between components whose bound survives.
-    A task reads its blocks in order and holds one at a time.
+        if window is None or top > high or (window.tree is not None and groups_for(int(n[i])) != groups_for(int(n[low]))):
+            low = i
+            high = len(n) if len(n) <= RTree.FAN else int(np.searchsorted(n, n[top - 1] * 100 // percent, side="right"))
+            window = Window(n[low:high], sets[low:high], percent)
+        allowed = comp[low:high] != comp[i]
+        allowed[: i + 1 - low] = False
+        allowed[top - low :] = False
+        if side is not None:
+            allowed &= side[low:high] != side[i]
+        if not allowed.any():
+            continue
+        for j in (window.partners(i - low, allowed) + low).tolist():
+            if not join:
+                yield i, j
+            elif comp[j] != comp[i]:
+                yield i, j
+                comp[comp == comp[j]] = comp[i]
+
+
+def search_trees(members: DataFrame, join: bool) -> DataFrame:
+    """Pairs ``tree, a, b`` of keys from rows ``tree, part, key, n, groups, comp, side``.
+
+    ``join``: the pairs that unite classes; else every pair between classes whose bound reaches the
+    threshold. A task reads its blocks in order and holds one at a time.
     """
-    columns = ["key", "n", "vec", "comp", "side", "most"]
-
-    def pairs(rows: list[tuple]) -> set[tuple[bytes, bytes]]:
-        once = [r for k, r in enumerate(rows) if not k or r[0] != rows[k - 1][0]]
-        # A part of a tree may have partners in another one, also if none meet inside it: its texts are wanted later.
-        later = {(r[0], r[0]) for r in once if within and r[5] > BLOCK}
-        if len(once) < 2 or 100 * once[0][1] < PERCENT * once[-1][1] and len(once) == 2:
-            return later
-        keys, n, vecs = [r[0] for r in once], np.array([r[1] for r in once]), [r[2] for r in once]
-        if within:
-            return best_partners(keys, n, vecs) | later
-        names = {c: i for i, c in enumerate({r[3] for r in once})}
-        comp, side = np.array([names[r[3]] for r in once]), np.array([r[4] for r in once])
-        left = side if (side != side[0]).any() else None
-        return {(min(keys[i], keys[j]), max(keys[i], keys[j])) for i, js in survivors(n, vecs, comp, left=left) for j in js.tolist()}
+    columns = ["key", "n", "groups", "comp", "side"]
+
+    def pairs(tree: int, rows: list[tuple]) -> list[tuple[int, bytes, bytes]]:
+        if len(rows) < 2 or len(rows) == 2 and 100 * rows[0][1] < PERCENT * rows[1][1]:
+            return []
+        keys, n = [r[0] for r in rows], np.array([r[1] for r in rows])
+        names = {c: i for i, c in enumerate(dict.fromkeys(r[3] for r in rows))}
+        comp, side = np.array([names[r[3]] for r in rows]), np.array([r[4] for r in rows])
+        side = side if (side != side[0]).any() else None
+        found = candidates(n, ungrouped(n, [r[2] for r in rows]), comp, side, join)
+        return [(tree, min(keys[i], keys[j]), max(keys[i], keys[j])) for i, j in found]
+
+    def as_batch(found: list) -> pa.RecordBatch:
+        parts = [[f[k] for f in found] for k in range(3)]
+        return pa.RecordBatch.from_arrays([pa.array(parts[0], pa.int64()), pa.array(parts[1], pa.binary()), pa.array(parts[2], pa.binary())], names=["tree", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at = [], None
+        held, at = [], (None, None)
         for batch in batches:
-            found: set = set()
+            found: list = []
             places = zip(batch.column("tree").to_pylist(), batch.column("part").to_pylist())
             for place, row in zip(places, zip(*[batch.column(c).to_pylist() for c in columns])):
                 if place != at:
-                    found |= pairs(held)
+                    found += pairs(at[0], held)
                     held, at = [], place
                 held.append(row)
             yield as_batch(found)
-        yield as_batch(pairs(held))
-
-    def as_batch(found: set) -> pa.RecordBatch:
-        rows = sorted(found)
-        return pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in rows], pa.binary()), "b": pa.array([p[1] for p in rows], pa.binary())})
+        yield as_batch(pairs(at[0], held))
 
     dealt = members.repartition("tree", "part").sortWithinPartitions("tree", "part", "n", "key")
-    return dealt.select("tree", "part", *columns).mapInArrow(run, "a binary, b binary").distinct()
+    return dealt.select("tree", "part", *columns).mapInArrow(run, "tree long, a binary, b binary")
+
+
+def across_blocks(named: DataFrame) -> DataFrame:
+    """``tree, part, key, comp, side``: the cells in which sets of several components meet.
+
+    ``named`` has ``tree, key, comp``. Rows of a tree's largest component meet the others only, so they are copied
+    once per block of others; the others meet each block of either kind once.
+    """
+    sizes = named.groupBy("tree", "comp").agg(F.count("*").alias("c")).groupBy("tree")
+    sizes = sizes.agg(F.sum("c").alias("all"), F.max(F.struct("c", "comp")).alias("top")).filter("`all` > top.c")
+    blocks = lambda c: F.ceil(c / SEARCH_BLOCK).cast("int")
+    sizes = sizes.select("tree", F.col("top.comp").alias("main"), blocks(F.col("top.c")).alias("mains"), blocks(F.col("all") - F.col("top.c")).alias("rest"))
+    rows = named.join(sizes, "tree").withColumn("other", F.col("comp") != F.col("main"))
+    rows = rows.withColumn("i", F.pmod(F.xxhash64("key"), F.when(F.col("other"), F.col("rest")).otherwise(F.col("mains"))).cast("long"))
+    mixed = lambda main, rest: main * F.col("rest") + rest
+    to_others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("rest") - F.lit(1).cast("long")), lambda o: F.struct(mixed(F.col("i"), o).alias("part"), F.lit(0).alias("side")))
+    to_main = F.transform(F.sequence(F.lit(0).cast("long"), F.col("mains") - F.lit(1).cast("long")), lambda m: F.struct(mixed(m, F.col("i")).alias("part"), F.lit(1).alias("side")))
+    # Cells of two blocks of others are numbered behind those; a cell of one block compares all its rows.
+    base = F.col("mains").cast("long") * F.col("rest")
+    pair = lambda o: base + F.least(F.col("i"), o) * F.col("rest") + F.greatest(F.col("i"), o)
+    among = F.transform(F.sequence(F.lit(0).cast("long"), F.col("rest") - F.lit(1).cast("long")), lambda o: F.struct(pair(o).alias("part"), F.col("i").cast("int").alias("side")))
+    cells = F.explode(F.when(F.col("other"), F.concat(to_main, among)).otherwise(to_others))
+    return rows.withColumn("cell", cells).select("tree", "key", "comp", "cell.part", "cell.side")
 
 
 def verified(pairs: DataFrame, content: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -368,34 +417,44 @@ def linked(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sets = settle(sets_of(docs))
     members = settle(trees(docs))
-    nodes = settle(sets.filter("key IS NOT NULL").select("nid", "key", "n", "vec").dropDuplicates(["key"]))
-    blocks = F.ceil(F.col("most") / BLOCK).cast("int")
-    # Blocks hold sets of like size.
-    near = members.join(nodes, "nid").withColumn("part", F.pmod(F.xxhash64(F.floor(F.log2("n") * 8)), blocks))
-    first = settle(search_trees(near.withColumns({"comp": F.lit(None).cast("binary"), "side": F.lit(0)}), within=True))
-    wanted = first.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    nodes = settle(sets.filter("key IS NOT NULL").select("nid", "key", "n", "groups").dropDuplicates(["key"]))
+
+    # First search: each block of a tree. The blocks of a large tree are dealt anew for every tree.
+    part = F.pmod(F.xxhash64("key", "tree"), F.ceil(F.col("most") / BLOCK))
+    near = members.join(nodes, "nid").withColumns({"part": part, "comp": F.col("key"), "side": F.lit(0)})
+    first = settle(search_trees(near, join=True))
+    pairs = first.select("a", "b").distinct()
+    split = members.filter(F.col("most") > BLOCK)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(nodes.join(split, "nid", "left_semi").select("key")).distinct()
     content = settle(contents(docs, wanted, sets))
-    links = settle(verified(first, content))
-    roots = settle(components(links))
-
-    # Second search: only trees that still hold several components, only pairs between them.
-    named = nodes.select("nid", "key", "n").join(content.select("key"), "key", "left_semi").join(roots.withColumnRenamed("node", "key"), "key", "left")
-    named = members.join(named.withColumn("comp", F.coalesce("root", "key")).drop("root"), "nid")
-    open_ = named.groupBy("tree").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("tree")
-    parts = F.ceil(F.col("most") / SEARCH_BLOCK).cast("int")
-    own = named.join(open_, "tree").withColumn("parts", parts).withColumn("i", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
-    # A row meets its own block and each other block once: part names the two blocks.
-    other = own.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    other = other.withColumn("part", F.least("i", "j").cast("long") * F.col("parts") + F.greatest("i", "j")).withColumn("side", F.col("i"))
-    other = other.join(nodes.select("nid", "vec"), "nid")
-    second = settle(search_trees(other, within=False))
-    links = links.unionByName(verified(second.join(first, ["a", "b"], "left_anti"), content))
-    roots = components(settle(links))
+    links = settle(verified(pairs, content))
+    failed = failed_trees(first, links)
+    open_ = settle(split.select("tree").unionByName(failed).distinct())
+
+    # Between components: trees of several blocks, and trees in which a joining pair does not link. The last search joins nothing.
+    for join in (True, False):
+        if open_.isEmpty():
+            break
+        roots = components(links).withColumnRenamed("node", "key")
+        named = members.join(open_, "tree").join(nodes.select("nid", "key"), "nid").join(roots, "key", "left")
+        cells = across_blocks(settle(named.select("tree", "key", F.coalesce("root", "key").alias("comp"))))
+        found = settle(search_trees(cells.join(nodes, "key"), join=join))
+        pairs = found.select("a", "b").distinct().join(links, ["a", "b"], "left_anti")
+        more = settle(verified(pairs, content))
+        links = settle(links.unionByName(more))
+        open_ = settle(failed_trees(found, links))
+    roots = components(links)
     nodes = sets.select("doc_id", "n", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = nodes.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return nodes.join(least, "root", "left").select("doc_id", "n", "key", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def failed_trees(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Trees of pairs that are no links."""
+    wrong = found.select("a", "b").distinct().join(links, ["a", "b"], "left_anti")
+    return found.join(wrong, ["a", "b"], "left_semi").select("tree").distinct()
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of every component: that with the smallest id. Empty ones stay."""
     found = linked(docs).select(F.col("doc_id").alias("_id"), "component_id", "key")

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from barloom.llm import graph, hashing, jaccard, mixing, passages, pii, preferences, secret_scan, templates, toxicity, url_rules, vantage
@@ -131,6 +132,45 @@ def test_jaccard_partner_alone_in_its_size_class(spark):
     assert {got[i] for i in range(1001)} == {0} and {got[i] for i, _, s in rows if s == "b"} == {2000}
 
 
+def test_jaccard_texts_that_nearly_link(spark):
+    """600 texts with four words of their own: next to none link, and hardly any pair is verified."""
+    base = prose(17, 100).split()
+    rows = [(i, " ".join(w if k % 25 != i % 25 else f"own{i}x{k}" for k, w in enumerate(base)), "a") for i in range(600)]
+    docs = documents(spark, rows)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.linked(docs).collect()}
+    assert got == brute_components(rows)
+    sets = jaccard.sets_of(docs.select("doc_id", "text")).dropDuplicates(["key"])
+    members = jaccard.trees(docs.select("doc_id", "text")).join(sets, "nid").withColumns({"part": F.lit(0), "comp": F.col("key"), "side": F.lit(0)})
+    assert jaccard.search_trees(members, join=False).select("a", "b").distinct().count() < 600
+
+
+def test_jaccard_blocks_of_large_trees(spark, monkeypatch):
+    """Trees cut into small blocks, with a large component, others, and pairs near the threshold, against brute force."""
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    monkeypatch.setattr(jaccard, "SEARCH_BLOCK", 3)
+    base = prose(19, 60).split()
+    rows = []
+    for i in range(90):
+        own = {(7 * i + 11 * k) % 55 + 3 for k in range(i % 4)}
+        rows.append((i, " ".join(f"own{i}x{k}" if k in own else w for k, w in enumerate(base)) + " tail" * (i % 3), "a"))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.linked(documents(spark, rows)).collect()}
+    want = brute_components(rows)
+    assert got == want and 1 < len(set(want.values())) < 90
+
+
+def test_jaccard_bound_never_below_overlap():
+    rng = np.random.default_rng(3)
+    for size in (24, 90, 3000):
+        shared = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        sets = [np.unique(np.concatenate([shared[: size - k], rng.integers(0, 1 << 63, k + 1, dtype=np.uint64)])) for k in range(0, size // 2, max(1, size // 60))]
+        sets.sort(key=len)
+        n = np.array([len(x) for x in sets])
+        found = set(jaccard.candidates(n, jaccard.ungrouped(n, [jaccard.groups(x) for x in sets]), np.arange(len(n)), None, False))
+        common = lambda i, j: len(np.intersect1d(sets[i], sets[j]))
+        links = {(i, j) for i in range(len(n)) for j in range(i + 1, len(n)) if 100 * common(i, j) >= 75 * (n[i] + n[j] - common(i, j))}
+        assert links and links <= found and len(found) <= len(links) + len(n)
+
+
 def test_jaccard_trees_hold_distinct_sets(spark):
     """Copies over several tasks count once in the trees and their sizes; a null id is no set of its own."""
     base = prose(13, 60)
