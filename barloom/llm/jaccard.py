@@ -3,14 +3,14 @@
 A document is its set of five-word shingles. Two documents link when 100 * common >= 75 * union. Equal
 sets are one node from the start. Shingles are hashed into groups; the group counts of a set are a
 point, and the sum of the smaller coordinates of two points bounds their overlap. A row carries the group numbers of
-its shingles among 65,536 groups (2**32 for large sets). A task folds them to about one group a shingle for the points of an
+its shingles among 65,536 groups (large sets: the counts of about one group a shingle). A task folds them to about one group a shingle for the points of an
 R-tree of packed nodes with upper corners, and bounds what the tree finds again on all groups, where few shingles meet
 by chance. Pairs whose bound can reach the threshold are verified on the texts.
 
 Which points meet: a pair over the threshold shares one of the first |s| - ceil(0.75 |s|) + 1 shingles of
 each set in any common order, so the tree of a shingle holds the sets that have it there. The order is by hash with
 shingles that are frequent in a sample last; the sample moves work, never a result. Shingles with the same
-list of sets keep one tree.
+list of sets keep one tree, and sets too large or too small for all others of a tree leave it before any vector is sent.
 
 A block of a tree joins the classes of its sets as pairs pass the bound, and searches no pair inside a class: a group of
 thousands of near copies costs links, not pairs. Where a pair that joined two classes turns out not to link, its whole
@@ -41,7 +41,7 @@ PERCENT = 75
 BLOCK = 1024
 SEARCH_BLOCK = 2048
 MAX_CORNER = 4096  # longest point in an R-tree
-WIDE = 1024  # larger sets keep 32 bits of a shingle as its group, others 16
+WIDE = 1024  # larger sets keep counts, others the group of every shingle
 SAMPLE = 64  # one document in so many decides the order of the shingles
 FREQUENT = 4  # shingles in so many sampled documents go last
 MAX_FREQUENT = 50_000
@@ -65,17 +65,31 @@ def set_key(s: np.ndarray) -> bytes:
 
 
 def groups_for(n: int) -> int:
-    """Coordinates of the points of sets of ``n`` shingles."""
-    return min(1 << max(4, int(n).bit_length()), MAX_CORNER)
+    """About one group a shingle."""
+    return 1 << max(4, int(n).bit_length())
 
 
 def groups(s: np.ndarray) -> bytes:
-    """The group numbers of a set's shingles."""
-    return s.astype("<u4" if len(s) > WIDE else "<u2").tobytes()
+    """The group numbers of a set's shingles; of a large set the counts, where a full byte stands for any count."""
+    if len(s) <= WIDE:
+        return s.astype("<u2").tobytes()
+    g = groups_for(len(s))
+    counts = np.bincount((s % np.uint64(g)).astype(np.int64), minlength=g)
+    return zstandard.ZstdCompressor(level=1).compress(np.minimum(counts, 255).astype(np.uint8).tobytes())
 
 
 def ungrouped(n: np.ndarray, packed: list[bytes]) -> list[np.ndarray]:
-    return [np.frombuffer(p, dtype="<u4" if k > WIDE else "<u2") for k, p in zip(n.tolist(), packed)]
+    unpack = zstandard.ZstdDecompressor()
+    return [np.frombuffer(unpack.decompress(p), dtype=np.uint8) if k > WIDE else np.frombuffer(p, dtype="<u2") for k, p in zip(n.tolist(), packed)]
+
+
+def folded(x: np.ndarray, g: int) -> np.ndarray:
+    """The counts of a set in ``g`` groups, from either form."""
+    if x.dtype != np.uint8:
+        return np.bincount(x.astype(np.int64) & (g - 1), minlength=g)
+    wide = x.astype(np.int64)
+    wide[wide == 255] = 1 << 20
+    return wide.reshape(-1, g).sum(axis=0)
 
 
 def first_shingles(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
@@ -185,6 +199,26 @@ def trees(docs: DataFrame) -> DataFrame:
     return members.select(F.col("token").alias("tree"), "most", "nid")
 
 
+def in_reach(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``members`` without sets whose size lets them link with no other set of the tree, and one tree a list again.
+
+    Sizes are counted in bands a little wider than the ratio that can link, so partners are in the same band or the next.
+    """
+    band = F.floor(F.log("n") / F.log(F.lit(1.005 * 100 / PERCENT)))
+    rows = members.drop("most").join(nodes.select("nid", "n").distinct(), "nid").select("tree", "nid", band.alias("band"))
+    held = rows.groupBy("tree", "band").count()
+    near = held.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    near = near.groupBy("tree", "band").agg(F.sum("count").alias("c")).filter("c > 1").select("tree", "band")
+    rows = rows.join(near, ["tree", "band"], "left_semi").select("tree", "nid")
+    lists = rows.groupBy("tree").agg(
+        F.count("*").alias("most"),
+        F.sum(F.xxhash64("nid").cast("decimal(20,0)")).cast("decimal(38,0)").alias("s"),
+        F.bit_xor(F.xxhash64(F.lit(1), "nid")).alias("x"),
+    )
+    one = lists.groupBy("most", "s", "x").agg(F.min("tree").alias("tree")).select("tree", "most")
+    return rows.join(one, "tree").select("tree", "most", "nid")
+
+
 class RTree:
     """Packed R-tree of count vectors: leaves of points in order, nodes with upper corners."""
 
@@ -214,15 +248,18 @@ class RTree:
 
 def points_of(sets: list[np.ndarray], g: int) -> np.ndarray:
     """Group counts of some sets, folded to ``g`` groups."""
-    flat = np.concatenate(sets).astype(np.int64) & (g - 1)
-    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    counts = np.bincount(rows * g + flat, minlength=len(sets) * g).reshape(len(sets), g)
+    if all(x.dtype != np.uint8 for x in sets):
+        flat = np.concatenate(sets).astype(np.int64) & (g - 1)
+        rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        counts = np.bincount(rows * g + flat, minlength=len(sets) * g).reshape(len(sets), g)
+    else:
+        counts = np.stack([np.minimum(folded(x, g), 1 << 20).astype(np.int32) for x in sets])
     return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.int32)
 
 
-def coded(x: np.ndarray, bits: int) -> np.ndarray:
+def coded(x: np.ndarray) -> np.ndarray:
     """Groups as distinct codes, so that the codes two sets share count the smaller of both counts."""
-    x = np.sort(x.astype(np.uint64) & np.uint64((1 << bits) - 1))
+    x = np.sort(x).astype(np.uint64)
     turn = np.arange(len(x)) - np.searchsorted(x, x)
     return x | (turn.astype(np.uint64) << np.uint64(32))
 
@@ -232,14 +269,29 @@ class Window:
 
     def __init__(self, n: np.ndarray, sets: list[np.ndarray], percent: int):
         self.n, self.sets, self.percent = n, sets, percent
-        self.points = points_of(sets, groups_for(int(n[0])))
+        self.points = points_of(sets, min(groups_for(int(n[0])), MAX_CORNER))
         self.tree = RTree(self.points) if len(n) > RTree.FAN else None
-        self.codes: dict[tuple[int, int], np.ndarray] = {}
+        self.codes: list = [None] * len(n)
+
+    def code(self, i: int) -> np.ndarray:
+        if self.codes[i] is None:
+            self.codes[i] = coded(self.sets[i])
+        return self.codes[i]
+
+    def common(self, i: int, at: np.ndarray) -> np.ndarray:
+        """The bounds of row ``i`` with some rows on all groups they have."""
+        if self.n[at].max() > WIDE:
+            return np.array([self.bound(self.sets[i], self.sets[j]) for j in at.tolist()])
+        mine, others = self.code(i), [self.code(j) for j in at.tolist()]
+        flat = np.concatenate(others)
+        near = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+        ends = np.cumsum([0, *map(len, others)])[:-1]
+        return np.add.reduceat((mine[near] == flat).astype(np.int64), ends)
 
-    def code(self, i: int, bits: int) -> np.ndarray:
-        if (i, bits) not in self.codes:
-            self.codes[i, bits] = coded(self.sets[i], bits)
-        return self.codes[i, bits]
+    @staticmethod
+    def bound(x: np.ndarray, y: np.ndarray) -> int:
+        g = min(len(v) if v.dtype == np.uint8 else 1 << 16 for v in (x, y))
+        return int(np.minimum(folded(x, g), folded(y, g)).sum())
 
     def need(self, i: int) -> np.ndarray:
         return -(-self.percent * (self.n + self.n[i]) // (100 + self.percent))
@@ -254,13 +306,7 @@ class Window:
             at = self.tree.search(self.points[i], np.where(allowed, need, 1 << 40))
         if not len(at):
             return at
-        bits = 32 if self.n[i] > WIDE else 16
-        mine, others = self.code(i, bits), [self.code(j, bits) for j in at.tolist()]
-        flat = np.concatenate(others)
-        near = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
-        ends = np.cumsum([0, *map(len, others)])[:-1]
-        common = np.add.reduceat((mine[near] == flat).astype(np.int64), ends)
-        return at[common >= need[at]]
+        return at[self.common(i, at) >= need[at]]
 
 
 def candidates(n: np.ndarray, sets: list[np.ndarray], comp: np.ndarray, side: np.ndarray | None, join: bool, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
@@ -416,8 +462,8 @@ def linked(docs: DataFrame) -> DataFrame:
     """``doc_id, n, key, component_id`` for every row of ``doc_id, text``."""
     docs = docs.select("doc_id", "text")
     sets = settle(sets_of(docs))
-    members = settle(trees(docs))
     nodes = settle(sets.filter("key IS NOT NULL").select("nid", "key", "n", "groups").dropDuplicates(["key"]))
+    members = settle(in_reach(trees(docs), nodes))
 
     # First search: each block of a tree. The blocks of a large tree are dealt anew for every tree.
     part = F.pmod(F.xxhash64("key", "tree"), F.ceil(F.col("most") / BLOCK))
