@@ -1,11 +1,10 @@
 """N-gram Jaccard join with a count-vector R-tree (operator 9).
 
 A document is its set of five-word shingles. Two documents link when 100 * common >= 75 * union. Equal
-sets are one node from the start. Shingles are hashed into groups; the group counts of a set are a
-point, and the sum of the smaller coordinates of two points bounds their overlap. A row carries the group numbers of
-its shingles among 65,536 groups (large sets: the counts of about one group a shingle). A task folds them to about one group a shingle for the points of an
-R-tree of packed nodes with upper corners, and bounds what the tree finds again on all groups, where few shingles meet
-by chance. Pairs whose bound can reach the threshold are verified on the texts.
+sets are one node from the start. Shingles are hashed into groups, up to three to a shingle; the group counts of a set are a
+point, and the sum of the smaller coordinates of two points bounds their overlap. With that many groups few shingles meet by
+chance: near the threshold only those that two sets do not share can. Points travel packed, and are indexed in an R-tree
+of packed nodes with upper corners; pairs whose bound can reach the threshold are verified on the texts.
 
 Which points meet: a pair over the threshold shares one of the first |s| - ceil(0.75 |s|) + 1 shingles of
 each set in any common order, so the tree of a shingle holds the sets that have it there. The order is by hash with
@@ -41,7 +40,6 @@ PERCENT = 75
 BLOCK = 1024
 SEARCH_BLOCK = 2048
 MAX_CORNER = 4096  # longest point in an R-tree
-WIDE = 1024  # larger sets keep counts, others the group of every shingle
 SAMPLE = 64  # one document in so many decides the order of the shingles
 FREQUENT = 4  # shingles in so many sampled documents go last
 MAX_FREQUENT = 50_000
@@ -65,31 +63,24 @@ def set_key(s: np.ndarray) -> bytes:
 
 
 def groups_for(n: int) -> int:
-    """About one group a shingle."""
-    return 1 << max(4, int(n).bit_length())
+    """The groups of a set of ``n`` shingles: one and a half to three times as many."""
+    return 1 << max(4, (int(n) * 3 // 2).bit_length())
 
 
-def groups(s: np.ndarray) -> bytes:
-    """The group numbers of a set's shingles; of a large set the counts, where a full byte stands for any count."""
-    if len(s) <= WIDE:
-        return s.astype("<u2").tobytes()
+def counts(s: np.ndarray) -> bytes:
+    """The packed group counts of a set; a full byte stands for any count."""
     g = groups_for(len(s))
-    counts = np.bincount((s % np.uint64(g)).astype(np.int64), minlength=g)
-    return zstandard.ZstdCompressor(level=1).compress(np.minimum(counts, 255).astype(np.uint8).tobytes())
-
-
-def ungrouped(n: np.ndarray, packed: list[bytes]) -> list[np.ndarray]:
-    unpack = zstandard.ZstdDecompressor()
-    return [np.frombuffer(unpack.decompress(p), dtype=np.uint8) if k > WIDE else np.frombuffer(p, dtype="<u2") for k, p in zip(n.tolist(), packed)]
+    c = np.bincount((s % np.uint64(g)).astype(np.int64), minlength=g)
+    return zstandard.ZstdCompressor(level=1).compress(np.minimum(c, 255).astype(np.uint8).tobytes())
 
 
 def folded(x: np.ndarray, g: int) -> np.ndarray:
-    """The counts of a set in ``g`` groups, from either form."""
-    if x.dtype != np.uint8:
-        return np.bincount(x.astype(np.int64) & (g - 1), minlength=g)
-    wide = x.astype(np.int64)
+    """Counts folded to ``g`` groups."""
+    if len(x) == g and x.max() < 255:
+        return x
+    wide = x.astype(np.int32)
     wide[wide == 255] = 1 << 20
-    return wide.reshape(-1, g).sum(axis=0)
+    return np.minimum(wide.reshape(-1, g).sum(axis=0), 1 << 20).astype(np.int32)
 
 
 def first_shingles(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +112,7 @@ def over_texts(docs: DataFrame, schema: str, row):
     return docs.mapInArrow(run, schema)
 
 
-TYPES = {"doc_id": pa.int64(), "nid": pa.int64(), "n": pa.int64(), "key": pa.binary(), "groups": pa.binary(), "token": pa.int64(), "salt": pa.int32()}
+TYPES = {"doc_id": pa.int64(), "nid": pa.int64(), "n": pa.int64(), "key": pa.binary(), "vec": pa.binary(), "token": pa.int64(), "salt": pa.int32()}
 
 
 def pack(columns: list, names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -143,9 +134,9 @@ def node_id(s: np.ndarray) -> int:
 def sets_of(docs: DataFrame) -> DataFrame:
     def row(doc_id, text, seen):
         s = shingles(text)
-        return [doc_id], [node_id(s)], [len(s)], [set_key(s) if len(s) else None], [groups(s) if len(s) else None]
+        return [doc_id], [node_id(s)], [len(s)], [set_key(s) if len(s) else None], [counts(s) if len(s) else None]
 
-    return over_texts(docs, "doc_id long,nid long,n long,key binary,groups binary", row)
+    return over_texts(docs, "doc_id long,nid long,n long,key binary,vec binary", row)
 
 
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
@@ -246,74 +237,38 @@ class RTree:
         return at
 
 
-def points_of(sets: list[np.ndarray], g: int) -> np.ndarray:
-    """Group counts of some sets, folded to ``g`` groups."""
-    if all(x.dtype != np.uint8 for x in sets):
-        flat = np.concatenate(sets).astype(np.int64) & (g - 1)
-        rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-        counts = np.bincount(rows * g + flat, minlength=len(sets) * g).reshape(len(sets), g)
-    else:
-        counts = np.stack([np.minimum(folded(x, g), 1 << 20).astype(np.int32) for x in sets])
-    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.int32)
-
-
-def coded(x: np.ndarray) -> np.ndarray:
-    """Groups as distinct codes, so that the codes two sets share count the smaller of both counts."""
-    x = np.sort(x).astype(np.uint64)
-    turn = np.arange(len(x)) - np.searchsorted(x, x)
-    return x | (turn.astype(np.uint64) << np.uint64(32))
-
-
 class Window:
-    """Some sets in order of size, searched by the R-tree of their points and bounded again on all groups."""
+    """Some sets in order of size, searched by the R-tree of their points, all folded to the groups of the smallest."""
 
-    def __init__(self, n: np.ndarray, sets: list[np.ndarray], percent: int):
-        self.n, self.sets, self.percent = n, sets, percent
-        self.points = points_of(sets, min(groups_for(int(n[0])), MAX_CORNER))
+    def __init__(self, n: np.ndarray, vecs: list[np.ndarray], percent: int):
+        self.n, self.vecs, self.percent = n, vecs, percent
+        self.g = min(groups_for(int(n[0])), MAX_CORNER)
+        points = np.stack([folded(v, self.g) for v in vecs])
+        self.points = points.astype(np.uint8) if points.max() < 256 else points
         self.tree = RTree(self.points) if len(n) > RTree.FAN else None
-        self.codes: list = [None] * len(n)
-
-    def code(self, i: int) -> np.ndarray:
-        if self.codes[i] is None:
-            self.codes[i] = coded(self.sets[i])
-        return self.codes[i]
-
-    def common(self, i: int, at: np.ndarray) -> np.ndarray:
-        """The bounds of row ``i`` with some rows on all groups they have."""
-        if self.n[at].max() > WIDE:
-            return np.array([self.bound(self.sets[i], self.sets[j]) for j in at.tolist()])
-        mine, others = self.code(i), [self.code(j) for j in at.tolist()]
-        flat = np.concatenate(others)
-        near = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
-        ends = np.cumsum([0, *map(len, others)])[:-1]
-        return np.add.reduceat((mine[near] == flat).astype(np.int64), ends)
-
-    @staticmethod
-    def bound(x: np.ndarray, y: np.ndarray) -> int:
-        g = min(len(v) if v.dtype == np.uint8 else 1 << 16 for v in (x, y))
-        return int(np.minimum(folded(x, g), folded(y, g)).sum())
-
-    def need(self, i: int) -> np.ndarray:
-        return -(-self.percent * (self.n + self.n[i]) // (100 + self.percent))
 
     def partners(self, i: int, allowed: np.ndarray) -> np.ndarray:
-        """Allowed rows whose bound with row ``i`` reaches the threshold."""
-        need = self.need(i)
+        """Allowed rows whose bound with row ``i`` reaches the threshold, in the groups of the smaller set."""
+        need = -(-self.percent * (self.n + self.n[i]) // (100 + self.percent))
         if self.tree is None:
             at = np.flatnonzero(allowed)
             at = at[np.minimum(self.points[at], self.points[i]).sum(axis=1, dtype=np.int64) >= need[at]]
         else:
             at = self.tree.search(self.points[i], np.where(allowed, need, 1 << 40))
-        if not len(at):
-            return at
-        return at[self.common(i, at) >= need[at]]
+        g = len(self.vecs[i])
+        if g > self.g:
+            fine = [int(np.minimum(self.vecs[i], folded(self.vecs[j], g)).sum(dtype=np.int64)) for j in at.tolist()]
+            at = at[np.array(fine, dtype=np.int64) >= need[at]] if (self.vecs[i] < 255).all() else at
+        return at
 
 
-def candidates(n: np.ndarray, sets: list[np.ndarray], comp: np.ndarray, side: np.ndarray | None, join: bool, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
+def candidates(n: np.ndarray, vecs: list[bytes], comp: np.ndarray, side: np.ndarray | None, join: bool, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
     """Pairs of rows of different classes (and sides) whose bound reaches the threshold.
 
     Rows come sorted by size. With ``join`` a pair unites its classes, so that later pairs inside them are left out.
     """
+    unpack = zstandard.ZstdDecompressor()
+    points = [np.frombuffer(unpack.decompress(v), dtype=np.uint8) for v in vecs]
     comp = comp.copy()
     window, low, high = None, 0, 0
     # Sizes that can link are within 100 / percent; each run of sizes folds its points to one length.
@@ -324,7 +279,7 @@ def candidates(n: np.ndarray, sets: list[np.ndarray], comp: np.ndarray, side: np
         if window is None or top > high or (window.tree is not None and groups_for(int(n[i])) != groups_for(int(n[low]))):
             low = i
             high = len(n) if len(n) <= RTree.FAN else int(np.searchsorted(n, n[top - 1] * 100 // percent, side="right"))
-            window = Window(n[low:high], sets[low:high], percent)
+            window = Window(n[low:high], points[low:high], percent)
         allowed = comp[low:high] != comp[i]
         allowed[: i + 1 - low] = False
         allowed[top - low :] = False
@@ -341,12 +296,12 @@ def candidates(n: np.ndarray, sets: list[np.ndarray], comp: np.ndarray, side: np
 
 
 def search_trees(members: DataFrame, join: bool) -> DataFrame:
-    """Pairs ``tree, a, b`` of keys from rows ``tree, part, key, n, groups, comp, side``.
+    """Pairs ``tree, a, b`` of keys from rows ``tree, part, key, n, vec, comp, side``.
 
     ``join``: the pairs that unite classes; else every pair between classes whose bound reaches the
     threshold. A task reads its blocks in order and holds one at a time.
     """
-    columns = ["key", "n", "groups", "comp", "side"]
+    columns = ["key", "n", "vec", "comp", "side"]
 
     def pairs(tree: int, rows: list[tuple]) -> list[tuple[int, bytes, bytes]]:
         if len(rows) < 2 or len(rows) == 2 and 100 * rows[0][1] < PERCENT * rows[1][1]:
@@ -355,7 +310,7 @@ def search_trees(members: DataFrame, join: bool) -> DataFrame:
         names = {c: i for i, c in enumerate(dict.fromkeys(r[3] for r in rows))}
         comp, side = np.array([names[r[3]] for r in rows]), np.array([r[4] for r in rows])
         side = side if (side != side[0]).any() else None
-        found = candidates(n, ungrouped(n, [r[2] for r in rows]), comp, side, join)
+        found = candidates(n, [r[2] for r in rows], comp, side, join)
         return [(tree, min(keys[i], keys[j]), max(keys[i], keys[j])) for i, j in found]
 
     def as_batch(found: list) -> pa.RecordBatch:
@@ -462,7 +417,7 @@ def linked(docs: DataFrame) -> DataFrame:
     """``doc_id, n, key, component_id`` for every row of ``doc_id, text``."""
     docs = docs.select("doc_id", "text")
     sets = settle(sets_of(docs))
-    nodes = settle(sets.filter("key IS NOT NULL").select("nid", "key", "n", "groups").dropDuplicates(["key"]))
+    nodes = settle(sets.filter("key IS NOT NULL").select("nid", "key", "n", "vec").dropDuplicates(["key"]))
     members = settle(in_reach(trees(docs), nodes))
 
     # First search: each block of a tree. The blocks of a large tree are dealt anew for every tree.

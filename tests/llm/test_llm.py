@@ -165,7 +165,7 @@ def test_jaccard_bound_never_below_overlap():
         sets = [np.unique(np.concatenate([shared[: size - k], rng.integers(0, 1 << 63, k + 1, dtype=np.uint64)])) for k in range(0, size // 2, max(1, size // 60))]
         sets.sort(key=len)
         n = np.array([len(x) for x in sets])
-        found = set(jaccard.candidates(n, jaccard.ungrouped(n, [jaccard.groups(x) for x in sets]), np.arange(len(n)), None, False))
+        found = set(jaccard.candidates(n, [jaccard.counts(x) for x in sets], np.arange(len(n)), None, False))
         common = lambda i, j: len(np.intersect1d(sets[i], sets[j]))
         links = {(i, j) for i in range(len(n)) for j in range(i + 1, len(n)) if 100 * common(i, j) >= 75 * (n[i] + n[j] - common(i, j))}
         assert links and links <= found and len(found) <= len(links) + len(n)
