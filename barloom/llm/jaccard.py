@@ -1,7 +1,7 @@
 """N-gram Jaccard join with a count-vector R-tree (operator 9).
 
 A document is its set of five-word shingles. Two documents link when 100 * common >= 75 * union. Equal
-sets are one node from the start. Shingles are hashed into groups, up to three to a shingle; the group counts of a set are a
+sets are one node from the start. Shingles are hashed into groups, up to three to a shingle (half as many as shingles in large sets); the group counts of a set are a
 point, and the sum of the smaller coordinates of two points bounds their overlap. With that many groups few shingles meet by
 chance: near the threshold only those that two sets do not share can. Points travel packed, and are indexed in an R-tree
 of packed nodes with upper corners; pairs whose bound can reach the threshold are verified on the texts.
@@ -63,8 +63,11 @@ def set_key(s: np.ndarray) -> bytes:
 
 
 def groups_for(n: int) -> int:
-    """The groups of a set of ``n`` shingles: one and a half to three times as many."""
-    return 1 << max(4, (int(n) * 3 // 2).bit_length())
+    """The groups of a set of ``n`` shingles: one and a half to three times as many, of a large set half as many or more.
+
+    Chance weighs less in large sets, and they stand in many trees. Larger sets never have fewer groups.
+    """
+    return 1 << max(4, (int(n) * 3 // 2).bit_length()) if n <= 512 else max(1024, 1 << (int(n).bit_length() - 1))
 
 
 def counts(s: np.ndarray) -> bytes:
