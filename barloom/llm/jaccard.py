@@ -11,10 +11,11 @@ each set in any common order, so the tree of a shingle holds the sets that have
 shingles that are frequent in a sample last; the sample moves work, never a result. Shingles with the same
 list of sets keep one tree, and sets too large or too small for all others of a tree leave it before any vector is sent.
 
+The first search takes every set to ``SEEDS`` of its trees only, which joins most near copies. Then only those rows of a
+tree are searched that have a set of another component, and a size that can link, beside them: a tree of one component sends no vector.
 A block of a tree joins the classes of its sets as pairs pass the bound, and searches no pair inside a class: a group of
-thousands of near copies costs links, not pairs. Where a pair that joined two classes turns out not to link, its whole
-tree is searched again. Large trees are dealt into blocks by hash, closed to components, and then searched across blocks: the sets
-outside a tree's largest component against all blocks. A last search keeps every pair, for trees where such a pair failed again.
+thousands of near copies costs links, not pairs. Large trees are dealt into blocks by hash: the sets outside a tree's largest
+component meet all blocks. A last search keeps every pair, for trees where a pair that joined two classes turned out not to link.
 
 A null or empty text has no shingle and no link. Fewer than five words are one shingle. A null id is kept as
 its own row; a component takes the smallest id in it. Repeated rows keep a result each. An empty table
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from barloom.llm.graph import components
 from barloom.llm.hashing import PLACES, mix, window_hashes, word_hashes
 from barloom.llm.registry import query
-from barloom.llm.tables import fill, read, settle, ship
+from barloom.llm.tables import fill, read, settle, ship, sized_broadcast
 
 WIDTH = 5
 PERCENT = 75
@@ -44,6 +45,8 @@ SAMPLE = 64  # one document in so many decides the order of the shingles
 FREQUENT = 4  # shingles in so many sampled documents go last
 MAX_FREQUENT = 50_000
 SALTS = 32
+SEEDS = 2  # trees of each set in the first search
+SMALL_SIDE = 200_000  # rows of ids and keys that may be broadcast
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -135,9 +138,14 @@ def node_id(s: np.ndarray) -> int:
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
+    """``doc_id, nid, n, key, vec`` of every row; a task gives the vector of equal sets once."""
+
     def row(doc_id, text, seen):
         s = shingles(text)
-        return [doc_id], [node_id(s)], [len(s)], [set_key(s) if len(s) else None], [counts(s) if len(s) else None]
+        key = set_key(s) if len(s) else None
+        vec = counts(s) if len(s) and key not in seen else None
+        seen.add(key)
+        return [doc_id], [node_id(s)], [len(s)], [key], [vec]
 
     return over_texts(docs, "doc_id long,nid long,n long,key binary,vec binary", row)
 
@@ -194,15 +202,16 @@ def trees(docs: DataFrame) -> DataFrame:
 
 
 def in_reach(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``members`` without sets whose size lets them link with no other set of the tree, and one tree a list again.
+    """``tree, most, nid``: the ``members`` with a set of another component that is near enough in size to link, and one tree a list.
 
-    Sizes are counted in bands a little wider than the ratio that can link, so partners are in the same band or the next.
+    ``nodes`` has ``nid, n, comp``. Sizes are counted in bands a little wider than the ratio that can link, so partners are in
+    the same band or the next.
     """
     band = F.floor(F.log("n") / F.log(F.lit(1.005 * 100 / PERCENT)))
-    rows = members.drop("most").join(nodes.select("nid", "n").distinct(), "nid").select("tree", "nid", band.alias("band"))
-    held = rows.groupBy("tree", "band").count()
+    rows = members.select("tree", "nid").join(nodes.select("nid", "comp", band.alias("band")).distinct(), "nid")
+    held = rows.groupBy("tree", "band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     near = held.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    near = near.groupBy("tree", "band").agg(F.sum("count").alias("c")).filter("c > 1").select("tree", "band")
+    near = near.groupBy("tree", "band").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("tree", "band")
     rows = rows.join(near, ["tree", "band"], "left_semi").select("tree", "nid")
     lists = rows.groupBy("tree").agg(
         F.count("*").alias("most"),
@@ -213,6 +222,13 @@ def in_reach(members: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.join(one, "tree").select("tree", "most", "nid")
 
 
+def seeds(members: DataFrame) -> DataFrame:
+    """``tree, most, nid``: the ``SEEDS`` trees of each set that are first by hash, and the sets that so meet in each."""
+    first = [F.min(F.struct(F.xxhash64("tree", F.lit(k)).alias("h"), "tree")).getField("tree") for k in range(SEEDS)]
+    rows = members.groupBy("nid").agg(F.array_distinct(F.array(*first)).alias("tree")).select("nid", F.explode("tree").alias("tree"))
+    return rows.join(rows.groupBy("tree").agg(F.count("*").alias("most")).filter("most > 1"), "tree").select("tree", "most", "nid")
+
+
 class RTree:
     """Packed R-tree of count vectors: leaves of points in order, nodes with upper corners."""
 
@@ -340,13 +356,13 @@ def search_trees(members: DataFrame, join: bool) -> DataFrame:
 def across_blocks(named: DataFrame) -> DataFrame:
     """``tree, part, key, comp, side``: the cells in which sets of several components meet.
 
-    ``named`` has ``tree, key, comp``. Rows of a tree's largest component meet the others only, so they are copied
-    once per block of others; the others meet each block of either kind once.
+    ``named`` has ``tree, key, comp``. A tree no larger than a block is one cell. In a larger one rows of the largest component
+    meet the others only, so they are copied once per block of others; the others meet each block of either kind once.
     """
     sizes = named.groupBy("tree", "comp").agg(F.count("*").alias("c")).groupBy("tree")
     sizes = sizes.agg(F.sum("c").alias("all"), F.max(F.struct("c", "comp")).alias("top")).filter("`all` > top.c")
     blocks = lambda c: F.ceil(c / SEARCH_BLOCK).cast("int")
-    sizes = sizes.select("tree", F.col("top.comp").alias("main"), blocks(F.col("top.c")).alias("mains"), blocks(F.col("all") - F.col("top.c")).alias("rest"))
+    sizes = sizes.select("tree", (F.col("all") <= SEARCH_BLOCK).alias("small"), F.col("top.comp").alias("main"), blocks(F.col("top.c")).alias("mains"), blocks(F.col("all") - F.col("top.c")).alias("rest"))
     rows = named.join(sizes, "tree").withColumn("other", F.col("comp") != F.col("main"))
     rows = rows.withColumn("i", F.pmod(F.xxhash64("key"), F.when(F.col("other"), F.col("rest")).otherwise(F.col("mains"))).cast("long"))
     mixed = lambda main, rest: main * F.col("rest") + rest
@@ -356,7 +372,8 @@ def across_blocks(named: DataFrame) -> DataFrame:
     base = F.col("mains").cast("long") * F.col("rest")
     pair = lambda o: base + F.least(F.col("i"), o) * F.col("rest") + F.greatest(F.col("i"), o)
     among = F.transform(F.sequence(F.lit(0).cast("long"), F.col("rest") - F.lit(1).cast("long")), lambda o: F.struct(pair(o).alias("part"), F.col("i").cast("int").alias("side")))
-    cells = F.explode(F.when(F.col("other"), F.concat(to_main, among)).otherwise(to_others))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("part"), F.lit(0).alias("side")))
+    cells = F.explode(F.when(F.col("small"), whole).when(F.col("other"), F.concat(to_main, among)).otherwise(to_others))
     return rows.withColumn("cell", cells).select("tree", "key", "comp", "cell.part", "cell.side")
 
 
@@ -410,7 +427,7 @@ def contents(docs: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
 
     holders = sets.filter("doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id")).join(wanted, "key", "left_semi")
     named = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(compress, "doc_id long, packed binary")
-    named = named.join(holders, "doc_id").select("key", "packed").mapInArrow(fitting, "key binary, packed binary")
+    named = named.join(sized_broadcast(holders, SMALL_SIDE), "doc_id").select("key", "packed").mapInArrow(fitting, "key binary, packed binary")
     # Sets that only rows without an id hold are rare: they are found by the key itself.
     rest = docs.filter("doc_id IS NULL AND text IS NOT NULL").mapInArrow(keyed, "key binary, packed binary").join(wanted, "key", "left_semi")
     return named.unionByName(rest).dropDuplicates(["key"])
@@ -420,37 +437,40 @@ def linked(docs: DataFrame) -> DataFrame:
     """``doc_id, n, key, component_id`` for every row of ``doc_id, text``."""
     docs = docs.select("doc_id", "text")
     sets = settle(sets_of(docs))
-    nodes = settle(sets.filter("key IS NOT NULL").select("nid", "key", "n", "vec").dropDuplicates(["key"]))
-    members = settle(in_reach(trees(docs), nodes))
-
-    # First search: each block of a tree. The blocks of a large tree are dealt anew for every tree.
+    nodes = settle(sets.filter("vec IS NOT NULL").select("nid", "key", "n", "vec").dropDuplicates(["key"]))
+    ids = sets.filter("key IS NOT NULL")
+    members = settle(in_reach(trees(docs), ids.select("nid", "n", F.col("nid").alias("comp"))))
+
+    def confirmed(found: DataFrame, links: DataFrame | None) -> DataFrame:
+        """The found pairs that link and are not known yet."""
+        pairs = found.select("a", "b").distinct()
+        pairs = settle(pairs if links is None else pairs.join(links, ["a", "b"], "left_anti"))
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        return settle(verified(pairs, contents(docs, wanted, sets)))
+
+    # First search: the blocks of some trees of each set. The blocks of a large tree are dealt anew for every tree.
     part = F.pmod(F.xxhash64("key", "tree"), F.ceil(F.col("most") / BLOCK))
-    near = members.join(nodes, "nid").withColumns({"part": part, "comp": F.col("key"), "side": F.lit(0)})
-    first = settle(search_trees(near, join=True))
-    pairs = first.select("a", "b").distinct()
-    split = members.filter(F.col("most") > BLOCK)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(nodes.join(split, "nid", "left_semi").select("key")).distinct()
-    content = settle(contents(docs, wanted, sets))
-    links = settle(verified(pairs, content))
-    failed = failed_trees(first, links)
-    open_ = settle(split.select("tree").unionByName(failed).distinct())
-
-    # Between components: trees of several blocks, and trees in which a joining pair does not link. The last search joins nothing.
+    near = seeds(members).join(nodes, "nid").withColumns({"part": part, "comp": F.xxhash64("key"), "side": F.lit(0)})
+    links = confirmed(settle(search_trees(near, join=True)), None)
+
+    # Between components: all trees, then those in which a joining pair does not link. The last search joins nothing.
+    open_ = members
     for join in (True, False):
-        if open_.isEmpty():
-            break
         roots = components(links).withColumnRenamed("node", "key")
-        named = members.join(open_, "tree").join(nodes.select("nid", "key"), "nid").join(roots, "key", "left")
-        cells = across_blocks(settle(named.select("tree", "key", F.coalesce("root", "key").alias("comp"))))
+        comps = settle(nodes.select("nid", "n", "key").join(roots, "key", "left").withColumn("comp", F.xxhash64(F.coalesce("root", "key"))).drop("root"))
+        left = settle(in_reach(open_, comps))
+        if left.isEmpty():
+            break
+        cells = across_blocks(settle(left.join(comps, "nid").select("tree", "key", "comp")))
         found = settle(search_trees(cells.join(nodes, "key"), join=join))
-        pairs = found.select("a", "b").distinct().join(links, ["a", "b"], "left_anti")
-        more = settle(verified(pairs, content))
+        more = confirmed(found, links)
         links = settle(links.unionByName(more))
-        open_ = settle(failed_trees(found, links))
+        failed = failed_trees(found, links)
+        open_ = left.join(failed, "tree", "left_semi")
     roots = components(links)
-    nodes = sets.select("doc_id", "n", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    least = nodes.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return nodes.join(least, "root", "left").select("doc_id", "n", "key", F.coalesce("component_id", "doc_id").alias("component_id"))
+    rows = sets.select("doc_id", "n", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    least = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(least, "root", "left").select("doc_id", "n", "key", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def failed_trees(found: DataFrame, links: DataFrame) -> DataFrame:
