@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from barloom.llm.graph import components
 from barloom.llm.hashing import PLACES, mix, window_hashes, word_hashes
 from barloom.llm.registry import query
-from barloom.llm.tables import fill, read, settle, ship, sized_broadcast
+from barloom.llm.tables import fill, read, settle, ship
 
 WIDTH = 5
 PERCENT = 75
@@ -56,7 +56,8 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
         return h
     if len(h) < width:
         return mix((h * PLACES[: len(h)]).sum(keepdims=True, dtype=np.uint64), salt=len(h))
-    return np.unique(window_hashes(h, width))
+    s = np.sort(window_hashes(h, width))
+    return s[np.concatenate([[True], s[1:] != s[:-1]])]
 
 
 def set_key(s: np.ndarray) -> bytes:
@@ -102,9 +103,9 @@ def first_shingles(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
 
 
 def over_texts(docs: DataFrame, schema: str, row):
-    """Apply ``row(doc_id, text, seen)``, which gives a result tuple or None, to all documents.
+    """Apply ``row(doc_id, text, seen, *rest)``, which gives a result tuple or None, to all documents.
 
-    ``seen`` is a set that lasts for the task.
+    ``seen`` is a set that lasts for the task, ``rest`` the values of further columns.
     """
     ship(docs.sparkSession)
     names = [c.split()[0] for c in schema.split(",")]
@@ -112,13 +113,14 @@ def over_texts(docs: DataFrame, schema: str, row):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
-            columns = [row(i, t.as_py(), seen) for i, t in zip(b.column(0).to_pylist(), b.column(1))]
+            rest = list(zip(*[c.to_pylist() for c in b.columns[2:]])) or [()] * b.num_rows
+            columns = [row(i, t.as_py(), seen, *r) for i, t, r in zip(b.column(0).to_pylist(), b.column(1), rest)]
             yield from pack([c for c in columns if c is not None], names)
 
     return docs.mapInArrow(run, schema)
 
 
-TYPES = {"doc_id": pa.int64(), "nid": pa.int64(), "n": pa.int64(), "key": pa.binary(), "vec": pa.binary(), "token": pa.int64(), "salt": pa.int32()}
+TYPES = {"doc_id": pa.int64(), "nid": pa.int64(), "n": pa.int64(), "key": pa.binary(), "vec": pa.binary(), "m1": pa.int64(), "m2": pa.int64(), "token": pa.int64(), "salt": pa.int32()}
 
 
 def pack(columns: list, names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -137,17 +139,22 @@ def node_id(s: np.ndarray) -> int:
     return int(mix(s, 3).sum(dtype=np.uint64).astype(np.int64))
 
 
+def marked(docs: DataFrame) -> DataFrame:
+    """``docs`` with two hashes that together tell texts apart."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("m1"), F.xxhash64(F.lit(1), "text").alias("m2"))
+
+
 def sets_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, nid, n, key, vec`` of every row; a task gives the vector of equal sets once."""
+    """``doc_id, nid, n, key, vec, m1, m2`` of every row; a task gives the vector of equal sets once."""
 
-    def row(doc_id, text, seen):
+    def row(doc_id, text, seen, m1, m2):
         s = shingles(text)
         key = set_key(s) if len(s) else None
         vec = counts(s) if len(s) and key not in seen else None
         seen.add(key)
-        return [doc_id], [node_id(s)], [len(s)], [key], [vec]
+        return [doc_id], [node_id(s)], [len(s)], [key], [vec], [m1], [m2]
 
-    return over_texts(docs, "doc_id long,nid long,n long,key binary,vec binary", row)
+    return over_texts(marked(docs), "doc_id long,nid long,n long,key binary,vec binary,m1 long,m2 long", row)
 
 
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
@@ -184,16 +191,16 @@ def trees(docs: DataFrame) -> DataFrame:
     """``tree, most, nid``: the distinct sets that meet in each tree, and their number.
 
     One shuffle deals the shingles out, and rows of equal sets from several tasks are dropped behind it; lists of
-    sets are told apart by a count and two sums of hashes.
+    sets are told apart by a count and two combined hashes.
     """
     spread = occurrences(docs, frequent_shingles(docs)).repartition("token", "salt").dropDuplicates(["token", "salt", "nid"])
     lists = spread.groupBy("token", "salt").agg(
         F.count("*").alias("c"),
-        F.sum(F.xxhash64("nid").cast("decimal(20,0)")).cast("decimal(38,0)").alias("s"),
+        F.bit_xor(F.xxhash64(F.lit(2), "nid")).alias("s"),
         F.bit_xor(F.xxhash64(F.lit(1), "nid")).alias("x"),
         F.max("salt").alias("hot"),  # filters on it stay above the shuffle, which all readers so share
     )
-    hot = lists.filter("hot > 0").groupBy("token").agg(F.sum("c").alias("c"), F.sum("s").cast("decimal(38,0)").alias("s"), F.bit_xor("x").alias("x"))
+    hot = lists.filter("hot > 0").groupBy("token").agg(F.sum("c").alias("c"), F.bit_xor("s").alias("s"), F.bit_xor("x").alias("x"))
     shared = lists.filter("hot = 0").select("token", "c", "s", "x").unionByName(hot).filter("c > 1")
     one = shared.groupBy("c", "s", "x").agg(F.min("token").alias("token")).select("token", F.col("c").alias("most"))
     salted = one.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS))))
@@ -215,7 +222,7 @@ def in_reach(members: DataFrame, nodes: DataFrame) -> DataFrame:
     rows = rows.join(near, ["tree", "band"], "left_semi").select("tree", "nid")
     lists = rows.groupBy("tree").agg(
         F.count("*").alias("most"),
-        F.sum(F.xxhash64("nid").cast("decimal(20,0)")).cast("decimal(38,0)").alias("s"),
+        F.bit_xor(F.xxhash64(F.lit(2), "nid")).alias("s"),
         F.bit_xor(F.xxhash64(F.lit(1), "nid")).alias("x"),
     )
     one = lists.groupBy("most", "s", "x").agg(F.min("tree").alias("tree")).select("tree", "most")
@@ -388,10 +395,10 @@ def verified(pairs: DataFrame, content: DataFrame, percent: int = PERCENT) -> Da
         text = lambda p: unpack.decompress(p).decode("utf-8", "surrogatepass")
         for batch in batches:
             keep = []
-            for i, (p, q) in enumerate(zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist())):
-                if last[0] != q:
-                    last = (q, shingles(text(q)))
-                x, y = shingles(text(p)), last[1]
+            for i, (p, q, b) in enumerate(zip(batch.column("pa"), batch.column("pb"), batch.column("b").to_pylist())):
+                if last[0] != b:
+                    last = (b, shingles(text(q.as_py())))
+                x, y = shingles(text(p.as_py())), last[1]
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * common >= percent * (len(x) + len(y) - common):
                     keep.append(i)
@@ -401,36 +408,30 @@ def verified(pairs: DataFrame, content: DataFrame, percent: int = PERCENT) -> Da
 
 
 def contents(docs: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
-    """``key, packed``: one compressed text for each wanted set. Texts are compressed before the shuffle."""
+    """``key, packed``: one compressed text for each wanted set.
 
-    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
-        for b in batches:
-            texts = [t.as_py().encode("utf-8", "surrogatepass") for t in b.column("text")]
-            packed = pa.array([squeeze.compress(t) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), packed], names=["doc_id", "packed"])
+    The document with the least id, and hashes of its text, stand for a set. While there are few of them they are
+    broadcast, and no other text is moved; else texts are compressed before the shuffle.
+    """
+    names = ["doc_id", "m1", "m2"]
+    schema = "doc_id long, m1 long, m2 long, packed binary"
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
         for b in batches:
-            texts = [t.as_py() for t in b.column("text")]
-            keys = pa.array([set_key(shingles(t)) for t in texts], pa.binary())
-            packed = pa.array([squeeze.compress(t.encode("utf-8", "surrogatepass")) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([keys, packed], names=["key", "packed"])
-
-    def fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """An id that stands twice brings other texts too."""
-        unpack = zstandard.ZstdDecompressor()
-        for b in batches:
-            same = [k == set_key(shingles(unpack.decompress(p).decode("utf-8", "surrogatepass"))) for k, p in zip(b.column("key").to_pylist(), b.column("packed").to_pylist())]
-            yield b.filter(pa.array(same, pa.bool_()))
-
-    holders = sets.filter("doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id")).join(wanted, "key", "left_semi")
-    named = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(compress, "doc_id long, packed binary")
-    named = named.join(sized_broadcast(holders, SMALL_SIDE), "doc_id").select("key", "packed").mapInArrow(fitting, "key binary, packed binary")
-    # Sets that only rows without an id hold are rare: they are found by the key itself.
-    rest = docs.filter("doc_id IS NULL AND text IS NOT NULL").mapInArrow(keyed, "key binary, packed binary").join(wanted, "key", "left_semi")
-    return named.unionByName(rest).dropDuplicates(["key"])
+            packed = pa.array([squeeze.compress(t.as_py().encode("utf-8", "surrogatepass")) for t in b.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), packed], names=[*names, "packed"])
+
+    held = sets.join(wanted, "key", "left_semi").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), *names)).alias("h"))
+    held = settle(held.select("key", *[F.col(f"h.{c}").alias(f"h_{c}") for c in names]))
+    texts = marked(docs).filter("text IS NOT NULL")
+    same = F.col("doc_id").eqNullSafe(F.col("h_doc_id")) & (F.col("m1") == F.col("h_m1")) & (F.col("m2") == F.col("h_m2"))
+    if held.count() <= SMALL_SIDE:
+        found = texts.join(F.broadcast(held.drop("key")), same, "left_semi").mapInArrow(compress, schema)
+        found = found.join(F.broadcast(held), same)
+    else:
+        found = texts.mapInArrow(compress, schema).join(held, same)
+    return found.select("key", "packed").dropDuplicates(["key"])
 
 
 def linked(docs: DataFrame) -> DataFrame:
