@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from barloom.session import ship_package
+from barloom.session import settle, ship_package, short_methods
 
 SUMS = ("n", "s", "t", "q", "r", "c")
 # Rows behind the shift that keeps sums of squares small; any shift gives the same statistics.
@@ -28,24 +28,35 @@ def matrix(batch: pa.RecordBatch, columns: Sequence[int]) -> np.ndarray:
     return np.where(np.isfinite(x), x, np.nan)
 
 
+def add_batch(sums: np.ndarray, batch: pa.RecordBatch, shift: np.ndarray) -> None:
+    """Add the pair sums of a batch of double columns. Columns are lines here, so that each is read and written in one go."""
+    x = np.empty((batch.num_columns, batch.num_rows))
+    for line, c in zip(x, batch.columns):
+        line[:] = c.to_numpy(zero_copy_only=False)
+    there = np.isfinite(x)
+    x -= shift[:, None]
+    x[~there] = 0.0
+    there = there.astype(np.float64)
+    n, s, q = there @ there.T, x @ there.T, (x * x) @ there.T
+    for total, part in zip(sums, (n, s, s.T, q, q.T, x @ x.T)):
+        total += part
+
+
 def pair_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``i, j`` (``i <= j``) and, over the rows where both columns are there: the count ``n``, the sums ``s, t`` and
-    squares ``q, r`` of the two, and the sum of products ``c``, all around a shift."""
+    squares ``q, r`` of the two, and the sum of products ``c``, all around a shift. The rows are read once, here: the
+    result is kept, so that it may be used twice."""
     ship_package(df.sparkSession)
     slim = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{k}") for k, c in enumerate(columns)])
-    first = slim.limit(SHIFT_ROWS).agg(*[F.avg(F.when(F.abs(x) < float("inf"), F.col(x))) for x in slim.columns]).first()
+    with short_methods(df.sparkSession):
+        first = slim.limit(SHIFT_ROWS).agg(*[F.avg(F.when(F.abs(x) < float("inf"), F.col(x))) for x in slim.columns]).first()
     shift, m = np.array([v or 0.0 for v in first], float), len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(SUMS), m, m))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = matrix(batch, range(m)) - shift
-            there = (~np.isnan(x)).astype(np.float64)
-            x = np.nan_to_num(x)
-            s, q = x.T @ there, (x * x).T @ there
-            sums += np.stack([there.T @ there, s, s.T, q, q.T, x.T @ x])
+            if batch.num_rows:
+                add_batch(sums, batch, shift)
         if sums[0].any():
             cols = [pa.array([a[i, i:] for i in range(m)], pa.list_(pa.float64())) for a in sums]
             yield pa.RecordBatch.from_arrays([pa.array(range(m), pa.int32()), *cols], ["i", *SUMS])
@@ -53,7 +64,7 @@ def pair_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     parts = slim.mapInArrow(run, "i int, " + ", ".join(f"{c} array<double>" for c in SUMS))
     cells = parts.select("i", F.posexplode(F.arrays_zip(*SUMS)).alias("p", "z"))
     added = cells.groupBy("i", "p").agg(*[F.sum(f"z.{c}").alias(c) for c in SUMS])
-    return added.select("i", (F.col("i") + F.col("p")).alias("j"), *SUMS)
+    return settle(added.select("i", (F.col("i") + F.col("p")).alias("j"), *SUMS))
 
 
 def flat(n: float, s: float, q: float) -> bool:

@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """``values`` hold for what is run inside; the session's own settings come back after it."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def short_methods(spark: SparkSession):
+    """Wide expressions run as methods that the JIT takes: it leaves those of over 8,000 bytes to the interpreter."""
+    limit = int(spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535"))
+    return settings(spark, {"spark.sql.codegen.hugeMethodLimit": str(min(limit, 8000))})
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint.
 
@@ -44,7 +65,8 @@ def settle(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="barloom-checkpoint-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    with short_methods(spark):
+        return df.checkpoint(eager=True)
 
 
 def scratch(spark: SparkSession) -> str:

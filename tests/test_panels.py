@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import Row, functions as F
 
+from barloom import session
 from barloom.functions import cells
 from barloom.operators import align, bars, panel, profile
 from barloom.plans import master, options
@@ -274,3 +275,24 @@ def test_master_of_several_symbols(spark):
     assert got == [("A", 1, 1.0, None, 1.0), ("A", 2, 2.0, 5.0, 0.5), ("A", 3, 3.0, 5.0, 0.3333), ("B", 1, 2.0, None, 0.5), ("B", 2, 3.0, 5.0, 0.3333), ("B", 3, 4.0, 5.0, 0.25)]
     report = {(r["source"], r["stage"]): r["null_pct"] for r in master.null_report(m).collect()}
     assert report["macro_positioning_data", "after"] == 75.0 and report["macro_positioning_data", "before"] == 0.0
+
+
+def test_pair_sums_read_the_rows_once(spark):
+    """The matrix both ways comes from one pass over the rows, and its wide expressions are compiled, not interpreted."""
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    df = spark.range(40).selectExpr("id % 7 AS a", "CASE WHEN id % 5 > 0 THEN id * id END AS b", "1.5D AS flat", "CASE WHEN id % 3 > 0 THEN id / (id % 3) END AS c")
+    found = panel.correlation_matrix(df, ["a", "b", "flat", "c"])
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
+    got = {(r.a, r.b): r["corr"] for r in found.collect()}
+    want = df.toPandas().astype(float).corr()
+    assert len(got) == 16
+    for (a, b), v in got.items():
+        assert v is None if "flat" in (a, b) else v == pytest.approx(want.loc[a, b], abs=1e-9), (a, b)
+
+
+def test_methods_are_short_while_a_table_settles(spark):
+    with session.settings(spark, {"spark.sql.codegen.hugeMethodLimit": "65535"}):
+        with session.short_methods(spark):
+            assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535"
