@@ -32,11 +32,13 @@ def sources(spark, d):
         out[name] = dated(packs.select("symbol", "ts", *technical.outputs(bars, pack)))
     orders = views.table(spark, d, "orders").withColumn("ts", F.to_date("o_orderdate"))
     events = views.table(spark, d, "events").withColumn("ts", F.to_date("ts"))
-    wide = align.pivot_wide(views.assets(spark, d), ALL_ASSETS, ["close", "volume"])
+    # Four sources are made of the asset rows; a row per asset and date is kept, so that the ticks are joined to the parts once.
+    assets = settle(views.assets(spark, d))
+    wide = align.pivot_wide(assets, ALL_ASSETS, ["close", "volume"])
     return out | {
         "macro_positioning_data": dated(align.outer_align(views.macro(spark, d), MACRO_NAMES)),
-        "market_indicators": dated(macro.vol_index_panel(_series(spark, d, macro.VOL_INDEXES))),
-        "macro_risk_data": dated(macro.macro_risk_panel(_series(spark, d, RISK), RISK)),
+        "market_indicators": dated(macro.vol_index_panel(_series(spark, d, macro.VOL_INDEXES, assets))),
+        "macro_risk_data": dated(macro.macro_risk_panel(_series(spark, d, RISK, assets), RISK)),
         "order_flow": dated(orders.groupBy("ts").agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("total"))),
         "asset_prices": dated(wide.select("ts", *[c for c in wide.columns if c.endswith("_close")])),
         "asset_volumes": dated(wide.select("ts", *[c for c in wide.columns if c.endswith("_volume")])),

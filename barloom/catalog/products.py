@@ -202,12 +202,12 @@ STAND_INS = {
 }
 
 
-def _series(spark, d, names):
-    """The stand-ins as a long table: one pass over the asset rows, no self joins."""
+def _series(spark, d, names, assets=None):
+    """The stand-ins as a long table: one pass over the asset rows (``assets`` if they are there already), no self joins."""
     hits = [
         F.when(F.col("asset") == STAND_INS[n][0], F.struct(F.lit(n).alias("name"), F.col(STAND_INS[n][1]).alias("value"))) for n in names
     ]
-    rows = views.assets(spark, d).select("ts", F.explode(F.array_compact(F.array(*hits))).alias("s"))
+    rows = (views.assets(spark, d) if assets is None else assets).select("ts", F.explode(F.array_compact(F.array(*hits))).alias("s"))
     return rows.select(F.col("s.name").alias("name"), "ts", F.col("s.value").alias("value"))
 
 

@@ -54,7 +54,8 @@ def settle(df: DataFrame) -> DataFrame:
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local
     session without that setting gets a folder of its own; anywhere else a machine-local
-    folder would be lost with the machine, so that is an error.
+    folder would be lost with the machine, so that is an error. Shuffle files behind the rows go at once, not
+    when the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
@@ -65,8 +66,9 @@ def settle(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="barloom-checkpoint-")
         sc.setCheckpointDir(folder)
-    with short_methods(spark):
-        return df.checkpoint(eager=True)
+    # A query takes the setting when it is made, so it is made anew here.
+    with short_methods(spark), settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        return df.select("*").checkpoint(eager=True)
 
 
 def scratch(spark: SparkSession) -> str:

@@ -296,3 +296,12 @@ def test_methods_are_short_while_a_table_settles(spark):
         with session.short_methods(spark):
             assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
         assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535"
+
+
+def test_master_sources_read_the_ticks_for_the_assets_once(spark, data):
+    """The four sources made of asset rows start from kept rows, not from the ticks again."""
+    from barloom.catalog import master_rows
+
+    found = master_rows.sources(spark, data)
+    for name in ("market_indicators", "macro_risk_data", "asset_prices", "asset_volumes"):
+        assert "parquet" not in found[name]._jdf.queryExecution().optimizedPlan().toString().lower(), name
