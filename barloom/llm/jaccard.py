@@ -120,7 +120,7 @@ def over_texts(docs: DataFrame, schema: str, row):
     return docs.mapInArrow(run, schema)
 
 
-TYPES = {"doc_id": pa.int64(), "nid": pa.int64(), "n": pa.int64(), "key": pa.binary(), "vec": pa.binary(), "m1": pa.int64(), "m2": pa.int64(), "token": pa.int64(), "salt": pa.int32()}
+TYPES = {"doc_id": pa.int64(), "nid": pa.int64(), "n": pa.int64(), "key": pa.binary(), "vec": pa.binary(), "m1": pa.int64(), "m2": pa.int64(), "token": pa.int64(), "first": pa.list_(pa.int64()), "rare": pa.int32()}
 
 
 def pack(columns: list, names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -144,17 +144,24 @@ def marked(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("m1"), F.xxhash64(F.lit(1), "text").alias("m2"))
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, nid, n, key, vec, m1, m2`` of every row; a task gives the vector of equal sets once."""
+def sets_of(docs: DataFrame, frequent: np.ndarray = np.empty(0, np.uint64)) -> DataFrame:
+    """``doc_id, nid, n, key, vec, first, rare, m1, m2`` of every row: each text is cut into shingles once.
+
+    ``first`` has the shingles a set is filed under, of which the first ``rare`` are not frequent. A task gives it
+    and the vector of equal sets once.
+    """
 
     def row(doc_id, text, seen, m1, m2):
         s = shingles(text)
         key = set_key(s) if len(s) else None
-        vec = counts(s) if len(s) and key not in seen else None
+        vec = first = rare = None
+        if len(s) and key not in seen:
+            first, hot = first_shingles(s, frequent)
+            vec, first, rare = counts(s), first.view(np.int64), int(len(hot) - hot.sum())
         seen.add(key)
-        return [doc_id], [node_id(s)], [len(s)], [key], [vec], [m1], [m2]
+        return [doc_id], [node_id(s)], [len(s)], [key], [vec], [first], [rare], [m1], [m2]
 
-    return over_texts(marked(docs), "doc_id long,nid long,n long,key binary,vec binary,m1 long,m2 long", row)
+    return over_texts(marked(docs), "doc_id long,nid long,n long,key binary,vec binary,first array<long>,rare int,m1 long,m2 long", row)
 
 
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
@@ -169,31 +176,25 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
     return np.sort(np.array([r["token"] for r in top], dtype=np.int64).view(np.uint64))
 
 
-def occurrences(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def occurrences(sets: DataFrame) -> DataFrame:
     """``token, salt, nid``: the first shingles of each set; frequent ones are salted by set.
 
     Documents with equal sets give the rows of one, at most once per task.
     """
-
-    def row(doc_id, text, seen):
-        s = shingles(text)
-        node = node_id(s)
-        if node in seen:
-            return None
-        seen.add(node)
-        first, hot = first_shingles(s, frequent)
-        return first.view(np.int64), np.where(hot, node % SALTS + 1, 0).astype(np.int32), np.full(len(first), node, dtype=np.int64)
-
-    return over_texts(docs, "token long not null,salt int not null,nid long not null", row)
+    rows = sets.filter("first IS NOT NULL").select("nid", "rare", F.posexplode("first").alias("at", "token"))
+    salt = F.when(F.col("at") < F.col("rare"), F.lit(0)).otherwise((F.pmod("nid", F.lit(SALTS)) + 1).cast("int"))
+    # None is ever null: columns that might be would be filtered below the shuffle, which its readers then would not share.
+    known = {"token": F.col("token"), "salt": salt, "nid": F.col("nid")}
+    return rows.select(*[F.coalesce(c, F.lit(0)).alias(n) for n, c in known.items()])
 
 
-def trees(docs: DataFrame) -> DataFrame:
-    """``tree, most, nid``: the distinct sets that meet in each tree, and their number.
+def trees(docs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+    """``tree, most, nid``: the distinct sets that meet in each tree, and their number. ``sets`` are those of ``docs``, if they are there already.
 
     One shuffle deals the shingles out, and rows of equal sets from several tasks are dropped behind it; lists of
     sets are told apart by a count and two combined hashes.
     """
-    spread = occurrences(docs, frequent_shingles(docs)).repartition("token", "salt").dropDuplicates(["token", "salt", "nid"])
+    spread = occurrences(sets_of(docs, frequent_shingles(docs)) if sets is None else sets).repartition("token", "salt").dropDuplicates(["token", "salt", "nid"])
     lists = spread.groupBy("token", "salt").agg(
         F.count("*").alias("c"),
         F.bit_xor(F.xxhash64(F.lit(2), "nid")).alias("s"),
@@ -437,10 +438,10 @@ def contents(docs: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
 def linked(docs: DataFrame) -> DataFrame:
     """``doc_id, n, key, component_id`` for every row of ``doc_id, text``."""
     docs = docs.select("doc_id", "text")
-    sets = settle(sets_of(docs))
+    sets = settle(sets_of(docs, frequent_shingles(docs)))
     nodes = settle(sets.filter("vec IS NOT NULL").select("nid", "key", "n", "vec").dropDuplicates(["key"]))
     ids = sets.filter("key IS NOT NULL")
-    members = settle(in_reach(trees(docs), ids.select("nid", "n", F.col("nid").alias("comp"))))
+    members = settle(in_reach(trees(docs, sets), ids.select("nid", "n", F.col("nid").alias("comp"))))
 
     def confirmed(found: DataFrame, links: DataFrame | None) -> DataFrame:
         """The found pairs that link and are not known yet."""

@@ -353,3 +353,32 @@ def test_word_lookup_equals_all_features():
         find.REMEMBERED = 4
         for t in texts:
             assert find(t) == toxicity.features(t) & wanted.keys(), t
+
+
+def test_jaccard_trees_of_known_sets_read_no_text(spark):
+    """Trees made from sets that are there do not cut the texts again, and are those of the texts."""
+    docs = documents(spark, [(i, prose(i % 7, 60), "a") for i in range(30)]).select("doc_id", "text")
+    sets = jaccard.settle(jaccard.sets_of(docs, jaccard.frequent_shingles(docs)))
+    found = jaccard.trees(docs, sets)
+    assert "MapInArrow" not in found._jdf.queryExecution().optimizedPlan().toString()
+    # Columns that might be null would be filtered below the shuffle, which its readers then would not share.
+    assert not [f.name for f in jaccard.occurrences(sets).schema if f.nullable]
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, jaccard.trees(docs).collect()))
+
+
+def test_settled_tables_leave_no_shuffle_files(spark):
+    """Files of a shuffle go when the table behind it is kept, not when the driver collects its garbage."""
+    import time
+
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def files() -> set[str]:
+        return {x for x in manager.getAllFiles().mkString(" ").split(" ") if "/shuffle_" in x}
+
+    before = files()
+    kept = jaccard.settle(spark.range(2000).repartition(4, "id").groupBy((F.col("id") % 50).alias("k")).count())
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.5)
+    assert not files() - before
+    assert kept.count() == 50
