@@ -15,7 +15,8 @@ The first search takes every set to ``SEEDS`` of its trees only, which joins mos
 tree are searched that have a set of another component, and a size that can link, beside them: a tree of one component sends no vector.
 A block of a tree joins the classes of its sets as pairs pass the bound, and searches no pair inside a class: a group of
 thousands of near copies costs links, not pairs. Large trees are dealt into blocks by hash: the sets outside a tree's largest
-component meet all blocks. A last search keeps every pair, for trees where a pair that joined two classes turned out not to link.
+component meet all blocks. Where a pair that joined two classes turns out not to link, the components of that class meet in that tree once
+more, with their texts: there only pairs that link join.
 
 A null or empty text has no shingle and no link. Fewer than five words are one shingle. A null id is kept as
 its own row; a component takes the smallest id in it. Repeated rows keep a result each. An empty table
@@ -24,7 +25,7 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,8 @@ FREQUENT = 4  # shingles in so many sampled documents go last
 MAX_FREQUENT = 50_000
 SALTS = 32
 SEEDS = 2  # trees of each set in the first search
+CHECKED = 64  # sets compared at once with one, before the classes are looked at again
+REMEMBERED = 2048  # sets a task keeps for the next trees
 SMALL_SIDE = 200_000  # rows of ids and keys that may be broadcast
 
 
@@ -289,10 +292,20 @@ class Window:
         return at
 
 
-def candidates(n: np.ndarray, vecs: list[bytes], comp: np.ndarray, side: np.ndarray | None, join: bool, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
+def linking(s: np.ndarray, others: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+    """Which of the sets ``others`` link with ``s``; all are sorted and not empty."""
+    sizes = np.array([len(x) for x in others])
+    flat = np.concatenate(others)
+    hit = s[np.minimum(np.searchsorted(s, flat), len(s) - 1)] == flat
+    common = np.add.reduceat(hit.astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+    return 100 * common >= percent * (len(s) + sizes - common)
+
+
+def candidates(n: np.ndarray, vecs: list[bytes], comp: np.ndarray, side: np.ndarray | None, join: bool, percent: int = PERCENT, set_of: Callable[[int], np.ndarray] | None = None) -> Iterator[tuple[int, int]]:
     """Pairs of rows of different classes (and sides) whose bound reaches the threshold.
 
-    Rows come sorted by size. With ``join`` a pair unites its classes, so that later pairs inside them are left out.
+    Rows come sorted by size. With ``join`` a pair unites its classes, so that later pairs inside them are left out. With
+    ``set_of``, the shingles of a row, only pairs that link count.
     """
     unpack = zstandard.ZstdDecompressor()
     points = [np.frombuffer(unpack.decompress(v), dtype=np.uint8) for v in vecs]
@@ -314,35 +327,56 @@ def candidates(n: np.ndarray, vecs: list[bytes], comp: np.ndarray, side: np.ndar
             allowed &= side[low:high] != side[i]
         if not allowed.any():
             continue
-        for j in (window.partners(i - low, allowed) + low).tolist():
-            if not join:
-                yield i, j
-            elif comp[j] != comp[i]:
-                yield i, j
-                comp[comp == comp[j]] = comp[i]
+        at = window.partners(i - low, allowed) + low
+        for part in [at] if set_of is None else np.split(at, range(CHECKED, len(at), CHECKED)):
+            if set_of is not None:
+                part = part[comp[part] != comp[i]] if join else part
+                part = part[linking(set_of(i), [set_of(j) for j in part.tolist()], percent)] if len(part) else part
+            for j in part.tolist():
+                if not join:
+                    yield i, j
+                elif comp[j] != comp[i]:
+                    yield i, j
+                    comp[comp == comp[j]] = comp[i]
 
 
 def search_trees(members: DataFrame, join: bool) -> DataFrame:
-    """Pairs ``tree, a, b`` of keys from rows ``tree, part, key, n, vec, comp, side``.
+    """Pairs ``tree, a, b, class`` of keys from rows ``tree, part, key, n, vec, comp, side`` and, if there, ``packed``.
 
     ``join``: the pairs that unite classes; else every pair between classes whose bound reaches the
-    threshold. A task reads its blocks in order and holds one at a time.
+    threshold. ``class`` is the least key of the pairs that hang together in a block. With ``packed``, the text, only pairs that
+    link are given. A task reads its blocks in order and holds one at a time.
     """
-    columns = ["key", "n", "vec", "comp", "side"]
+    columns = ["key", "n", "vec", "comp", "side", *(["packed"] if "packed" in members.columns else [])]
+
+    known: dict[bytes, np.ndarray] = {}
 
-    def pairs(tree: int, rows: list[tuple]) -> list[tuple[int, bytes, bytes]]:
+    def pairs(tree: int, rows: list[tuple]) -> list[tuple[int, bytes, bytes, bytes]]:
         if len(rows) < 2 or len(rows) == 2 and 100 * rows[0][1] < PERCENT * rows[1][1]:
             return []
         keys, n = [r[0] for r in rows], np.array([r[1] for r in rows])
         names = {c: i for i, c in enumerate(dict.fromkeys(r[3] for r in rows))}
         comp, side = np.array([names[r[3]] for r in rows]), np.array([r[4] for r in rows])
         side = side if (side != side[0]).any() else None
-        found = candidates(n, [r[2] for r in rows], comp, side, join)
-        return [(tree, min(keys[i], keys[j]), max(keys[i], keys[j])) for i, j in found]
+
+        def set_of(i: int) -> np.ndarray:
+            if keys[i] not in known:
+                if len(known) >= REMEMBERED:
+                    known.pop(next(iter(known)))
+                known[keys[i]] = shingles(zstandard.decompress(rows[i][5]).decode("utf-8", "surrogatepass"))
+            return known[keys[i]]
+
+        found = list(candidates(n, [r[2] for r in rows], comp, side, join, set_of=set_of if len(columns) > 5 else None))
+        over = classes([(int(comp[i]), int(comp[j])) for i, j in found])
+        least: dict[int, bytes] = {}
+        for i, j in found:
+            c = over[int(comp[i])]
+            least[c] = min(least.get(c, keys[i]), keys[i], keys[j])
+        return [(tree, min(keys[i], keys[j]), max(keys[i], keys[j]), least[over[int(comp[i])]]) for i, j in found]
 
     def as_batch(found: list) -> pa.RecordBatch:
-        parts = [[f[k] for f in found] for k in range(3)]
-        return pa.RecordBatch.from_arrays([pa.array(parts[0], pa.int64()), pa.array(parts[1], pa.binary()), pa.array(parts[2], pa.binary())], names=["tree", "a", "b"])
+        kinds = {"tree": pa.int64(), "a": pa.binary(), "b": pa.binary(), "class": pa.binary()}
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate(kinds.values())], names=list(kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], (None, None)
@@ -358,7 +392,21 @@ def search_trees(members: DataFrame, join: bool) -> DataFrame:
         yield as_batch(pairs(at[0], held))
 
     dealt = members.repartition("tree", "part").sortWithinPartitions("tree", "part", "n", "key")
-    return dealt.select("tree", "part", *columns).mapInArrow(run, "tree long, a binary, b binary")
+    return dealt.select("tree", "part", *columns).mapInArrow(run, "tree long, a binary, b binary, class binary")
+
+
+def classes(pairs: list[tuple[int, int]]) -> dict[int, int]:
+    """The class of every number in ``pairs``: numbers that pairs connect share one."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for x, y in pairs:
+        up[top(x)] = top(y)
+    return {x: top(x) for x in list(up)}
 
 
 def across_blocks(named: DataFrame) -> DataFrame:
@@ -455,30 +503,35 @@ def linked(docs: DataFrame) -> DataFrame:
     near = seeds(members).join(nodes, "nid").withColumns({"part": part, "comp": F.xxhash64("key"), "side": F.lit(0)})
     links = confirmed(settle(search_trees(near, join=True)), None)
 
-    # Between components: all trees, then those in which a joining pair does not link. The last search joins nothing.
+    # Between components: all trees, then what met in a class that a pair joined without a link. That search has the texts.
     open_ = members
-    for join in (True, False):
+    for exact in (False, True):
         roots = components(links).withColumnRenamed("node", "key")
         comps = settle(nodes.select("nid", "n", "key").join(roots, "key", "left").withColumn("comp", F.xxhash64(F.coalesce("root", "key"))).drop("root"))
         left = settle(in_reach(open_, comps))
         if left.isEmpty():
             break
-        cells = across_blocks(settle(left.join(comps, "nid").select("tree", "key", "comp")))
-        found = settle(search_trees(cells.join(nodes, "key"), join=join))
+        named = settle(left.join(comps, "nid").select("tree", "nid", "key", "comp"))
+        cells = across_blocks(named.drop("nid")).join(nodes, "key")
+        if exact:
+            cells = cells.join(settle(contents(docs, named.select("key").distinct(), sets)), "key")
+        found = settle(search_trees(cells, join=True))
         more = confirmed(found, links)
         links = settle(links.unionByName(more))
-        failed = failed_trees(found, links)
-        open_ = left.join(failed, "tree", "left_semi")
+        if not exact:
+            failed = failed_classes(found, links).join(comps, "key").select("tree", "comp").distinct()
+            open_ = left.join(settle(named.join(failed, ["tree", "comp"], "left_semi").select("tree", "nid")), ["tree", "nid"], "left_semi")
     roots = components(links)
     rows = sets.select("doc_id", "n", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rows.join(least, "root", "left").select("doc_id", "n", "key", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def failed_trees(found: DataFrame, links: DataFrame) -> DataFrame:
-    """Trees of pairs that are no links."""
+def failed_classes(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``tree, key``: sets in the pairs of a class that hold a pair without a link."""
     wrong = found.select("a", "b").distinct().join(links, ["a", "b"], "left_anti")
-    return found.join(wrong, ["a", "b"], "left_semi").select("tree").distinct()
+    failed = found.join(wrong, ["a", "b"], "left_semi").select("tree", "class").distinct()
+    return found.join(failed, ["tree", "class"], "left_semi").select("tree", F.explode(F.array("a", "b")).alias("key"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ def documents(spark, rows):
     return spark.createDataFrame([(i, t, "en", s, len(t or ""), "k", "h", 1) for i, t, s in rows], DOCS)
 
 
+COUNTS = jaccard.counts
 WORDS = [f"w{i}" for i in range(500)]
 
 
@@ -144,6 +145,27 @@ def test_jaccard_texts_that_nearly_link(spark):
     assert jaccard.search_trees(members, join=False).select("a", "b").distinct().count() < 600
 
 
+def test_jaccard_searches_give_joins_not_pairs(spark, monkeypatch):
+    """Two groups of near copies whose points reach the threshold and whose sets do not: no search gives a pair of theirs each."""
+    monkeypatch.setattr(jaccard, "counts", lambda s: COUNTS(np.zeros(len(s), dtype=np.uint64)))
+    base, given = prose(23, 100).split(), []
+    search = jaccard.search_trees
+    monkeypatch.setattr(jaccard, "search_trees", lambda m, join: given.append(jaccard.settle(search(m, join))) or given[-1])
+    rows = [(100 * g + i, " ".join([*base[:50], f"own{i}", *(w + "x" * g for w in base[51:])]), "a") for g in range(2) for i in range(40)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.linked(documents(spark, rows)).collect()}
+    assert got == brute_components(rows) and set(got.values()) == {0, 100}
+    assert len(given) == 3
+    for found in given:
+        most = found.groupBy("tree").count().agg(F.max("count")).first()[0]
+        assert most is None or most < 80
+
+
+def test_jaccard_linking_sets():
+    sets = [np.arange(k, k + n, dtype=np.uint64) for k, n in [(0, 80), (5, 80), (12, 80), (0, 60), (200, 3)]]
+    want = [100 * len(np.intersect1d(sets[0], x)) >= 75 * len(np.union1d(sets[0], x)) for x in sets]
+    assert jaccard.linking(sets[0], sets).tolist() == want
+
+
 def test_jaccard_blocks_of_large_trees(spark, monkeypatch):
     """Trees cut into small blocks, with a large component, others, and pairs near the threshold, against brute force."""
     monkeypatch.setattr(jaccard, "BLOCK", 4)
