@@ -34,6 +34,7 @@ MAX_FEATURES = 1024
 PENALTY = 5e-5
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 THRESHOLD = 0.7
+BUCKETS = 1 << 24  # bytes
 TRIM = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -77,39 +78,56 @@ class Finder:
         return {f for w in words & self.marked for f in self.having[w]}
 
 
+def common_features(texts: list[str], least: int, buckets: int = BUCKETS) -> Counter[str]:
+    """The features that ``least`` texts or more hold, and their number of texts.
+
+    Features are counted in buckets by hash first; only those of buckets that reach ``least`` are ever held by name.
+    """
+    full = np.zeros(buckets, dtype=np.uint8)
+    for t in texts:
+        at = np.unique(np.fromiter((hash(f) % buckets for f in features(t)), dtype=np.int64))
+        full[at] = np.minimum(full[at] + 1, least)
+    counted = Counter(f for t in texts for f in features(t) if full[hash(f) % buckets] >= least)
+    return Counter({f: n for f, n in counted.items() if n >= least})
+
+
 def fit(positive: list[str], unlabelled: list[str], prior: float, rounds: int = 400, penalty: float = PENALTY) -> tuple[dict[str, float], float]:
     """Weights by feature and the bias, from texts; non-negative PU risk with logistic loss."""
     rest = math.log(prior / (1 - prior))
     if not positive or not unlabelled:
         return {}, rest
-    # Only features of three positive texts or more are held; those of a text are made when needed.
-    p_df = Counter(f for t in positive for f in features(t))
-    p_df = Counter({f: n for f, n in p_df.items() if n >= 3})
-    present = Finder(p_df)
-    p_sets, u_sets = [present(t) for t in positive], [present(t) for t in unlabelled]
-    u_df = Counter(f for s in u_sets for f in s)
-    n_p, n_u = len(p_sets), len(u_sets)
+    # Only features of three positive texts or more are held, in a text by their numbers.
+    p_df = common_features(positive, 3)
+    number, present = {f: k for k, f in enumerate(p_df)}, Finder(p_df)
+    rows = [np.fromiter((number[f] for f in present(t)), dtype=np.int32) for t in (*positive, *unlabelled)]
+    n_p, n_u = len(positive), len(unlabelled)
+    u_df = dict(zip(number, np.bincount(np.concatenate(rows[n_p:]), minlength=len(number)).tolist()))
 
     def contrast(f: str) -> float:
         p, u = p_df[f] / n_p, u_df[f] / n_u
         both = (p_df[f] + u_df[f] + 1) / (n_p + n_u + 2)
         return (p - u) / math.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
 
-    strong = sorted(((contrast(f), f) for f, n in p_df.items() if n >= 3), key=lambda x: (-x[0], x[1]))
+    strong = sorted(((contrast(f), f) for f in p_df), key=lambda x: (-x[0], x[1]))
     # Of features that the same texts hold only the shortest counts, or one word would weigh several times.
     holders: dict[str, list[int]] = {f: [] for z, f in strong[: 4 * MAX_FEATURES] if z > 4}
-    for i, s in enumerate(p_sets + u_sets):
-        for f in s & holders.keys():
-            holders[f].append(i)
+    held_by = {number[f]: holders[f] for f in holders}
+    for i, row in enumerate(rows):
+        for k in row.tolist():
+            if k in held_by:
+                held_by[k].append(i)
     shortest: dict[tuple, str] = {}
     for f in sorted(holders, key=lambda f: (len(f), f)):
         shortest.setdefault(tuple(holders[f]), f)
     once = set(shortest.values())
     chosen = [f for f in holders if f in once][:MAX_FEATURES]
     at = {f: j for j, f in enumerate(chosen)}
+    place = np.full(len(number) + 1, -1)
+    place[[number[f] for f in chosen]] = np.arange(len(chosen))
     x = np.zeros((n_p + n_u, len(chosen) + 1), dtype=np.float32)
-    for i, s in enumerate(p_sets + u_sets):
-        x[i, [at[f] for f in s if f in at]] = 1.0
+    for i, row in enumerate(rows):
+        columns = place[row]
+        x[i, columns[columns >= 0]] = 1.0
     x[:, -1] = 1.0
     xp, xu = x[:n_p], x[n_p:]
     w = np.zeros(x.shape[1], dtype=np.float64)

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -404,3 +405,20 @@ def test_settled_tables_leave_no_shuffle_files(spark):
         time.sleep(0.5)
     assert not files() - before
     assert kept.count() == 50
+
+
+def test_toxicity_common_features():
+    texts = [f"{prose(i, 60)} own{i}word, Shared." for i in range(12)]
+    every = [f for t in texts for f in toxicity.features(t)]
+    want = {f: every.count(f) for f in set(every) if every.count(f) >= 3}
+    assert toxicity.common_features(texts, 3) == toxicity.common_features(texts, 3, buckets=7) == want
+
+
+def test_toxicity_fit_holds_no_rare_features():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(["common", *("".join(w) for w in rng.choice(list("abcdefghijklmnop"), (1500, 9)))]) for _ in range(60)]
+    tracemalloc.start()
+    toxicity.fit(texts[:30], texts[30:], 0.1, rounds=2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40e6
