@@ -31,15 +31,15 @@ UNITS = (
 )
 NAMED = r"\p{Lu}[\p{L}\p{N}]*"
 DIGITS = r"[0-9](?:[0-9.,]*[0-9])?"
-MARKS = r"[^\p{L}\p{N}\uE000-\uE002\x20\x09-\x0D-]+"
+MARKS = r"[^a-z\p{L}\p{N}\uE000-\uE002\x20\x09-\x0D-]+"
 
 
 def canonical(text: Column) -> Column:
     """The template of a text: one placeholder or lower-case word per word of ``plain``."""
-    # A capital inside a sentence: the word before ends in a letter, digit or comma.
-    named = F.regexp_replace(text, rf"(?<=[\p{{L}}\p{{N}},]\x20){NAMED}", NAME)
+    # A capital inside a sentence: the word before ends in a letter, digit or comma. Few places have a capital ahead.
+    named = F.regexp_replace(text, rf"(?=\p{{Lu}})(?<=[\p{{L}}\p{{N}},]\x20){NAMED}", NAME)
     numbers = F.regexp_replace(named, DIGITS, NUMBER)
-    units = F.regexp_replace(numbers, rf"(?<={NUMBER}\x20)(?i:{UNITS})(?![\p{{L}}\p{{N}}])", UNIT)
+    units = F.regexp_replace(numbers, rf"{NUMBER}\x20(?i:{UNITS})(?![\p{{L}}\p{{N}}])", f"{NUMBER} {UNIT}")
     return F.lower(F.regexp_replace(units, MARKS, ""))
 
 
@@ -60,13 +60,14 @@ def form_of(exact: bool) -> Column:
 def windows(texts: DataFrame, key: str, window: int, exact: bool = False) -> DataFrame:
     """``key``, ``text``, ``form`` (its template words), ``at`` (from 1) and ``hash`` of each window.
 
-    Words are hashed once; a window hashes the hashes of its words.
+    Words are hashed once; a window hashes the hashes of its words, in a compiled expression on its own row: inside a
+    lambda it would be interpreted.
     """
     words = texts.select(key, "text", form_of(exact).alias("form"))
     coded = words.withColumn("codes", F.transform("form", lambda w: F.xxhash64(w)))
     starts = F.when(F.size("form") >= window, F.sequence(F.lit(1), F.size("form") - (window - 1))).otherwise(F.array().cast("array<int>"))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("codes", i, window)))
-    return coded.select(key, "text", "form", F.posexplode(hashes).alias("at", "hash")).withColumn("at", F.col("at") + 1)
+    rows = coded.select(key, "text", "form", "codes", F.explode(starts).alias("at"))
+    return rows.select(key, "text", "form", "at", F.xxhash64(*[F.get("codes", F.col("at") + (k - 1)) for k in range(window)]).alias("hash"))
 
 
 def is_slot(word: Column) -> Column:

@@ -79,7 +79,7 @@ def test_passages_cases(spark, odd):
 
 def test_fm_index_against_search():
     pick = np.random.default_rng(5)
-    words = [b" ".join(b"v%d" % x for x in pick.integers(0, 4, pick.integers(13, 40))) for _ in range(100)]
+    words = [b" ".join(b"v%d" % x for x in pick.integers(0, 4, pick.integers(13, 40))) for _ in range(60)]
     docs = pick.integers(0, 30, 60)
     least = passages.removable(words, docs)
     holders = defaultdict(list)
@@ -422,3 +422,11 @@ def test_toxicity_fit_holds_no_rare_features():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < 77e6
+
+
+def test_window_hashes_are_compiled(spark):
+    docs = spark.createDataFrame([(1, prose(3, 30)), (2, "few words"), (3, None)], "doc_id long, text string")
+    rows = templates.windows(docs, "doc_id", 13)
+    assert "lambdafunction(xxhash64(slice" not in rows._jdf.queryExecution().executedPlan().toString()
+    got = rows.filter(F.col("hash") == F.xxhash64(F.transform(F.slice("form", F.col("at"), 13), lambda w: F.xxhash64(w))))
+    assert got.count() == rows.count() == 18
