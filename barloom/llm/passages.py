@@ -112,14 +112,35 @@ class FMIndex:
 
 
 def removable(passages: list[bytes], docs: np.ndarray, window: int = WINDOW) -> dict[bytes, np.ndarray]:
-    """For each distinct passage: per window, the smallest document of the shard that holds it."""
+    """For each distinct passage: per window, the smallest document of the shard that holds it.
+
+    The index holds the passages that can decide anything: those of several documents, and those with a window whose
+    hash stands in the shard twice. The windows of the others are their own document's alone.
+    """
     least: dict[bytes, int] = {}
+    several: set[bytes] = set()
     for p, d in zip(passages, docs.tolist()):
-        if d < least.get(p, 1 << 63):
-            least[p] = d
+        if (known := least.setdefault(p, d)) != d:
+            several.add(p)
+            least[p] = min(known, d)
+    every, owners = list(least), np.array(list(least.values()), dtype=np.int64)
     number: dict[bytes, int] = {}
-    coded = [np.array([number.setdefault(w, len(number) + 1) for w in p.split()], dtype=np.int64) for p in least]
-    index = FMIndex(coded, np.array(list(least.values()), dtype=np.int64))
+    words = [p.split() for p in every]
+    lengths = np.array([len(w) for w in words])
+    codes = np.array([number.setdefault(w, len(number) + 1) for ws in words for w in ws], dtype=np.int64)
+    ends = np.cumsum(lengths)
+    hashes = window_hashes(codes.astype(np.uint64), window)
+    inside = np.arange(len(hashes)) + window <= np.repeat(ends, lengths)[: len(hashes)]
+    held = np.sort(hashes[inside])
+    hit = inside & np.isin(hashes, np.unique(held[1:][held[1:] == held[:-1]]))
+    total = np.concatenate([[0], np.cumsum(hit), np.full(window - 1, hit.sum())])
+    wanted = (total[ends] > total[ends - lengths]) | np.array([p in several for p in every])
+    answers = {p: np.full(n - window + 1, d, dtype=np.int64) for p, n, d, w in zip(every, lengths.tolist(), owners.tolist(), wanted.tolist()) if not w}
+    if not wanted.any():
+        return answers
+    small = np.unique(codes[np.repeat(wanted, lengths)], return_inverse=True)[1].astype(np.int64) + 1
+    coded = np.split(small, np.cumsum(lengths[wanted])[:-1])
+    index = FMIndex(coded, owners[wanted])
     views = [np.lib.stride_tricks.sliding_window_view(c, window) for c in coded]
     patterns = np.concatenate(views)
     # Windows that passages share are searched once.
@@ -129,7 +150,7 @@ def removable(passages: list[bytes], docs: np.ndarray, window: int = WINDOW) ->
     lo, hi = index.interval(patterns[first])
     owner = index.least_owner(lo, hi)[back]
     cuts = np.cumsum([len(v) for v in views])[:-1]
-    return dict(zip(least, np.split(owner, cuts)))
+    return answers | dict(zip([p for p, w in zip(every, wanted.tolist()) if w], np.split(owner, cuts)))
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:

@@ -424,6 +424,19 @@ def test_toxicity_fit_holds_no_rare_features():
     assert most < 77e6
 
 
+def test_passages_alone_stay_out_of_the_index(monkeypatch):
+    held = []
+    built = passages.FMIndex.__init__
+    monkeypatch.setattr(passages.FMIndex, "__init__", lambda self, p, d: held.append(len(p)) or built(self, p, d))
+    words = [prose(200 + i, 20).encode() for i in range(30)]
+    copied, part = words[4], words[5] + b" " + words[6]
+    least = passages.removable([*words, copied, part], np.array([*range(10, 40), 3, 50]))
+    assert held == [4] and set(least) == {*words, part}
+    assert set(least[copied].tolist()) == {3} and set(least[words[0]].tolist()) == {10}
+    assert least[part].tolist() == [15] * 8 + [50] * 12 + [16] * 8
+    assert passages.removable(words[:2], np.array([1, 2]))[words[1]].tolist() == [2] * 8
+
+
 def test_window_hashes_are_compiled(spark):
     docs = spark.createDataFrame([(1, prose(3, 30)), (2, "few words"), (3, None)], "doc_id long, text string")
     rows = templates.windows(docs, "doc_id", 13)
