@@ -50,6 +50,7 @@ SEEDS = 2  # trees of each set in the first search
 CHECKED = 64  # sets compared at once with one, before the classes are looked at again
 REMEMBERED = 2048  # sets a task keeps for the next trees
 SMALL_SIDE = 200_000  # rows of ids and keys that may be broadcast
+BATCH_ROWS = 500  # whole texts or vectors that a worker is sent at once
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -142,6 +143,11 @@ def node_id(s: np.ndarray) -> int:
     return int(mix(s, 3).sum(dtype=np.uint64).astype(np.int64))
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``settle``, with texts sent to the workers in small batches."""
+    return settle(df, BATCH_ROWS)
+
+
 def marked(docs: DataFrame) -> DataFrame:
     """``docs`` with two hashes that together tell texts apart."""
     return docs.select("doc_id", "text", F.xxhash64("text").alias("m1"), F.xxhash64(F.lit(1), "text").alias("m2"))
@@ -472,7 +478,7 @@ def contents(docs: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), packed], names=[*names, "packed"])
 
     held = sets.join(wanted, "key", "left_semi").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), *names)).alias("h"))
-    held = settle(held.select("key", *[F.col(f"h.{c}").alias(f"h_{c}") for c in names]))
+    held = settled(held.select("key", *[F.col(f"h.{c}").alias(f"h_{c}") for c in names]))
     texts = marked(docs).filter("text IS NOT NULL")
     same = F.col("doc_id").eqNullSafe(F.col("h_doc_id")) & (F.col("m1") == F.col("h_m1")) & (F.col("m2") == F.col("h_m2"))
     if held.count() <= SMALL_SIDE:
@@ -486,41 +492,41 @@ def contents(docs: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
 def linked(docs: DataFrame) -> DataFrame:
     """``doc_id, n, key, component_id`` for every row of ``doc_id, text``."""
     docs = docs.select("doc_id", "text")
-    sets = settle(sets_of(docs, frequent_shingles(docs)))
-    nodes = settle(sets.filter("vec IS NOT NULL").select("nid", "key", "n", "vec").dropDuplicates(["key"]))
+    sets = settled(sets_of(docs, frequent_shingles(docs)))
+    nodes = settled(sets.filter("vec IS NOT NULL").select("nid", "key", "n", "vec").dropDuplicates(["key"]))
     ids = sets.filter("key IS NOT NULL")
-    members = settle(in_reach(trees(docs, sets), ids.select("nid", "n", F.col("nid").alias("comp"))))
+    members = settled(in_reach(trees(docs, sets), ids.select("nid", "n", F.col("nid").alias("comp"))))
 
     def confirmed(found: DataFrame, links: DataFrame | None) -> DataFrame:
         """The found pairs that link and are not known yet."""
         pairs = found.select("a", "b").distinct()
-        pairs = settle(pairs if links is None else pairs.join(links, ["a", "b"], "left_anti"))
+        pairs = settled(pairs if links is None else pairs.join(links, ["a", "b"], "left_anti"))
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        return settle(verified(pairs, contents(docs, wanted, sets)))
+        return settled(verified(pairs, contents(docs, wanted, sets)))
 
     # First search: the blocks of some trees of each set. The blocks of a large tree are dealt anew for every tree.
     part = F.pmod(F.xxhash64("key", "tree"), F.ceil(F.col("most") / BLOCK))
     near = seeds(members).join(nodes, "nid").withColumns({"part": part, "comp": F.xxhash64("key"), "side": F.lit(0)})
-    links = confirmed(settle(search_trees(near, join=True)), None)
+    links = confirmed(settled(search_trees(near, join=True)), None)
 
     # Between components: all trees, then what met in a class that a pair joined without a link. That search has the texts.
     open_ = members
     for exact in (False, True):
         roots = components(links).withColumnRenamed("node", "key")
-        comps = settle(nodes.select("nid", "n", "key").join(roots, "key", "left").withColumn("comp", F.xxhash64(F.coalesce("root", "key"))).drop("root"))
-        left = settle(in_reach(open_, comps))
+        comps = settled(nodes.select("nid", "n", "key").join(roots, "key", "left").withColumn("comp", F.xxhash64(F.coalesce("root", "key"))).drop("root"))
+        left = settled(in_reach(open_, comps))
         if left.isEmpty():
             break
-        named = settle(left.join(comps, "nid").select("tree", "nid", "key", "comp"))
+        named = settled(left.join(comps, "nid").select("tree", "nid", "key", "comp"))
         cells = across_blocks(named.drop("nid")).join(nodes, "key")
         if exact:
-            cells = cells.join(settle(contents(docs, named.select("key").distinct(), sets)), "key")
-        found = settle(search_trees(cells, join=True))
+            cells = cells.join(settled(contents(docs, named.select("key").distinct(), sets)), "key")
+        found = settled(search_trees(cells, join=True))
         more = confirmed(found, links)
-        links = settle(links.unionByName(more))
+        links = settled(links.unionByName(more))
         if not exact:
             failed = failed_classes(found, links).join(comps, "key").select("tree", "comp").distinct()
-            open_ = left.join(settle(named.join(failed, ["tree", "comp"], "left_semi").select("tree", "nid")), ["tree", "nid"], "left_semi")
+            open_ = left.join(settled(named.join(failed, ["tree", "comp"], "left_semi").select("tree", "nid")), ["tree", "nid"], "left_semi")
     roots = components(links)
     rows = sets.select("doc_id", "n", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))

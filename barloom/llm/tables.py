@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barloom.session import settle, ship_package
 
-__all__ = ["fill", "numbered", "read", "settle", "shared_folder", "ship", "sized_broadcast", "words_of"]
+__all__ = ["fill", "give_back", "numbered", "read", "settle", "shared_folder", "ship", "sized_broadcast", "words_of"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +48,15 @@ def ship(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def give_back() -> None:
+    """Return memory that this worker has freed to the machine: workers are kept for later tasks, with what they hold."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share; a local session without one gets its own."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from barloom.llm.registry import query
-from barloom.llm.tables import fill, read, settle, ship
+from barloom.llm.tables import fill, give_back, read, settle, ship
 
 MAX_POSITIVE = 3000
 MAX_UNLABELLED = 5000
@@ -172,7 +172,11 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates().sort_values(["cls", "doc_id", "text"])
         by = {c: rows.loc[rows["cls"] == c, "text"].tolist() for c in (0, 1)}
+        del rows
         weights, bias = fit(by[1], by[0], prior)
+        del by
+        features_of.cache_clear()
+        give_back()
         return pd.DataFrame({"feature": ["", *weights], "weight": [bias, *weights.values()]})
 
     rows = texts.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(learn, "feature string, weight double").collect()
@@ -201,6 +205,8 @@ def scored(docs: DataFrame, weights: dict[str, float], bias: float) -> DataFrame
         for b in batches:
             scores = [scorer.score(t.as_py() or "") for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], names=[*b.schema.names, "score"])
+        del scorer
+        give_back()
 
     return docs.mapInArrow(run, schema)
 

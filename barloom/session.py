@@ -49,13 +49,14 @@ def short_methods(spark: SparkSession):
     return settings(spark, {"spark.sql.codegen.hugeMethodLimit": str(min(limit, 8000))})
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local
     session without that setting gets a folder of its own; anywhere else a machine-local
     folder would be lost with the machine, so that is an error. Shuffle files behind the rows go at once, not
-    when the driver happens to collect its garbage.
+    when the driver happens to collect its garbage. ``batch_rows``: at most so many rows go to a Python worker
+    at once; executor and worker both hold a batch, several times over.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
@@ -66,8 +67,12 @@ def settle(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="barloom-checkpoint-")
         sc.setCheckpointDir(folder)
+    values = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if batch_rows:
+        held = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
+        values["spark.sql.execution.arrow.maxRecordsPerBatch"] = str(min(held, batch_rows) if held > 0 else batch_rows)
     # A query takes the setting when it is made, so it is made anew here.
-    with short_methods(spark), settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+    with short_methods(spark), settings(spark, values):
         return df.select("*").checkpoint(eager=True)
 
 

@@ -443,3 +443,24 @@ def test_window_hashes_are_compiled(spark):
     assert "lambdafunction(xxhash64(slice" not in rows._jdf.queryExecution().executedPlan().toString()
     got = rows.filter(F.col("hash") == F.xxhash64(F.transform(F.slice("form", F.col("at"), 13), lambda w: F.xxhash64(w))))
     assert got.count() == rows.count() == 18
+
+
+def test_jaccard_join_sends_texts_in_small_batches(spark, monkeypatch):
+    setting, made = "spark.sql.execution.arrow.maxRecordsPerBatch", jaccard.sets_of
+    before = spark.conf.get(setting)
+    most = spark.sparkContext.accumulator(0)
+
+    def counted(docs, *rest):
+        def run(batches):
+            for b in batches:
+                if b.num_rows > jaccard.BATCH_ROWS:
+                    most.add(b.num_rows)
+                yield b
+
+        return made(docs.mapInArrow(run, docs.schema), *rest)
+
+    monkeypatch.setattr(jaccard, "sets_of", counted)
+    docs = spark.createDataFrame([(i, f"one two three four five {i % 700}") for i in range(1600)], "doc_id long, text string").coalesce(1)
+    rows = jaccard.linked(docs).select("doc_id", "component_id").collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: i % 700 for i in range(1600)}
+    assert most.value == 0 and spark.conf.get(setting) == before
