@@ -49,22 +49,23 @@ class WaveletMatrix:
     """Rank of a symbol in a prefix of a sequence, bit by bit from the top."""
 
     def __init__(self, symbols: np.ndarray, bits: int):
-        self.bits = bits
-        self.ones, self.zeros = [], []
-        s = symbols
+        self.bits, self.step = bits, len(symbols) + 1
+        # Per level: where a place goes with a bit of 0, then where with a bit of 1.
+        self.goes = []
+        s, places = symbols, np.arange(self.step, dtype=np.int32)
         for level in range(bits - 1, -1, -1):
-            b = (s >> level) & 1
-            self.ones.append(np.concatenate([[0], np.cumsum(b, dtype=np.int32)]).astype(np.int32))
-            self.zeros.append(len(s) - int(b.sum()))
-            s = np.concatenate([s[b == 0], s[b == 1]])
+            b = ((s >> level) & 1).astype(bool)
+            ones = np.zeros(self.step, dtype=np.int32)
+            np.cumsum(b, dtype=np.int32, out=ones[1:])
+            self.goes.append(np.concatenate([places - ones, ones + (len(s) - ones[-1])]))
+            s = np.concatenate([s[~b], s[b]])
         # Where each symbol's own block begins after the last level.
-        every = np.arange(1 << bits)
+        every = np.arange(1 << bits, dtype=np.int32)
         self.begin = self._down(every, np.zeros(len(every), dtype=np.int32))
 
     def _down(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        for k in range(self.bits):
-            one = self.ones[k][at]
-            at = np.where((symbol >> (self.bits - 1 - k)) & 1, self.zeros[k] + one, at - one)
+        for k, goes in enumerate(self.goes):
+            at = goes[at + ((symbol >> (self.bits - 1 - k)) & 1) * self.step]
         return at
 
     def rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -72,7 +73,12 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """Index of passages (lists of word numbers from 1) for patterns of up to 16 words."""
+    """Index of passages (lists of word numbers from 1) for patterns of up to 16 words.
+
+    A backward search begins with the interval of the pattern's last ``KNOWN`` words, kept by their places in the text.
+    """
+
+    KNOWN = 8
 
     def __init__(self, passages: list[np.ndarray], docs: np.ndarray):
         zero = np.zeros(1, dtype=np.int64)
@@ -85,21 +91,29 @@ class FMIndex:
             # A separator ends its suffix: what follows it does not count.
             rank = np.unique(rank * (int(rank.max()) + 2) + ahead, return_inverse=True)[1].astype(np.int64) + 1
             width *= 2
+            if width == self.KNOWN:
+                known = rank
         suffixes = np.argsort(rank, kind="stable")
         self.owner = owner[suffixes]
         last = text[suffixes - 1]
         top = int(text.max()) + 1
-        self.less = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=top))]).astype(np.int64)
+        self.less = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=top))]).astype(np.int32)
+        # Suffixes with the same first words stand together, in the order of their ranks.
+        self.known, self.bounds = known, np.concatenate([[0], np.cumsum(np.bincount(known))]).astype(np.int32)
         self.tree = WaveletMatrix(last.astype(np.int32), max(1, int(top).bit_length()))
 
-    def interval(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Backward search of all rows of ``patterns`` at once."""
-        lo = np.zeros(len(patterns), dtype=np.int64)
-        hi = np.full(len(patterns), len(self.owner), dtype=np.int64)
+    def interval(self, patterns: np.ndarray, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Backward search of all rows of ``patterns`` at once; ``at``: a place of each in the text, if it has one."""
+        patterns, count = patterns.astype(np.int32), len(patterns)
+        ends = np.repeat(np.array([[0], [len(self.owner)]], dtype=np.int32), count, axis=1).ravel()
+        if at is not None and patterns.shape[1] >= self.KNOWN:
+            last = self.known[at + patterns.shape[1] - self.KNOWN]
+            ends = np.concatenate([self.bounds[last], self.bounds[last + 1]])
+            patterns = patterns[:, : -self.KNOWN]
         for c in patterns.T[::-1]:
-            lo = self.less[c] + self.tree.rank(c, lo)
-            hi = self.less[c] + self.tree.rank(c, hi)
-        return lo, hi
+            both = np.concatenate([c, c])
+            ends = self.less[both] + self.tree.rank(both, ends)
+        return ends[:count].astype(np.int64), ends[count:].astype(np.int64)
 
     def least_owner(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """Smallest document in each interval; intervals of one pattern length are equal or apart."""
@@ -141,15 +155,18 @@ def removable(passages: list[bytes], docs: np.ndarray, window: int = WINDOW) ->
     small = np.unique(codes[np.repeat(wanted, lengths)], return_inverse=True)[1].astype(np.int64) + 1
     coded = np.split(small, np.cumsum(lengths[wanted])[:-1])
     index = FMIndex(coded, owners[wanted])
-    views = [np.lib.stride_tricks.sliding_window_view(c, window) for c in coded]
-    patterns = np.concatenate(views)
+    sizes = lengths[wanted]
+    inside = np.flatnonzero(np.arange(len(small)) + window <= np.repeat(np.cumsum(sizes), sizes))
+    patterns = np.lib.stride_tricks.sliding_window_view(small, window)[inside]
     # Windows that passages share are searched once.
-    _, first, back = np.unique((patterns.astype(np.uint64) * PLACES[:window]).sum(axis=1, dtype=np.uint64), return_index=True, return_inverse=True)
+    _, first, back = np.unique(window_hashes(small.astype(np.uint64), window)[inside], return_index=True, return_inverse=True)
     if not (patterns[first][back] == patterns).all():
         first = back = np.arange(len(patterns))
-    lo, hi = index.interval(patterns[first])
+    # In the index's text a separator follows every passage.
+    at = inside + np.repeat(np.arange(len(sizes)), sizes)[inside]
+    lo, hi = index.interval(patterns[first], at[first])
     owner = index.least_owner(lo, hi)[back]
-    cuts = np.cumsum([len(v) for v in views])[:-1]
+    cuts = np.cumsum(sizes - window + 1)[:-1]
     return answers | dict(zip([p for p, w in zip(every, wanted.tolist()) if w], np.split(owner, cuts)))
 
 
@@ -217,19 +234,25 @@ def passages_of(texts: DataFrame, frequent: np.ndarray, hot_only: bool, window:
             rows: list[tuple] = []
             tokens = b.column("tokens")
             for i, (doc, packed) in enumerate(zip(b.column("doc_id").to_pylist(), b.column("packed").to_pylist())):
+                shared = tokens[i].values.to_numpy()
+                if hot_only and not salts(shared, np.full(len(shared), doc), frequent).any():
+                    continue
                 text = unpack.decompress(packed)
                 a = anchors(word_hashes(text), window)
                 if not len(a):
                     continue
-                follow = np.isin(a, tokens[i].values.to_numpy())
+                follow = np.isin(a, shared)
                 salt = salts(a, np.full(len(a), doc), frequent)
                 if hot_only:
                     follow &= salt > 0
                 edge = np.flatnonzero(np.diff(a, prepend=a[0] + 1, append=a[-1] + 1))
+                begin, end = edge[:-1], edge[1:]
+                begin, end = begin[follow[begin]], end[follow[begin]]
+                if not len(begin):
+                    continue
                 words, key = text.split(), text_key(text)
-                for s, e in zip(edge[:-1].tolist(), edge[1:].tolist()):
-                    if follow[s]:
-                        rows.append((int(a[s]), int(salt[s]), doc, key, s, b" ".join(words[s : e + window - 1])))
+                for t, salted, s, e in zip(a[begin].tolist(), salt[begin].tolist(), begin.tolist(), end.tolist()):
+                    rows.append((t, salted, doc, key, s, b" ".join(words[s : e + window - 1])))
                 if len(rows) > 20_000:
                     yield batch(rows)
                     rows = []
@@ -287,18 +310,20 @@ def repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         words, doc = table["words"].to_pylist(), table["doc_id"].to_numpy()
         at, key = table["at"].to_numpy(), table["text_key"].to_numpy()
         least = removable(words, doc, window)
-        out: list[tuple] = []
-        for i, w in enumerate(words):
-            if at[i] < 0:
-                continue
-            over = np.flatnonzero(least[w] < doc[i])
-            if len(over):
-                # Consecutive windows make one interval.
-                cuts = np.flatnonzero(np.diff(over) > 1)
-                first, last = over[np.append(0, cuts + 1)], over[np.append(cuts, len(over) - 1)]
-                out += [(int(doc[i]), int(key[i]), int(at[i] + s), int(at[i] + e + window)) for s, e in zip(first, last)]
-        kinds = {"doc_id": pa.int64(), "text_key": pa.int64(), "start": pa.int32(), "end": pa.int32()}
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds.values())], names=list(kinds))
+        live = np.flatnonzero(at >= 0)
+        doc, at, key = doc[live], at[live], key[live]
+        owners = [least[words[i]] for i in live.tolist()]
+        sizes = np.array([len(x) for x in owners], dtype=np.int64)
+        row = np.repeat(np.arange(len(owners)), sizes)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        over = np.flatnonzero(np.concatenate([np.empty(0, np.int64), *owners]) < doc[row])
+        # Consecutive windows of a passage make one interval.
+        new = np.ones(len(over), dtype=bool)
+        new[1:] = (np.diff(over) > 1) | (np.diff(row[over]) != 0)
+        first, last = over[new], over[np.append(new[1:], True)[: len(over)]]
+        of = row[first]
+        columns = {"doc_id": doc[of], "text_key": key[of], "start": (at[of] + place[first]).astype(np.int32), "end": (at[of] + place[last] + window).astype(np.int32)}
+        return pa.RecordBatch.from_pydict({c: pa.array(x) for c, x in columns.items()})
 
     shards = found.repartition("token", "salt").sortWithinPartitions("token", "salt")
     spans = shards.mapInArrow(run, "doc_id long, text_key long, start int, end int")

@@ -464,3 +464,23 @@ def test_jaccard_join_sends_texts_in_small_batches(spark, monkeypatch):
     rows = jaccard.linked(docs).select("doc_id", "component_id").collect()
     assert {r["doc_id"]: r["component_id"] for r in rows} == {i: i % 700 for i in range(1600)}
     assert most.value == 0 and spark.conf.get(setting) == before
+
+
+def test_passage_search_begins_with_known_words(monkeypatch):
+    steps = []
+    down = passages.WaveletMatrix._down
+    monkeypatch.setattr(passages.WaveletMatrix, "_down", lambda self, s, at: steps.append(len(at)) or down(self, s, at))
+    words = [prose(700 + i, 30).encode().split() for i in range(6)]
+    held = [b" ".join(w) for w in (*words, words[2][5:20], words[2][3:] + words[4][:9], words[5] + words[5])]
+    docs = np.array([9, 8, 7, 6, 5, 4, 3, 2, 1])
+    least = passages.removable(held, docs)
+    windows = defaultdict(lambda: 99)
+    for p, d in zip(held, docs.tolist()):
+        w = p.split()
+        for i in range(len(w) - 12):
+            windows[tuple(w[i : i + 13])] = min(windows[tuple(w[i : i + 13])], d)
+    for p in held:
+        w = p.split()
+        assert least[p].tolist() == [windows[tuple(w[i : i + 13])] for i in range(len(w) - 12)]
+    # One call as the index is made; then a step for both bounds of five words, not two for each of thirteen.
+    assert len(steps) == 1 + passages.WINDOW - passages.FMIndex.KNOWN
