@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -93,7 +94,7 @@ class FMIndex:
             width *= 2
             if width == self.KNOWN:
                 known = rank
-        suffixes = np.argsort(rank, kind="stable")
+        suffixes = np.argsort(rank)  # any order of equal ones: a pattern is no longer than what they share
         self.owner = owner[suffixes]
         last = text[suffixes - 1]
         top = int(text.max()) + 1
@@ -104,8 +105,8 @@ class FMIndex:
 
     def interval(self, patterns: np.ndarray, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Backward search of all rows of ``patterns`` at once; ``at``: a place of each in the text, if it has one."""
-        patterns, count = patterns.astype(np.int32), len(patterns)
-        ends = np.repeat(np.array([[0], [len(self.owner)]], dtype=np.int32), count, axis=1).ravel()
+        patterns, n = patterns.astype(np.int32, copy=False), len(patterns)
+        ends = np.repeat(np.array([0, len(self.owner)], dtype=np.int32), n)
         if at is not None and patterns.shape[1] >= self.KNOWN:
             last = self.known[at + patterns.shape[1] - self.KNOWN]
             ends = np.concatenate([self.bounds[last], self.bounds[last + 1]])
@@ -113,7 +114,7 @@ class FMIndex:
         for c in patterns.T[::-1]:
             both = np.concatenate([c, c])
             ends = self.less[both] + self.tree.rank(both, ends)
-        return ends[:count].astype(np.int64), ends[count:].astype(np.int64)
+        return ends[:n].astype(np.int64), ends[n:].astype(np.int64)
 
     def least_owner(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """Smallest document in each interval; intervals of one pattern length are equal or apart."""
@@ -138,28 +139,35 @@ def removable(passages: list[bytes], docs: np.ndarray, window: int = WINDOW) ->
             several.add(p)
             least[p] = min(known, d)
     every, owners = list(least), np.array(list(least.values()), dtype=np.int64)
-    number: dict[bytes, int] = {}
     words = [p.split() for p in every]
     lengths = np.array([len(w) for w in words])
-    codes = np.array([number.setdefault(w, len(number) + 1) for ws in words for w in ws], dtype=np.int64)
+    flat = list(chain.from_iterable(words))
+    number = dict(zip(dict.fromkeys(flat), count(1)))
+    codes = np.fromiter(map(number.__getitem__, flat), dtype=np.int64, count=len(flat))
     ends = np.cumsum(lengths)
     hashes = window_hashes(codes.astype(np.uint64), window)
     inside = np.arange(len(hashes)) + window <= np.repeat(ends, lengths)[: len(hashes)]
-    held = np.sort(hashes[inside])
-    hit = inside & np.isin(hashes, np.unique(held[1:][held[1:] == held[:-1]]))
+    _, same, times = np.unique(hashes[inside], return_inverse=True, return_counts=True)
+    hit = inside.copy()
+    hit[inside] = times[same] > 1
     total = np.concatenate([[0], np.cumsum(hit), np.full(window - 1, hit.sum())])
     wanted = (total[ends] > total[ends - lengths]) | np.array([p in several for p in every])
     answers = {p: np.full(n - window + 1, d, dtype=np.int64) for p, n, d, w in zip(every, lengths.tolist(), owners.tolist(), wanted.tolist()) if not w}
     if not wanted.any():
         return answers
-    small = np.unique(codes[np.repeat(wanted, lengths)], return_inverse=True)[1].astype(np.int64) + 1
+    kept = codes[np.repeat(wanted, lengths)]
+    present = np.zeros(len(number) + 1, dtype=np.int64)
+    present[kept] = 1
+    small = np.cumsum(present)[kept]
     coded = np.split(small, np.cumsum(lengths[wanted])[:-1])
     index = FMIndex(coded, owners[wanted])
     sizes = lengths[wanted]
     inside = np.flatnonzero(np.arange(len(small)) + window <= np.repeat(np.cumsum(sizes), sizes))
-    patterns = np.lib.stride_tricks.sliding_window_view(small, window)[inside]
+    patterns = np.lib.stride_tricks.sliding_window_view(small.astype(np.int32), window)[inside]
     # Windows that passages share are searched once.
-    _, first, back = np.unique(window_hashes(small.astype(np.uint64), window)[inside], return_index=True, return_inverse=True)
+    different, back = np.unique(window_hashes(small.astype(np.uint64), window)[inside], return_inverse=True)
+    first = np.empty(len(different), dtype=np.int64)
+    first[back] = np.arange(len(back))
     if not (patterns[first][back] == patterns).all():
         first = back = np.arange(len(patterns))
     # In the index's text a separator follows every passage.
@@ -241,17 +249,17 @@ def passages_of(texts: DataFrame, frequent: np.ndarray, hot_only: bool, window:
                 a = anchors(word_hashes(text), window)
                 if not len(a):
                     continue
-                follow = np.isin(a, shared)
-                salt = salts(a, np.full(len(a), doc), frequent)
-                if hot_only:
-                    follow &= salt > 0
                 edge = np.flatnonzero(np.diff(a, prepend=a[0] + 1, append=a[-1] + 1))
                 begin, end = edge[:-1], edge[1:]
-                begin, end = begin[follow[begin]], end[follow[begin]]
+                follow = np.isin(a[begin], shared)
+                begin, end = begin[follow], end[follow]
+                salt = salts(a[begin], np.full(len(begin), doc), frequent)
+                if hot_only:
+                    begin, end, salt = begin[salt > 0], end[salt > 0], salt[salt > 0]
                 if not len(begin):
                     continue
                 words, key = text.split(), text_key(text)
-                for t, salted, s, e in zip(a[begin].tolist(), salt[begin].tolist(), begin.tolist(), end.tolist()):
+                for t, salted, s, e in zip(a[begin].tolist(), salt.tolist(), begin.tolist(), end.tolist()):
                     rows.append((t, salted, doc, key, s, b" ".join(words[s : e + window - 1])))
                 if len(rows) > 20_000:
                     yield batch(rows)
