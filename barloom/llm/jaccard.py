@@ -32,7 +32,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from barloom.llm.graph import components
+from barloom.llm.graph import components, merged
 from barloom.llm.hashing import PLACES, mix, window_hashes, word_hashes
 from barloom.llm.registry import query
 from barloom.llm.tables import fill, read, settle, ship
@@ -225,11 +225,12 @@ def in_reach(members: DataFrame, nodes: DataFrame) -> DataFrame:
     the same band or the next.
     """
     band = F.floor(F.log("n") / F.log(F.lit(1.005 * 100 / PERCENT)))
-    rows = members.select("tree", "nid").join(nodes.select("nid", "comp", band.alias("band")).distinct(), "nid")
+    placed = nodes.select("nid", "comp", band.alias("band")).repartition("nid").distinct()  # dealt out as the join needs it
+    rows = members.select("tree", "nid").join(placed, "nid")
     held = rows.groupBy("tree", "band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     near = held.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     near = near.groupBy("tree", "band").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("tree", "band")
-    rows = rows.join(near, ["tree", "band"], "left_semi").select("tree", "nid")
+    rows = rows.join(near, ["tree", "band"], "left_semi").select("tree", "nid").repartition("tree")  # once for both that follow
     lists = rows.groupBy("tree").agg(
         F.count("*").alias("most"),
         F.bit_xor(F.xxhash64(F.lit(2), "nid")).alias("s"),
@@ -494,40 +495,39 @@ def linked(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sets = settled(sets_of(docs, frequent_shingles(docs)))
     nodes = settled(sets.filter("vec IS NOT NULL").select("nid", "key", "n", "vec").dropDuplicates(["key"]))
-    ids = sets.filter("key IS NOT NULL")
-    members = settled(in_reach(trees(docs, sets), ids.select("nid", "n", F.col("nid").alias("comp"))))
+    members = settled(in_reach(trees(docs, sets), nodes.select("nid", "n", F.col("nid").alias("comp"))))
 
-    def confirmed(found: DataFrame, links: DataFrame | None) -> DataFrame:
-        """The found pairs that link and are not known yet."""
-        pairs = found.select("a", "b").distinct()
-        pairs = settled(pairs if links is None else pairs.join(links, ["a", "b"], "left_anti"))
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """The pairs that link."""
+        pairs = settled(pairs)
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
         return settled(verified(pairs, contents(docs, wanted, sets)))
 
     # First search: the blocks of some trees of each set. The blocks of a large tree are dealt anew for every tree.
     part = F.pmod(F.xxhash64("key", "tree"), F.ceil(F.col("most") / BLOCK))
     near = seeds(members).join(nodes, "nid").withColumns({"part": part, "comp": F.xxhash64("key"), "side": F.lit(0)})
-    links = confirmed(settled(search_trees(near, join=True)), None)
+    links = confirmed(search_trees(near, join=True).select("a", "b").distinct())
+    roots = components(links, roots=False)
 
     # Between components: all trees, then what met in a class that a pair joined without a link. That search has the texts.
     open_ = members
     for exact in (False, True):
-        roots = components(links).withColumnRenamed("node", "key")
-        comps = settled(nodes.select("nid", "n", "key").join(roots, "key", "left").withColumn("comp", F.xxhash64(F.coalesce("root", "key"))).drop("root"))
+        to = roots.select(F.col("node").alias("key"), "root")
+        comps = settled(nodes.select("nid", "n", "key").join(to, "key", "left").withColumn("comp", F.xxhash64(F.coalesce("root", "key"))).drop("root"))
         left = settled(in_reach(open_, comps))
         if left.isEmpty():
             break
         named = settled(left.join(comps, "nid").select("tree", "nid", "key", "comp"))
         cells = across_blocks(named.drop("nid")).join(nodes, "key")
-        if exact:
+        if exact:  # what it finds links
             cells = cells.join(settled(contents(docs, named.select("key").distinct(), sets)), "key")
-        found = settled(search_trees(cells, join=True))
-        more = confirmed(found, links)
-        links = settled(links.unionByName(more))
-        if not exact:
-            failed = failed_classes(found, links).join(comps, "key").select("tree", "comp").distinct()
-            open_ = left.join(settled(named.join(failed, ["tree", "comp"], "left_semi").select("tree", "nid")), ["tree", "nid"], "left_semi")
-    roots = components(links)
+            more = settled(search_trees(cells, join=True).select("a", "b"))
+        else:
+            found = settled(search_trees(cells, join=True))
+            more = confirmed(found.select("a", "b").distinct().join(links, ["a", "b"], "left_anti"))
+            failed = failed_classes(found, links.unionByName(more)).join(comps, "key").select("tree", "comp").distinct()
+            open_ = settled(named.join(failed, ["tree", "comp"], "left_semi").select("tree", "nid"))
+        roots = settled(merged(roots, more))
     rows = sets.select("doc_id", "n", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rows.join(least, "root", "left").select("doc_id", "n", "key", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -161,6 +161,18 @@ def test_jaccard_searches_give_joins_not_pairs(spark, monkeypatch):
         assert most is None or most < 80
 
 
+def test_jaccard_last_search_is_not_verified_again(spark, monkeypatch):
+    """What the search with texts gives links; only the two searches before it are verified, and the last one's links count."""
+    monkeypatch.setattr(jaccard, "counts", lambda s: COUNTS(np.zeros(len(s), dtype=np.uint64)))
+    verified, calls = jaccard.verified, []
+    monkeypatch.setattr(jaccard, "verified", lambda *a: calls.append(1) or verified(*a))
+    base = prose(29, 100).split()
+    rows = [(100 * g + i, " ".join([*base[:50], f"own{i}", *(w + "x" * g for w in base[51:])]), "a") for g in range(3) for i in range(20)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.linked(documents(spark, rows)).collect()}
+    assert got == brute_components(rows) and set(got.values()) == {0, 100, 200}
+    assert len(calls) == 2
+
+
 def test_jaccard_linking_sets():
     sets = [np.arange(k, k + n, dtype=np.uint64) for k, n in [(0, 80), (5, 80), (12, 80), (0, 60), (200, 3)]]
     want = [100 * len(np.intersect1d(sets[0], x)) >= 75 * len(np.union1d(sets[0], x)) for x in sets]
@@ -211,6 +223,27 @@ def test_components_of_a_chain(spark):
     assert all(got[i] == 0 for i in range(41)) and got[101] == 100
 
 
+def test_components_shuffle_three_times_a_round(spark, monkeypatch):
+    """Random edges, some of them twice: roots as by hand, without many shuffles; later edges merge into what was found."""
+    settle, plans = graph.settle, []
+    monkeypatch.setattr(graph, "settle", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or settle(df))
+    pick = np.random.default_rng(31)
+    edges = [tuple(map(int, e)) for e in pick.integers(0, 300, (220, 2))]
+    edges += [(300, i) for i in range(301, 360)] + edges[:20]
+    want = {x: x for e in edges for x in e}
+    for a, b in edges:
+        low, high = sorted((want[a], want[b]))
+        want = {k: low if r == high else r for k, r in want.items()}
+    met = {x for a, b in edges if a != b for x in (a, b)}
+    made = lambda e: spark.createDataFrame(e, "a long, b long")
+    got = {r["node"]: r["root"] for r in graph.components(made(edges)).collect()}
+    assert got == {x: want[x] for x in met}
+    assert all(p.count("Exchange hashpartitioning") <= 3 for p in plans)
+    found = graph.merged(graph.components(made(edges[:150]), roots=False), made(edges[150:])).collect()
+    assert len(found) == len({r["node"] for r in found})
+    assert {r["node"]: r["root"] for r in found} == {x: want[x] for x in met if want[x] != x}
+
+
 def test_word_hashes_follow_words():
     text = "Ab  cd\tab\x0bcd é Ab".encode()
     h = hashing.word_hashes(text)
