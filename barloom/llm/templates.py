@@ -17,11 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.llm.registry import query
-from barloom.llm.tables import SPACE, fill, read, settle, sized_broadcast
+from barloom.llm.tables import SPACE, fill, read, settle
 
 WINDOW = 13
 MIN_LITERALS = 7
-MAX_BROADCAST_WINDOWS = 1_000_000  # 24 bytes each
+MAX_BROADCAST_HASHES = 1_000_000  # up to 90 bytes each, as Spark holds them
+MAX_BROADCAST_BYTES = 16 << 20  # of item windows with their words
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"  # private-use characters
 # Units that may follow a number.
 UNITS = (
@@ -85,11 +86,29 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_literals:
     A passage is a stretch of words that matching windows cover without a gap, at one distance of document and item
     positions. Its slots must be one to one; a pair is consistent if any passage is. ``n_slots`` counts over all passages.
 
-    The windows of the items are broadcast while their number allows; past that, both sides are
-    shuffled by hash. Document windows are never gathered by document before the join. Documents are cut into
-    windows once per window length and kind that the items need, at most twice ``window`` times.
+    Only the hashes of the items' windows are broadcast, and the windows themselves while they are small. Document windows
+    lose their text before any shuffle and are never gathered by document before the join. Documents are cut into windows
+    once per window length and kind that the items need, at most twice ``window`` times, and once more for every
+    ``MAX_BROADCAST_HASHES`` hashes past the first.
     """
     items = settle(searched(items, window, min_literals))
+    found = leaked(docs, texts_of(items), window, min_literals)
+    return found.join(alike_items(items), "texts").select("doc_id", "text_key", "item_id", "n_windows", "n_slots", "consistent")
+
+
+def alike_items(items: DataFrame) -> DataFrame:
+    """``item_id, texts``: items of the same texts share ``texts`` and are searched once."""
+    return items.groupBy("item_id").agg(F.xxhash64(F.array_sort(F.collect_set(F.xxhash64("text")))).alias("texts"))
+
+
+def texts_of(items: DataFrame) -> DataFrame:
+    """``texts, text, width, exact``: what is searched."""
+    ids = alike_items(items).select(F.col("item_id").alias("_id"), "texts")
+    return settle(items.join(ids, F.col("item_id").eqNullSafe(F.col("_id"))).select("texts", "text", "width", "exact").distinct())
+
+
+def leaked(docs: DataFrame, items: DataFrame, window: int, min_literals: int) -> DataFrame:
+    """``doc_id, text_key, texts, n_windows, n_slots, consistent`` for pairs that share a template window."""
     kinds = {(window, False)} | {(r["width"], r["exact"]) for r in items.select("width", "exact").distinct().collect()}
     found = None
     for width, exact in sorted(kinds):
@@ -128,29 +147,50 @@ def begun(form: Column, values: Column, width: int) -> Column:
 
 
 def matches(docs: DataFrame, items: DataFrame, width: int, exact: bool, min_literals: int) -> DataFrame:
-    """``doc_id, text_key, item_id, apart, hit`` for each window of ``width`` words that a document and an item share."""
+    """``doc_id, text_key, texts, apart, hit`` for each window of ``width`` words that a document and an item share."""
     cut = lambda c: F.slice(c, F.col("at"), width)
     literal = F.size(F.filter(cut("form"), lambda w: ~is_slot(w)))
     values = F.slice(split_words(plain(fill("text"))), F.col("at"), width)  # after the join: only where a window matched
-    known = windows(items, "item_id", width, exact)
+    known = windows(items, "texts", width, exact)
     if exact:
         known = known.withColumn("w", F.struct(cut("form").alias("form"), values_of(cut("form"), values).alias("values"), F.lit(None).cast("string").alias("first")))
     else:
         known = known.filter(literal >= min_literals).withColumn("w", F.explode(begun(cut("form"), values, width)))
         known = known.withColumn("hash", F.xxhash64(F.transform("w.form", lambda w: F.xxhash64(w))))
-    known = known.select("hash", "item_id", F.col("at").alias("item_at"), F.col("w.form").alias("item_form"), F.col("w.values").alias("item_values"), "w.first")
-    known = sized_broadcast(settle(known.distinct()), MAX_BROADCAST_WINDOWS)
+    known = known.select("hash", "texts", F.col("at").alias("item_at"), F.col("w.form").alias("item_form"), F.col("w.values").alias("item_values"), "w.first")
+    known = settle(known.distinct())
     keyed = docs.select(F.struct("doc_id", F.xxhash64(fill("text")).alias("text_key")).alias("key"), "text")
-    seen = windows(keyed, "key", width, exact).join(known, "hash").filter(cut("form") == F.col("item_form"))
-    seen = seen.filter(F.col("first").isNull() | (F.lower(F.get(values, 0)) == F.col("first")))
-    both = F.zip_with("item_values", values_of(cut("form"), values), lambda i, d: F.struct(i.alias("item"), d.alias("doc")))
+    seen = None
+    for part in in_parts(known.select("hash").distinct()):
+        held = windows(keyed, "key", width, exact).join(F.broadcast(part), "hash", "left_semi")
+        held = held.select("hash", "key", "at", cut("form").alias("form"), values.alias("values"))
+        seen = held if seen is None else seen.unionByName(held)
+    seen = seen.join(F.broadcast(known) if words_bytes(known) <= MAX_BROADCAST_BYTES else known, "hash").filter(F.col("form") == F.col("item_form"))
+    seen = seen.filter(F.col("first").isNull() | (F.lower(F.get("values", 0)) == F.col("first")))
+    both = F.zip_with("item_values", values_of(F.col("form"), F.col("values")), lambda i, d: F.struct(i.alias("item"), d.alias("doc")))
     hit = F.struct("at", F.filter(both, lambda s: s["item"].isNotNull()).alias("s"))
-    return seen.select("key.*", "item_id", (F.col("at") - F.col("item_at")).alias("apart"), hit.alias("hit"))
+    return seen.select("key.*", "texts", (F.col("at") - F.col("item_at")).alias("apart"), hit.alias("hit"))
+
+
+def in_parts(hashes: DataFrame) -> list[DataFrame]:
+    """``hashes`` in parts of about ``MAX_BROADCAST_HASHES`` rows."""
+    n = -(-hashes.count() // MAX_BROADCAST_HASHES)
+    if n < 2:
+        return [hashes]
+    # Written with its part: a filter on the hash itself would be asked of each document window too.
+    dealt = settle(hashes.withColumn("part", F.pmod(F.xxhash64("hash"), F.lit(n))))
+    return [dealt.filter(F.col("part") == k).select("hash") for k in range(n)]
+
+
+def words_bytes(known: DataFrame) -> int:
+    """About what the item windows take: their words, 16 bytes a word beside it, and the rest of the row."""
+    each = F.octet_length(F.concat_ws("", "item_form", "item_values")) + 16 * (F.size("item_form") + F.size("item_values")) + 100
+    return known.agg(F.sum(each.cast("long"))).first()[0] or 0
 
 
 def judged(hits: DataFrame) -> DataFrame:
-    """The pairs of ``doc_id, text_key, item_id, apart, hit, width`` rows, each decided by its passages."""
-    lines = hits.groupBy("doc_id", "text_key", "item_id", "width", "apart").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("hit")).alias("w"))
+    """The pairs of ``doc_id, text_key, texts, apart, hit, width`` rows, each decided by its passages."""
+    lines = hits.groupBy("doc_id", "text_key", "texts", "width", "apart").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("hit")).alias("w"))
     begins = lambda i: (i == 0) | (F.get("w", i)["at"] - F.get("w", i - 1)["at"] > F.col("width"))
     lines = lines.withColumn("cuts", F.filter(F.sequence(F.lit(0), F.size("w") - 1), begins))
     slots = lambda hits: F.array_distinct(F.flatten(F.transform(hits, lambda h: h["s"])))
@@ -158,18 +198,19 @@ def judged(hits: DataFrame) -> DataFrame:
     lines = lines.withColumn("passages", F.transform("cuts", passage))
     of = lambda s, name: F.size(F.array_distinct(F.transform(s, lambda x: x[name])))
     same = F.exists("passages", lambda s: (of(s, "item") == F.size(s)) & (of(s, "doc") == F.size(s)))
-    lines = lines.select("doc_id", "text_key", "item_id", "n", slots("w").alias("s"), same.alias("same"))
-    found = lines.groupBy("doc_id", "text_key", "item_id").agg(
+    lines = lines.select("doc_id", "text_key", "texts", "n", slots("w").alias("s"), same.alias("same"))
+    found = lines.groupBy("doc_id", "text_key", "texts").agg(
         F.sum("n").alias("n_windows"),
         F.size(F.array_distinct(F.flatten(F.collect_set("s")))).cast("long").alias("n_slots"),
         F.max("same").alias("consistent"),
     )
-    return found.select("doc_id", "text_key", "item_id", "n_windows", "n_slots", "consistent")
+    return found.select("doc_id", "text_key", "texts", "n_windows", "n_slots", "consistent")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without those that leak an item."""
-    found = leaks(docs, items, window).filter("consistent").select(F.col("doc_id").alias("_id"), "text_key").distinct()
+    found = leaked(docs, texts_of(settle(searched(items, window, MIN_LITERALS))), window, MIN_LITERALS)
+    found = found.filter("consistent").select(F.col("doc_id").alias("_id"), "text_key").distinct()
     keyed = docs.withColumn("_key", F.xxhash64(fill("text")))
     same = (F.col("_key") == F.col("text_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     return keyed.join(settle(found), same, "left_anti").select(*docs.columns)

@@ -517,3 +517,57 @@ def test_passage_search_begins_with_known_words(monkeypatch):
         assert least[p].tolist() == [windows[tuple(w[i : i + 13])] for i in range(len(w) - 12)]
     # One call as the index is made; then a step for both bounds of five words, not two for each of thirteen.
     assert len(steps) == 1 + passages.WINDOW - passages.FMIndex.KNOWN
+
+
+def template_cases(spark):
+    """Documents and 40 items of their own words; item 41 has the words of item 1, and two rows lack an id."""
+    letters = str.maketrans("0123456789", "abcdefghij")
+    texts = {i: f"{prose(900 + i, 24).translate(letters)} holds {i + 3} kg and {2 * i + 50} km of it" for i in range(1, 41)}
+    items = [*texts.items(), (41, texts[1]), (None, texts[2]), (None, texts[3]), (5, texts[6]), (7, texts[7])]
+    docs = [(i, f"{prose(i, 30)} , {t} , {texts[1 + i % 40]}", "a") for i, t in texts.items()] + [(99, texts[4].replace("54", "77"), "a"), (99, texts[4], "a"), (None, None, "a")]
+    docs += [docs[3]] * 2
+    return documents(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+
+
+def broadcast_columns(frame) -> list[str]:
+    """The columns of each broadcast side in the plan of ``frame``."""
+    stack, sides = [frame._jdf.queryExecution().optimizedPlan()], []
+    while stack:
+        node = stack.pop()
+        stack += [node.children().apply(k) for k in range(node.children().size())]
+        if node.nodeName() == "Join" and "strategy=broadcast" in node.verboseStringWithSuffix(99):
+            sides.append(node.children().apply(1).schema().fieldNames())
+    return [",".join(s) for s in sides]
+
+
+def test_template_leaks_broadcast_hashes_alone(spark, monkeypatch):
+    """Large tables of item windows stay out of the memory of every executor; only their hashes go there, part by part."""
+    docs, items = template_cases(spark)
+    columns = ["doc_id", "text_key", "item_id", "n_windows", "n_slots", "consistent"]
+    want = sorted(map(str, templates.leaks(docs, items).select(*columns).collect()))
+    monkeypatch.setattr(templates, "MAX_BROADCAST_BYTES", 0, raising=False)
+    monkeypatch.setattr(templates, "MAX_BROADCAST_HASHES", 200, raising=False)
+    got = templates.leaks(docs, items)
+    sides = broadcast_columns(got)
+    assert len(sides) > 1 and set(sides) == {"hash"}
+    assert sorted(map(str, got.select(*columns).collect())) == want
+    assert [r["doc_id"] for r in templates.decontaminated(docs, items).collect()] == [None]
+
+
+def test_template_leaks_search_equal_items_once(spark, monkeypatch):
+    """Items of the same texts have the same pairs; their windows are held once."""
+    docs, items = template_cases(spark)
+    got = {(r["doc_id"], r["text_key"], r["item_id"]): tuple(r)[3:] for r in templates.leaks(docs, items).collect()}
+    alone = {}
+    for i in (5, None):
+        own = items.filter(F.col("item_id").eqNullSafe(F.lit(i).cast("long")))
+        alone |= {(r["doc_id"], r["text_key"], r["item_id"]): tuple(r)[3:] for r in templates.leaks(docs, own).collect()}
+    assert {k: v for k, v in got.items() if k[2] in (5, None)} == alone
+    assert {(d, t): v for (d, t, i), v in got.items() if i == 1} == {(d, t): v for (d, t, i), v in got.items() if i == 41}
+    assert {d for d, _, i in got if i is None} >= {2, 3} and {d for d, _, i in got if i == 5} >= {5, 6}
+    held = []
+    cut = templates.windows
+    monkeypatch.setattr(templates, "windows", lambda texts, key, *rest, **more: held.append((key, texts)) or cut(texts, key, *rest, **more))
+    many = spark.createDataFrame([(100 + k, items.first()["text"]) for k in range(30)], "item_id long, text string")
+    assert templates.leaks(docs, many).filter("consistent").select("item_id").distinct().count() == 30
+    assert [texts.count() for key, texts in held if key != "key"] == [1]
