@@ -571,3 +571,18 @@ def test_template_leaks_search_equal_items_once(spark, monkeypatch):
     many = spark.createDataFrame([(100 + k, items.first()["text"]) for k in range(30)], "item_id long, text string")
     assert templates.leaks(docs, many).filter("consistent").select("item_id").distinct().count() == 30
     assert [texts.count() for key, texts in held if key != "key"] == [1]
+
+
+def test_decontamination_stage_broadcasts_hashes_alone(spark, monkeypatch, tmp_path):
+    """The stage of the pipeline: documents with an item go, with the words of no item window in a broadcast."""
+    import corpus_pipeline
+
+    docs, items = template_cases(spark)
+    docs = docs.unionByName(documents(spark, [(200, prose(77, 40), "a"), (None, prose(78, 40), "a")]))
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    monkeypatch.setattr(templates, "MAX_BROADCAST_BYTES", 0, raising=False)
+    seen, judged = [], templates.judged
+    monkeypatch.setattr(templates, "judged", lambda hits: seen.append(broadcast_columns(hits)) or judged(hits))
+    left = dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] is None) for r in left) == [(0, False), (0, True), (200, False)]
+    assert seen == [["hash"]]
